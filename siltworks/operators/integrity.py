@@ -102,14 +102,20 @@ def fk_orphan_count(child: DataFrame, columns: Names, parent: DataFrame, keys: N
     )
 
 
-def relationship_check(relations: list[tuple[str, str, str, str]], tables: dict[str, DataFrame]) -> DataFrame:
+def relationship_check(
+    relations: list[tuple[str, str, str, str]],
+    tables: dict[str, DataFrame],
+    parents: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Check every catalogued relation: one row each with child rows and orphan rows.
 
-    A relation is (parent, parent column, child, child column).
+    A relation is (parent, parent column, child, child column). ``parents`` may give other
+    frames for the parent side, such as a batch together with what is already in memory.
     """
     checked = []
     for parent, parent_column, child, child_column in relations:
-        count = fk_orphan_count(tables[child], child_column, tables[parent], parent_column)
+        parent_df = (parents or tables)[parent]
+        count = fk_orphan_count(tables[child], child_column, parent_df, parent_column)
         checked.append(
             count.select(
                 F.lit(parent).alias("parent_entity"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators.integrity import fk_orphan_count, union_all
+from siltworks.sources.tables import VersionedStore
 
 # Fixed values stored in the results and the rule catalog.
 REJECTED = "Rechazado"
@@ -268,13 +269,22 @@ def critical_rejections(results: DataFrame, run_id: int) -> DataFrame:
     )
 
 
-def publish_or_discard(table, candidate: DataFrame, check: Callable[[DataFrame], DataFrame], run_id: int) -> bool:
-    """Write a candidate version, check what was written, and publish only without critical failures.
+def publish_or_discard(
+    store: VersionedStore,
+    candidates: dict[str, DataFrame],
+    check: Callable[[dict[str, DataFrame]], DataFrame],
+    run_id: int,
+    partition_by: dict[str, tuple[str, ...]] | None = None,
+) -> bool:
+    """Write candidate versions, check what was written, and publish all of them or none.
 
-    ``table`` is a VersionedTable. A discarded candidate stays an unreferenced folder.
+    ``check`` gets the written candidates and returns quality results. One critical rejection
+    discards the batch: its folders stay unreferenced and readers keep the old versions.
     """
-    version = table.write(candidate)
-    if critical_rejections(check(table.read(version)), run_id).take(1):
+    layout = partition_by or {}
+    versions = {name: store.write(name, df, layout.get(name, ())) for name, df in candidates.items()}
+    written = {name: store.read(name, version) for name, version in versions.items()}
+    if critical_rejections(check(written), run_id).take(1):
         return False
-    table.publish(version)
+    store.publish(versions)
     return True

@@ -20,20 +20,14 @@ from siltworks.operators.model import (
 from siltworks.plans.views import enrichment_views
 
 
-def rebuild_model(
+def build_dimensions(
     spark: SparkSession,
-    memory: dict[str, DataFrame],
+    views: dict[str, DataFrame],
     load_ts: datetime | None = None,
     time_start: str = TIME_START,
     time_days: int = TIME_DAYS,
-    register: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every dimension, then the fact, parents before children.
-
-    The result is lazy: the caller writes each table to a new version, usually the dimensions
-    first, and reads them back before it writes the fact.
-    """
-    views = enrichment_views(memory, register=register)
+    """All dimensions from the enrichment views, parents before children."""
     tables: dict[str, DataFrame] = {"dim_time": build_dim_time(spark, time_start, time_days)}
     with_country = "enr_dim_countries" in views
     if with_country:
@@ -69,15 +63,33 @@ def rebuild_model(
     tables["dim_product"] = build_dim_product(
         views["enr_dim_products"], tables["dim_category"], tables["dim_supplier"], load_ts
     )
-    tables["fact_table"] = build_fact(
+    return tables
+
+
+def fact_from(views: dict[str, DataFrame], dimensions: dict[str, DataFrame], load_ts: datetime | None = None) -> DataFrame:
+    """The fact, from the sales view and finished dimensions."""
+    return build_fact(
         views["enr_fact_table"],
-        tables["dim_product"],
-        tables["dim_customer"],
-        tables["dim_employee"],
-        tables["dim_time"],
+        dimensions["dim_product"],
+        dimensions["dim_customer"],
+        dimensions["dim_employee"],
+        dimensions["dim_time"],
         load_ts,
     )
-    return tables
+
+
+def rebuild_model(
+    spark: SparkSession,
+    memory: dict[str, DataFrame],
+    load_ts: datetime | None = None,
+    time_start: str = TIME_START,
+    time_days: int = TIME_DAYS,
+) -> dict[str, DataFrame]:
+    """Dimensions and fact as one lazy plan. A writer stores the dimensions first instead, and
+    builds the fact from the stored ones with ``fact_from``."""
+    views = enrichment_views(memory, register=False)
+    tables = build_dimensions(spark, views, load_ts, time_start, time_days)
+    return {**tables, "fact_table": fact_from(views, tables, load_ts)}
 
 
 def sales_by_employee_view(tables: dict[str, DataFrame], register: bool = False) -> DataFrame:

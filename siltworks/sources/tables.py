@@ -1,13 +1,17 @@
-"""Parquet tables: batch folders, full refresh, append, and versions switched by a pointer."""
+"""Parquet tables: batch folders, full refresh, append, and versions listed in a manifest."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MANIFEST_SCHEMA = "seq long, table string, version string, schema string"
 
 
 def stamp(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
@@ -18,7 +22,7 @@ def stamp(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
 def load_overwrite(df: DataFrame, path: str, load_ts: datetime | None = None, partition_by: tuple[str, ...] = ()) -> None:
     """Full refresh of a table folder, each row stamped with its arrival.
 
-    The data must not be read from ``path`` itself; use a VersionedTable for that.
+    The data must not be read from ``path`` itself; use a VersionedStore for that.
     """
     writer = stamp(df, load_ts).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -42,48 +46,57 @@ def reset_staging(df: DataFrame, root: str, entity: str, batch_id: str) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-class VersionedTable:
-    """A table whose readers see only published versions.
+class VersionedStore:
+    """Tables whose readers see only published versions.
 
-    Each write goes to a new folder. Publishing appends one small row naming that folder to
-    the pointer log; Spark's commit protocol makes that row appear whole or not at all, so a
-    failed or rejected batch leaves the last published version in place.
+    Each write goes to a new folder. Publishing appends one small file to the manifest that
+    names the new folder of every table concerned; Spark's commit protocol makes that file
+    appear whole or not at all. A batch that fails or is rejected leaves all tables as they
+    were, and tables published together change together.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self._pointer = f"{root}/pointer"
-
-    def _path(self, version: str) -> str:
-        return f"{self.root}/data/{version}"
+        self._manifest = f"{root}/manifest"
+        self._schemas: dict[str, T.StructType] = {}
 
-    def write(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
+    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
         """Store a candidate version; it is not visible to readers yet."""
         version = f"v-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self._path(version))
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{table}/{version}")
+        self._schemas[version] = df.schema
         return version
 
-    def read(self, version: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(version))
+    def read(self, table: str, version: str) -> DataFrame:
+        """A version under its recorded schema, so that an empty one can be read as well."""
+        return self.spark.read.schema(self._schemas[version]).parquet(f"{self.root}/{table}/{version}")
+
+    def published(self) -> dict[str, str]:
+        """Version in force per table. The manifest has one row per table and publication."""
+        latest = self._log().groupBy("table").agg(F.max_by(F.struct("version", "schema"), "seq").alias("entry"))
+        versions = {}
+        for row in latest.collect():
+            versions[row.table] = row.entry.version
+            self._schemas.setdefault(row.entry.version, T.StructType.fromJson(json.loads(row.entry.schema)))
+        return versions
 
-    def _published(self) -> tuple[int, str | None]:
+    def _log(self) -> DataFrame:
         try:
-            log = self.spark.read.schema("seq long, version string").parquet(self._pointer)
+            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0, None
-        latest = log.agg(F.max("seq").alias("seq"), F.max_by("version", "seq").alias("version")).first()
-        return latest.seq or 0, latest.version
-
-    def publish(self, version: str) -> None:
-        seq, _ = self._published()
-        entry = self.spark.range(1).select(F.lit(seq + 1).cast("long").alias("seq"), F.lit(version).alias("version"))
-        entry.write.mode("append").parquet(self._pointer)
-
-    def current(self) -> DataFrame | None:
-        """The last published version, or None before the first publication."""
-        _, version = self._published()
-        return self.read(version) if version else None
+            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+
+    def publish(self, versions: dict[str, str]) -> None:
+        seq = (self._log().agg(F.max("seq").alias("seq")).first().seq or 0) + 1
+        entries = [(seq, table, version, self._schemas[version].json()) for table, version in versions.items()]
+        rows = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(self._manifest)
+
+    def current(self, table: str) -> DataFrame | None:
+        """The published version, or None before the first publication."""
+        version = self.published().get(table)
+        return self.read(table, version) if version else None
