@@ -128,106 +128,106 @@ def any_rule(label: str, rules: list[FieldRule], issue: str) -> FieldRule:
     return FieldRule(label, "COMPOSITE", ",".join(r.column for r in rules), issue, broken)
 
 
+# The rules of each staged file, in the order of its columns. Each entry names a
+# rule constructor of this module, the column, and the rule's parameters.
+DECLARED_RULES: dict[str, list[tuple]] = {
+    "categories": [("integer", "category_id"), ("max_length", "category_name", 50), ("hexadecimal", "picture")],
+    "customers": [
+        ("max_length", "customer_id", 10),
+        ("max_length", "customer_name", 100),
+        ("max_length", "contact_name", 100),
+        ("max_length", "contact_title", 100),
+        ("max_length", "address", 200),
+        ("max_length", "city", 50),
+        ("max_length", "regions", 50),
+        ("max_length", "postal_code", 20),
+        ("max_length", "country", 50),
+        ("max_length", "phone", 50),
+        ("max_length", "fax", 50),
+    ],
+    "employee_territories": [("integer", "employee_id"), ("max_length", "territory_id", 20)],
+    "employees": [
+        ("integer", "employee_id"),
+        ("max_length", "last_name", 50),
+        ("max_length", "first_name", 50),
+        ("max_length", "title", 100),
+        ("max_length", "title_of_courtesy", 50),
+        ("timestamp_text", "birth_date"),
+        ("timestamp_text", "hire_date"),
+        ("max_length", "address", 200),
+        ("max_length", "city", 50),
+        ("max_length", "region", 50),
+        ("max_length", "postal_code", 20),
+        ("max_length", "country", 50),
+        ("max_length", "home_phone", 50),
+        ("max_length", "extension", 10),
+        ("hexadecimal", "photo"),
+        ("integer", "reports_to"),
+        ("max_length", "photo_path", 200),
+    ],
+    "shippers": [("integer", "shipper_id"), ("max_length", "company_name", 100), ("max_length", "phone", 50)],
+    "suppliers": [
+        ("integer", "supplier_id"),
+        ("max_length", "company_name", 100),
+        ("max_length", "contact_name", 100),
+        ("max_length", "contact_title", 100),
+        ("max_length", "address", 200),
+        ("max_length", "city", 50),
+        ("max_length", "region", 50),
+        ("max_length", "postal_code", 20),
+        ("max_length", "country", 50),
+        ("max_length", "phone", 50),
+        ("max_length", "fax", 50),
+    ],
+    "products": [
+        ("integer", "product_id"),
+        ("max_length", "product_name", 100),
+        ("integer", "supplier_id"),
+        ("integer", "category_id"),
+        ("max_length", "quantity_per_unit", 100),
+        ("decimal", "unit_price"),
+        ("signed_integer", "units_in_stock"),
+        ("signed_integer", "units_on_order"),
+        ("signed_integer", "reorder_level"),
+        ("domain", "discontinued", ["0", "1"]),
+    ],
+    "orders": [
+        ("integer", "order_id"),
+        ("max_length", "customer_id", 10),
+        ("integer", "employee_id"),
+        ("timestamp_text", "order_date"),
+        ("timestamp_text", "required_date"),
+        ("timestamp_text", "shipped_date"),
+        ("integer", "ship_via"),
+        ("decimal", "freight"),
+        ("max_length", "ship_name", 100),
+        ("max_length", "ship_address", 200),
+        ("max_length", "ship_city", 50),
+        ("max_length", "ship_region", 50),
+        ("max_length", "ship_postal_code", 20),
+        ("max_length", "ship_country", 50),
+    ],
+    "order_details": [
+        ("integer", "order_id"),
+        ("integer", "product_id"),
+        ("decimal", "unit_price"),
+        ("signed_integer", "quantity"),
+        ("decimal", "discount"),
+    ],
+    "regions": [("integer", "region_id"), ("max_length", "region_description", 100)],
+    "territories": [
+        ("max_length", "territory_id", 20),
+        ("max_length", "territory_description", 100),
+        ("integer", "region_id"),
+    ],
+}
+
+
 def rules_for(entity: str) -> list[FieldRule]:
-    """The declared rules of an entity, in the order of its columns."""
+    """The declared rules of an entity."""
     if entity == "countries":
         return _country_rules()
-    # Limits, signs and domains are fixed values of the staged files.
-    declared = {
-        "categories": [integer("category_id"), max_length("category_name", 50), hexadecimal("picture")],
-        "customers": [
-            max_length(column, limit)
-            for column, limit in {
-                "customer_id": 10,
-                "customer_name": 100,
-                "contact_name": 100,
-                "contact_title": 100,
-                "address": 200,
-                "city": 50,
-                "regions": 50,
-                "postal_code": 20,
-                "country": 50,
-                "phone": 50,
-                "fax": 50,
-            }.items()
-        ],
-        "employee_territories": [integer("employee_id"), max_length("territory_id", 20)],
-        "employees": [
-            integer("employee_id"),
-            max_length("last_name", 50),
-            max_length("first_name", 50),
-            max_length("title", 100),
-            max_length("title_of_courtesy", 50),
-            timestamp_text("birth_date"),
-            timestamp_text("hire_date"),
-            max_length("address", 200),
-            max_length("city", 50),
-            max_length("region", 50),
-            max_length("postal_code", 20),
-            max_length("country", 50),
-            max_length("home_phone", 50),
-            max_length("extension", 10),
-            hexadecimal("photo"),
-            integer("reports_to"),
-            max_length("photo_path", 200),
-        ],
-        "shippers": [integer("shipper_id"), max_length("company_name", 100), max_length("phone", 50)],
-        "suppliers": [
-            integer("supplier_id"),
-            max_length("company_name", 100),
-            max_length("contact_name", 100),
-            max_length("contact_title", 100),
-            max_length("address", 200),
-            max_length("city", 50),
-            max_length("region", 50),
-            max_length("postal_code", 20),
-            max_length("country", 50),
-            max_length("phone", 50),
-            max_length("fax", 50),
-        ],
-        "products": [
-            integer("product_id"),
-            max_length("product_name", 100),
-            integer("supplier_id"),
-            integer("category_id"),
-            max_length("quantity_per_unit", 100),
-            decimal("unit_price"),
-            signed_integer("units_in_stock"),
-            signed_integer("units_on_order"),
-            signed_integer("reorder_level"),
-            domain("discontinued", ["0", "1"]),
-        ],
-        "orders": [
-            integer("order_id"),
-            max_length("customer_id", 10),
-            integer("employee_id"),
-            timestamp_text("order_date"),
-            timestamp_text("required_date"),
-            timestamp_text("shipped_date"),
-            integer("ship_via"),
-            decimal("freight"),
-            max_length("ship_name", 100),
-            max_length("ship_address", 200),
-            max_length("ship_city", 50),
-            max_length("ship_region", 50),
-            max_length("ship_postal_code", 20),
-            max_length("ship_country", 50),
-        ],
-        "order_details": [
-            integer("order_id"),
-            integer("product_id"),
-            decimal("unit_price"),
-            signed_integer("quantity"),
-            decimal("discount"),
-        ],
-        "regions": [integer("region_id"), max_length("region_description", 100)],
-        "territories": [
-            max_length("territory_id", 20),
-            max_length("territory_description", 100),
-            integer("region_id"),
-        ],
-    }
-    return declared[entity]
+    return [globals()[kind](*arguments) for kind, *arguments in DECLARED_RULES[entity]]
 
 
 def _country_rules() -> list[FieldRule]:

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # Column call sites are only of use while debugging and make building a plan slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
