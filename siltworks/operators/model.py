@@ -64,8 +64,13 @@ def build_dim_product(
 
 
 def sales_lines(order_details: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines with their header's customer, seller and day, and the line amount."""
-    return order_details.join(orders.select("order_id", "customer_id", "employee_id", "order_date"), "order_id").select(
+    """Order lines with their header's customer, seller and day, and the line amount.
+
+    A line that names its own seller keeps it.
+    """
+    own_seller = "employee_id" in order_details.columns
+    header = ["order_id", "customer_id", "order_date", *([] if own_seller else ["employee_id"])]
+    return order_details.join(orders.select(*header), "order_id").select(
         "order_id",
         "product_id",
         "customer_id",
