@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.functions import all_of
 from siltworks.operators.cleaning import update_where
-from siltworks.operators.profiling import total_rows  # noqa: F401  (also a catalog report)
 from siltworks.schemas import RELATIONS
-from pyspark.sql import functions as F
 
 
 def relations_frame(spark: SparkSession, relations: list[tuple[str, str, str, str]] = RELATIONS) -> DataFrame:
@@ -20,8 +19,12 @@ def relations_frame(spark: SparkSession, relations: list[tuple[str, str, str, st
 
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The table with those rows added whose key it lacks; columns are matched by name."""
-    lookup = table.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    """The table with those rows added whose key it lacks; columns are matched by name.
+
+    Only the keys of the table are read for the lookup, and only those the rows name go on.
+    """
+    met = table.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    lookup = met.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     absent = rows.join(lookup, all_of([F.col(k) == F.col(f"_known_{k}") for k in keys]), "left_anti")
     return table.unionByName(absent, allowMissingColumns=True)
 

@@ -33,16 +33,13 @@ def _attributes_differ(attributes: list[str]) -> Column:
     return any_of([differs(F.col(a), F.col(f"_in_{a}")) for a in attributes])
 
 
-def matched_keys(history: DataFrame, batch: DataFrame, key: Names, attributes: list[str]) -> DataFrame:
-    """Keys of the batch that are in force, with whether any attribute changed.
+def _met(history: DataFrame, batch: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """Current versions of the keys a batch names.
 
-    Reads key and attributes of the current versions only. An inner join, so that Spark can
-    broadcast a small batch and leave the history unshuffled; a large one is merge-joined.
+    A semi join, so that Spark can broadcast a small batch and leave the history unshuffled.
+    Whatever follows works on no more rows than the batch has.
     """
-    keys = _names(key)
-    current = current_rows(history).select(*keys, *attributes)
-    joined = current.join(_incoming(batch, keys, attributes), _same_key(keys))
-    return joined.select(*keys, _attributes_differ(attributes).alias("_changed"))
+    return current_rows(history).select(*keys, *attributes).join(batch.select(*keys), keys, "left_semi")
 
 
 def changed(history: DataFrame, batch: DataFrame, key: Names, attributes: list[str]) -> DataFrame:
@@ -55,11 +52,13 @@ def changed(history: DataFrame, batch: DataFrame, key: Names, attributes: list[s
 def classify(history: DataFrame, batch: DataFrame, key: Names, attributes: list[str]) -> DataFrame:
     """The batch with ``status`` inserted, updated or unchanged."""
     keys = _names(key)
-    matched = matched_keys(history, batch, keys, attributes)
+    known = _incoming(_met(history, batch, keys, attributes), keys, attributes).withColumn("_known", F.lit(True))
     status = (
-        F.when(F.col("_changed").isNull(), "inserted").when(F.col("_changed"), "updated").otherwise("unchanged")
+        F.when(F.col("_known").isNull(), "inserted")
+        .when(_attributes_differ(attributes), "updated")
+        .otherwise("unchanged")
     )
-    return batch.join(matched, keys, "left").select(*batch.columns, status.alias("status"))
+    return batch.join(known, _same_key(keys), "left").select(*batch.columns, status.alias("status"))
 
 
 def apply_changes(
@@ -67,32 +66,38 @@ def apply_changes(
 ) -> DataFrame:
     """The history after a batch: changed versions closed, new versions in force.
 
-    Closed versions pass through without a join, however many one key has. Current versions
-    meet the batch by key only. Unchanged rows are not repeated, so the same batch applied
-    twice changes nothing.
+    Closed versions pass through without a join, however many one key has. Current versions meet
+    the batch once, by key: that pass keeps or closes a version and, where it closes one, also
+    adds its successor. Keys without a current version come from the batch itself. Unchanged
+    rows are not repeated, so the same batch applied twice changes nothing.
     """
     keys = _names(key)
-    marked = matched_keys(history, batch, keys, attributes)
-    to_close = marked.filter("_changed")
-    in_force = (
-        current_rows(history)
-        .join(to_close, keys, "left")
-        .withColumn("active", F.col("_changed").isNull())
-        .select(*history.columns)
-    )
+    moment = F.lit(load_ts).cast("timestamp") if load_ts else F.current_timestamp()
+    types = {f.name: f.dataType for f in history.schema.fields}
+
+    incoming = _incoming(batch, keys, attributes).withColumn("_named", F.lit(True))
+    contradicted = F.col("_named").isNotNull() & _attributes_differ(attributes)
+    successor = {k: F.col(k) for k in keys} | {a: F.col(f"_in_{a}") for a in attributes}
+    successor |= {"load_date": moment, "active": F.lit(True)}
+
+    def version(values: dict[str, Column]) -> Column:
+        return F.struct(
+            *[values.get(c, F.lit(None)).cast(data_type).alias(c) for c, data_type in types.items()]
+        )
+
+    kept = version({c: F.col(c) for c in types} | {"active": ~contradicted})
+    versions = F.when(contradicted, F.array(kept, version(successor))).otherwise(F.array(kept))
+    in_force = current_rows(history).join(incoming, _same_key(keys), "left").select(F.inline(versions))
+
     closed = history.filter(~F.coalesce(F.col("active"), F.lit(False)))
-    fresh = (
-        batch.join(marked.filter("NOT _changed"), keys, "left_anti")
-        .select(*keys, *attributes)
-        .withColumn("active", F.lit(True))
-    )
-    return closed.unionByName(in_force).unionByName(stamp(fresh, load_ts), allowMissingColumns=True)
+    first = new_rows(history, batch, keys).select(*keys, *attributes).withColumn("active", F.lit(True))
+    return closed.unionByName(in_force).unionByName(stamp(first, load_ts), allowMissingColumns=True)
 
 
 def new_rows(history: DataFrame, batch: DataFrame, key: Names) -> DataFrame:
-    """Rows of the batch whose key has no current version."""
+    """Rows of the batch whose key has no current version; only keys of the history are read."""
     keys = _names(key)
-    return batch.join(current_rows(history).select(*keys), keys, "left_anti")
+    return batch.join(_met(history, batch, keys, []), keys, "left_anti")
 
 
 def append_if_absent(
@@ -101,7 +106,7 @@ def append_if_absent(
     """Add each row of the batch unless an identical version is in force; nothing is closed."""
     keys = _names(key)
     identical = _same_key(keys) & all_of([F.col(a).eqNullSafe(F.col(f"_in_{a}")) for a in attributes])
-    current = _incoming(current_rows(history), keys, attributes)
+    current = _incoming(_met(history, batch, keys, attributes), keys, attributes)
     absent = batch.join(current, identical, "left_anti").select(*keys, *attributes).withColumn("active", F.lit(True))
     return history.unionByName(stamp(absent, load_ts), allowMissingColumns=True)
 

@@ -60,18 +60,27 @@ def require_unique(df: DataFrame, keys: Names, what: str) -> None:
 
 
 def parent_keys(parent: DataFrame, keys: Names, normalise: Callable | None = None) -> DataFrame:
-    """Distinct key values under neutral names; one row per value keeps hot parents harmless."""
+    """Key values of a parent under neutral names."""
     convert = normalise or F.col
-    return parent.select(*[convert(k).alias(f"_parent_{i}") for i, k in enumerate(_names(keys))]).distinct()
+    return parent.select(*[convert(k).alias(f"_parent_{i}") for i, k in enumerate(_names(keys))])
 
 
 def fk_orphans(
-    child: DataFrame, columns: Names, parent: DataFrame, keys: Names, normalise: Callable | None = None
+    child: DataFrame,
+    columns: Names,
+    parent: DataFrame,
+    keys: Names,
+    normalise: Callable | None = None,
+    repeated_parent: bool = False,
 ) -> DataFrame:
     """Child rows whose complete foreign key has no parent.
 
     With ``normalise`` (for instance ``normalised_name``) both sides are compared in that form
     and empty text is not checked. A self reference is the same call with one table twice.
+
+    The child meets the parent in a plain anti join, the form in which Spark splits a hot child
+    key over several tasks. A parent that may repeat its keys often is reduced to distinct
+    values first (``repeated_parent``), on the map side as far as possible.
     """
     columns = _names(columns)
     convert = normalise or F.col
@@ -79,6 +88,8 @@ def fk_orphans(
     if normalise:
         present += [F.col(c) != "" for c in columns]
     wanted = parent_keys(parent, keys, normalise)
+    if repeated_parent:
+        wanted = wanted.distinct()
     match = all_of([convert(c) == F.col(f"_parent_{i}") for i, c in enumerate(columns)])
     return child.filter(all_of(present)).join(wanted, match, "left_anti")
 
@@ -92,7 +103,7 @@ def fk_orphan_count(child: DataFrame, columns: Names, parent: DataFrame, keys: N
     values = child.groupBy(*[F.col(c).alias(f"_child_{i}") for i, c in enumerate(columns)]).agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    wanted = parent_keys(parent, keys).withColumn("_found", F.lit(True))
+    wanted = parent_keys(parent, keys).distinct().withColumn("_found", F.lit(True))
     match = all_of([F.col(f"_child_{i}") == F.col(f"_parent_{i}") for i in range(len(columns))])
     complete = all_of([F.col(f"_child_{i}").isNotNull() for i in range(len(columns))])
     orphan = complete & F.col("_found").isNull()

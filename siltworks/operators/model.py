@@ -47,12 +47,19 @@ def build_dim_product(
 ) -> DataFrame:
     """Products with the keys of both arms; a product whose parent is missing stays, with a null key.
 
-    The parents carry no hint: Spark broadcasts whichever it finds small enough.
+    Products are numbered before the joins, so the joins run once. The arms carry no hint: Spark
+    broadcasts whichever it finds small enough, and splits a hot category or supplier otherwise.
     """
+    numbered = assign_keys(
+        products.select("product_id", "product_name", "category_id", "supplier_id", "is_discontinued"),
+        "product_id",
+        "product_key",
+    )
     linked = (
-        products.join(dim_category.select("category_id", "category_key"), "category_id", "left")
+        numbered.join(dim_category.select("category_id", "category_key"), "category_id", "left")
         .join(dim_supplier.select("supplier_id", "supplier_key"), "supplier_id", "left")
         .select(
+            "product_key",
             "product_id",
             "product_name",
             "category_key",
@@ -60,7 +67,7 @@ def build_dim_product(
             F.col("is_discontinued").alias("discontinued"),
         )
     )
-    return stamp(assign_keys(linked, "product_id", "product_key"), load_ts)
+    return stamp(linked, load_ts)
 
 
 def sales_lines(order_details: DataFrame, orders: DataFrame) -> DataFrame:
@@ -83,8 +90,22 @@ def sales_lines(order_details: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+_FACT_COLUMNS = [
+    "fact_key",
+    "product_key",
+    "customer_key",
+    "employee_key",
+    "date_key",
+    "quantity",
+    "unit_price",
+    "discount",
+    "total_amount",
+]
+
+
 def build_fact(
-    sales: DataFrame,
+    order_details: DataFrame,
+    orders: DataFrame,
     dim_product: DataFrame,
     dim_customer: DataFrame,
     dim_employee: DataFrame,
@@ -93,27 +114,31 @@ def build_fact(
 ) -> DataFrame:
     """Sales lines under surrogate keys. A line with an unknown member of any dimension drops out.
 
-    The row is identified by order and product: ``fact_key`` joins the two ids, so it needs no
-    numbering of the largest table and no shuffle. ``dropped_lines`` counts what is lost.
+    What an order header knows (day, customer, and the seller unless the line names its own) is
+    looked up once per order, before the lines: the largest table is joined to slim headers and
+    to products only. The row is identified by order and product: ``fact_key`` joins the two
+    ids, so it needs no numbering of the lines. ``dropped_lines`` counts what is lost.
     """
-    return stamp(
-        sales.join(dim_time.select("date_key"), "date_key")
-        .join(dim_product.select("product_id", "product_key"), "product_id")
-        .join(dim_employee.select("employee_id", "employee_key"), "employee_id")
+    employees = dim_employee.select("employee_id", "employee_key")
+    own_seller = "employee_id" in order_details.columns
+    headers = (
+        orders.withColumn("date_key", date_key("order_date"))
+        .join(dim_time.select("date_key"), "date_key")
         .join(dim_customer.select("customer_id", "customer_key"), "customer_id")
-        .select(
-            F.concat_ws("-", "order_id", "product_id").alias("fact_key"),
-            "product_key",
-            "customer_key",
-            "employee_key",
-            "date_key",
-            "quantity",
-            "unit_price",
-            "discount",
-            "total_amount",
-        ),
-        load_ts,
     )
+    if own_seller:
+        headers = headers.select("order_id", "date_key", "customer_key")
+        lines = order_details.join(employees, "employee_id")
+    else:
+        headers = headers.join(employees, "employee_id").select("order_id", "date_key", "customer_key", "employee_key")
+        lines = order_details
+    fact = (
+        lines.join(dim_product.select("product_id", "product_key"), "product_id")
+        .join(headers, "order_id")
+        .withColumn("fact_key", F.concat_ws("-", "order_id", "product_id"))
+        .withColumn("total_amount", line_amount("unit_price", "quantity", "discount"))
+    )
+    return stamp(fact.select(*_FACT_COLUMNS), load_ts)
 
 
 def dropped_lines(

@@ -101,7 +101,7 @@ def fk_orphans_line_supplier(spark, folder) -> DataFrame:
 def fk_orphans_order_without_line(spark, folder) -> DataFrame:
     """The parent side repeats its keys: it is reduced to distinct values before the join."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    return integrity.fk_orphans(orders, "o_orderkey", table(spark, folder, "lineitem"), "l_orderkey")
+    return integrity.fk_orphans(orders, "o_orderkey", table(spark, folder, "lineitem"), "l_orderkey", repeated_parent=True)
 
 
 @catalogue.register(

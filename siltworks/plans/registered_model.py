@@ -159,7 +159,8 @@ def _solvent_customers(spark, folder) -> DataFrame:
 @catalogue.register(_FACT)
 def fact_sales(spark, folder) -> DataFrame:
     return model.build_fact(
-        sales_lines(spark, folder),
+        ORDER_DETAILS.frame(spark, folder),
+        ORDERS.frame(spark, folder),
         _dim_product(spark, folder),
         _solvent_customers(spark, folder),
         _dim_employee(spark, folder),
@@ -208,7 +209,8 @@ def sales_by_seller_quarter(spark, folder) -> DataFrame:
     )
     products = views.products_view(PRODUCTS.frame(spark, folder))
     products = model.build_dim(products, "product_id", ["product_name"], "product_key", LOADED)
-    fact = model.build_fact(sales_lines(spark, folder), products, customers, employees, calendar, LOADED)
+    lines, orders = ORDER_DETAILS.frame(spark, folder), ORDERS.frame(spark, folder)
+    fact = model.build_fact(lines, orders, products, customers, employees, calendar, LOADED)
     return model.sales_by_employee(fact, employees, calendar)
 
 

@@ -10,13 +10,13 @@ from siltworks.operators.history import current_rows
 from siltworks.operators.model import sales_lines
 
 
-def _in_force(df: DataFrame) -> DataFrame:
+def in_force(df: DataFrame) -> DataFrame:
     """Current versions, or all rows of a table that keeps no history."""
     return current_rows(df) if "active" in df.columns else df
 
 
 def products_view(products: DataFrame) -> DataFrame:
-    return _in_force(products).select(
+    return in_force(products).select(
         "product_id",
         "product_name",
         "supplier_id",
@@ -28,7 +28,7 @@ def products_view(products: DataFrame) -> DataFrame:
 
 
 def employees_view(employees: DataFrame) -> DataFrame:
-    return _in_force(employees).select(
+    return in_force(employees).select(
         "employee_id",
         full_name("first_name", "last_name").alias("full_name"),
         "title",
@@ -40,24 +40,24 @@ def employees_view(employees: DataFrame) -> DataFrame:
 
 
 def customers_view(customers: DataFrame) -> DataFrame:
-    return _in_force(customers).select("customer_id", "company_name", "city", "country", "region")
+    return in_force(customers).select("customer_id", "company_name", "city", "country", "region")
 
 
 def categories_view(categories: DataFrame) -> DataFrame:
-    return _in_force(categories).select("category_id", "category_name")
+    return in_force(categories).select("category_id", "category_name")
 
 
 def suppliers_view(suppliers: DataFrame) -> DataFrame:
     """The country comes along so that the supplier dimension can resolve its country key."""
-    return _in_force(suppliers).select("supplier_id", "company_name", "country")
+    return in_force(suppliers).select("supplier_id", "company_name", "country")
 
 
 def sales_view(order_details: DataFrame, orders: DataFrame) -> DataFrame:
-    return sales_lines(_in_force(order_details), _in_force(orders))
+    return sales_lines(in_force(order_details), in_force(orders))
 
 
 def countries_view(countries: DataFrame) -> DataFrame:
-    return _in_force(countries).select(
+    return in_force(countries).select(
         "country_name",
         "abbreviation",
         "capital_city",

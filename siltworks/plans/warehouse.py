@@ -12,8 +12,7 @@ from siltworks.operators import integrity, quality, rules
 from siltworks.operators.cleaning import clean_countries, patch_by_key, recode
 from siltworks.operators.model import TIME_DAYS, TIME_START, sales_by_employee
 from siltworks.operators.typed import to_typed
-from siltworks.plans.rebuild import build_dimensions, fact_from
-from siltworks.plans.views import enrichment_views
+from siltworks.plans.rebuild import rebuild_model
 from siltworks.schemas import (
     CAPITALS_BY_ABBREVIATION,
     COUNTRY_NAME_BY_ABBREVIATION,
@@ -51,13 +50,19 @@ class Warehouse:
         }
 
     def validate(self, text: dict[str, DataFrame], run_id: int) -> DataFrame:
-        """Every issue of every staged table, one scan per table."""
+        """Every issue of every staged table, one scan per table, kept in the issue log."""
         found = []
         for entity, df in text.items():
             spec = ENTITIES[entity]
             key = F.concat_ws("|", *spec.keys) if len(spec.keys) > 1 else spec.keys[0]
             found.append(rules.validate(df, spec.text_table, rules.rules_for(entity), key, run_id))
-        return integrity.union_all(found)
+        return self._logged("dqm_validation_issues", integrity.union_all(found), "log_id", run_id)
+
+    def _logged(self, log: str, rows: DataFrame, run_column: str, run_id: int) -> DataFrame:
+        """Add the rows of a run to a log, a folder per run, and return them as stored."""
+        path = f"{self.root}/{log}/{run_column}_folder={run_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def validation_status(self, text: dict[str, DataFrame]) -> DataFrame:
         return rules.validation_status(
@@ -103,7 +108,8 @@ class Warehouse:
 
     def check_quality(self, typed: dict[str, DataFrame], run_id: int, executed_at: datetime) -> DataFrame:
         tables = {GATE_TABLES[entity]: df for entity, df in typed.items()}
-        return quality.run_all_checks(tables, quality.STAGING_RULES, run_id, executed_at)
+        results = quality.run_all_checks(tables, quality.STAGING_RULES, run_id, executed_at)
+        return self._logged("dqm_quality_results", results, "run_id", run_id)
 
     # Memory
 
@@ -190,13 +196,18 @@ class Warehouse:
     # Model
 
     def _write_model(self, memory, load_ts, time_start=TIME_START, time_days=TIME_DAYS) -> dict[str, str]:
-        """Write dimensions, then the fact from the written dimensions, a folder per year."""
-        views = enrichment_views(memory)
-        dimensions = build_dimensions(self.spark, views, load_ts, time_start, time_days)
-        versions = {name: self.store.write(name, df) for name, df in dimensions.items()}
-        stored = {name: self.store.read(name, version) for name, version in versions.items()}
-        by_year = fact_from(views, stored, load_ts).withColumn("year", (F.col("date_key") / 10000).cast("int"))
-        versions["fact_table"] = self.store.write("fact_table", by_year, ("year",))
+        """Write every table of the model once, parents before children; the fact a folder per year."""
+        versions: dict[str, str] = {}
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            if name == "fact_table":
+                by_year = df.withColumn("year", (F.col("date_key") / 10000).cast("int"))
+                versions[name] = self.store.write(name, by_year, ("year",))
+            else:
+                versions[name] = self.store.write(name, df)
+            return self.store.read(name, versions[name])
+
+        rebuild_model(self.spark, memory, load_ts, time_start, time_days, keep)
         return versions
 
     def rebuild(self, load_ts: datetime | None = None, time_start: str = TIME_START, time_days: int = TIME_DAYS) -> None:
