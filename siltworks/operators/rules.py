@@ -265,10 +265,15 @@ def validate(
     run_id: int | None = None,
     created_at: datetime | None = None,
 ) -> DataFrame:
-    """One row per broken rule and row, from a single scan of the table and without a shuffle."""
-    issues = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.issue)) for r in rules]))
+    """One row per broken rule and row, from a single scan of the table and without a shuffle.
+
+    Every rule gives its text or null; the nulls are dropped after the rows are spread. That
+    form is compiled as a whole, unlike a filter on the array.
+    """
+    issues = F.array(*[F.when(r.broken, F.lit(r.issue)) for r in rules])
     row_key = (F.col(key) if isinstance(key, str) else key).cast("string")
-    found = df.select(row_key.alias("row_key"), F.explode(issues).alias("issue_desc"))
+    spread = df.select(row_key.alias("row_key"), F.explode(issues).alias("issue_desc"))
+    found = spread.filter(F.col("issue_desc").isNotNull())
     columns = [F.lit(table).alias("table_name"), "row_key", "issue_desc"]
     if run_id is not None:
         columns = [F.lit(run_id).cast("long").alias("log_id"), *columns]
