@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.functions import date_key, line_amount, normalised_name
+from siltworks.functions import any_of, date_key, line_amount, normalised_name
 from siltworks.operators.keys import assign_keys
 from siltworks.sources.staging import generate_days
 from siltworks.sources.tables import stamp
@@ -142,29 +142,37 @@ def build_fact(
 
 
 def dropped_lines(
-    sales: DataFrame, dim_product: DataFrame, dim_customer: DataFrame, dim_employee: DataFrame, dim_time: DataFrame
+    order_details: DataFrame,
+    orders: DataFrame,
+    dim_product: DataFrame,
+    dim_customer: DataFrame,
+    dim_employee: DataFrame,
+    dim_time: DataFrame,
 ) -> DataFrame:
-    """Lines in, lines kept, and lines without a match per dimension.
+    """Lines with a header, lines kept in the fact, and lines without a match per dimension.
 
-    Lines are counted per combination of keys before any join.
+    The joins are those of ``build_fact`` as left joins, each bringing one flag.
     """
-    keys = ["product_id", "customer_id", "employee_id", "date_key"]
-    combos = sales.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"))
-    for key, dim in zip(keys, [dim_product, dim_customer, dim_employee, dim_time]):
-        combos = combos.join(dim.select(key, F.lit(True).alias(f"_has_{key}")), key, "left")
-    missing = {key: F.col(f"_has_{key}").isNull() for key in keys}
-    any_missing = missing["product_id"] | missing["customer_id"] | missing["employee_id"] | missing["date_key"]
-
-    def lines(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("_lines"))), F.lit(0))
-
-    return combos.agg(
-        lines(F.lit(True)).alias("lines_in"),
-        lines(~any_missing).alias("lines_kept"),
-        lines(missing["product_id"]).alias("unknown_product"),
-        lines(missing["customer_id"]).alias("unknown_customer"),
-        lines(missing["employee_id"]).alias("unknown_employee"),
-        lines(missing["date_key"]).alias("unknown_date"),
+
+    def flagged(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+        return df.join(dim.select(key, F.lit(True).alias(f"_has_{key}")), key, "left")
+
+    lines = flagged(order_details, dim_product, "product_id")
+    headers = flagged(orders.withColumn("date_key", date_key("order_date")), dim_time, "date_key")
+    headers = flagged(headers, dim_customer, "customer_id")
+    if "employee_id" in order_details.columns:
+        lines = flagged(lines, dim_employee, "employee_id")
+        headers = headers.drop("employee_id")
+    else:
+        headers = flagged(headers, dim_employee, "employee_id")
+    missing = {key: F.col(f"_has_{key}").isNull() for key in ("product_id", "customer_id", "employee_id", "date_key")}
+    return lines.join(headers, "order_id").agg(
+        F.count(F.lit(1)).alias("lines_in"),
+        F.count_if(~any_of(list(missing.values()))).alias("lines_kept"),
+        F.count_if(missing["product_id"]).alias("unknown_product"),
+        F.count_if(missing["customer_id"]).alias("unknown_customer"),
+        F.count_if(missing["employee_id"]).alias("unknown_employee"),
+        F.count_if(missing["date_key"]).alias("unknown_date"),
     )
 
 

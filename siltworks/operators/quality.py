@@ -161,42 +161,41 @@ def run_quality_checks(
         F.count(F.lit(1)).alias("_total"),
         *[F.count_if(F.expr(r.condition)).alias(f"_failed_{i}") for i, r in enumerate(conditions)],
     )
-    # The row without a rule name carries the table's row count to the statement rules.
-    entries = [F.struct(F.lit(None).cast("string").alias("rule_name"), F.lit(None).cast("long").alias("failed"))]
-    entries += [
-        F.struct(F.lit(r.name).alias("rule_name"), F.col(f"_failed_{i}").alias("failed"))
-        for i, r in enumerate(conditions)
-    ]
-    measured = [counts.select(F.col("_total").alias("total"), F.inline(F.array(*entries)))]
+
+    def entry(rule: QualityRule | None, failed: Column) -> Column:
+        """A rule with its failures; without a rule, the bearer of the table's row count."""
+        values = [rule.name, rule.rule_type, rule.threshold] if rule else [None] * 3
+        types = ["string", "string", "decimal(5,2)"]
+        names = ["rule_name", "rule_type", "threshold_pct"]
+        labels = [F.lit(v).cast(t).alias(n) for v, t, n in zip(values, types, names)]
+        return F.struct(*labels, failed.cast("long").alias("rows_failed"))
+
+    entries = [entry(None, F.lit(None))] + [entry(r, F.col(f"_failed_{i}")) for i, r in enumerate(conditions)]
+    measured = [counts.select(F.col("_total"), F.inline(F.array(*entries)))]
     for r in chosen:
         if r.parent:
             orphans = fk_orphan_count(df, r.column, tables[r.parent], r.parent_key)
             measured.append(
-                orphans.select(
-                    F.col("child_rows").alias("total"), F.lit(r.name).alias("rule_name"), F.col("orphan_rows").alias("failed")
-                )
+                orphans.select(F.col("child_rows").alias("_total"), F.inline(F.array(entry(r, F.col("orphan_rows")))))
             )
         elif r.statement:
             answer = df.sparkSession.sql(r.statement)
+            failed = F.col(answer.columns[0])
             measured.append(
-                answer.select(
-                    F.lit(None).cast("long").alias("total"),
-                    F.lit(r.name).alias("rule_name"),
-                    F.col(answer.columns[0]).cast("long").alias("failed"),
-                )
+                answer.select(F.lit(None).cast("long").alias("_total"), F.inline(F.array(entry(r, failed))))
             )
-    # A handful of rows, one per rule: gathered into one array with the table's total and
-    # spread again, so that statement rules see the total without a join.
+    # A handful of rows, one per rule, gathered with the table's row count and spread again, so
+    # that statement rules get the count without a join.
     gathered = union_all(measured).agg(
-        F.max(F.when(F.col("rule_name").isNull(), F.col("total"))).alias("rows_evaluated"),
-        F.collect_list(F.when(F.col("rule_name").isNotNull(), F.struct("rule_name", "failed"))).alias("_rules"),
+        F.max("_total").alias("rows_evaluated"),
+        F.collect_list(
+            F.when(F.col("rule_name").isNotNull(), F.struct("rule_name", "rule_type", "threshold_pct", "rows_failed"))
+        ).alias("_rules"),
     )
-    results = gathered.select("rows_evaluated", F.inline("_rules")).withColumnRenamed("failed", "rows_failed")
-    catalog = rules_frame(df.sparkSession, chosen)
     failed, total = F.col("rows_failed"), F.col("rows_evaluated")
-    return results.join(F.broadcast(catalog), "rule_name").select(
+    return gathered.select("rows_evaluated", F.inline("_rules")).select(
         "rule_name",
-        "target_table",
+        F.lit(table).alias("target_table"),
         "rule_type",
         "threshold_pct",
         F.lit(run_id).cast("long").alias("run_id"),

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.functions import flag_to_int, hex_to_binary, null_token
+from siltworks.functions import any_of, flag_to_int, hex_to_binary, null_token
 from siltworks.schemas import ENTITIES, NUMBER_TYPE, Entity
 
 _SIZED = re.compile(r"(text|clip)\((\d+)\)")
@@ -67,8 +67,8 @@ def to_typed(df: DataFrame, entity: str, mode: str = "strict"):
         return df.select(*[c.strict.alias(c.name) for c in columns])
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
-    failed = F.array_compact(F.array(*[F.when(c.failed, F.lit(c.name)) for c in columns]))
-    checked = df.withColumn("_failed", failed)
-    good = checked.filter(F.size("_failed") == 0).select(*[c.lenient.alias(c.name) for c in columns])
-    rejected = checked.filter(F.size("_failed") > 0).select(*df.columns, F.col("_failed").alias("failed_columns"))
+    any_failed = any_of([c.failed for c in columns])
+    good = df.filter(~any_failed).select(*[c.lenient.alias(c.name) for c in columns])
+    names = F.array_compact(F.array(*[F.when(c.failed, F.lit(c.name)) for c in columns]))
+    rejected = df.filter(any_failed).select(*df.columns, names.alias("failed_columns"))
     return good, rejected

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.operators import history as h
 from siltworks.plans.testbed import CHANGED, Catalogue, table
+from siltworks.session import scratch_path
 
 catalogue = Catalogue()
 
@@ -154,6 +155,7 @@ _LINE_SAME = "h.order_id = b.order_id AND h.product_id = b.product_id AND h.pric
         WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.active AND {_LINE_SAME})"""
 )
 def lineitem_history(spark, folder) -> DataFrame:
+    """The pairs are stored first, as a history is; the batch then meets them in one pass."""
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     price = F.col("l_extendedprice").cast("decimal(10,2)")
     pairs = lines.groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")).agg(
@@ -163,6 +165,9 @@ def lineitem_history(spark, folder) -> DataFrame:
         F.max("l_returnflag").alias("flag"),
         F.count(F.lit(1)).alias("n"),
     )
+    path = scratch_path(spark, "pairs")
+    pairs.write.parquet(path)
+    pairs = spark.read.schema(pairs.schema).parquet(path)
     current = pairs.selectExpr(
         "order_id", "product_id", "price", "quantity", "TIMESTAMP '2020-01-01' AS load_date", "TRUE AS active"
     )

@@ -29,15 +29,22 @@ catalogue = Catalogue()
 START, DAYS = "1995-01-01", model.TIME_DAYS
 
 
+def _arms(part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Categories and suppliers of the products: their types and their brands."""
+    categories = part.selectExpr("p_type AS category_id", "p_type AS category_name").distinct()
+    brands = part.selectExpr("p_brand AS supplier_id", "p_brand AS company_name", "'none' AS country").distinct()
+    return categories, brands
+
+
 def memory_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The driver's tables as memory tables of the warehouse."""
-    part = table(spark, folder, "part")
+    categories, brands = _arms(table(spark, folder, "part"))
     return {
         "products": PRODUCTS.frame(spark, folder),
         "customers": CUSTOMERS.frame(spark, folder),
         "employees": SELLERS.frame(spark, folder),
-        "categories": part.selectExpr("p_type AS category_id", "p_type AS category_name").distinct(),
-        "suppliers": part.selectExpr("p_brand AS supplier_id", "p_brand AS company_name", "'none' AS country").distinct(),
+        "categories": categories,
+        "suppliers": brands,
         "orders": ORDERS.frame(spark, folder),
         "order_details": ORDER_DETAILS.frame(spark, folder),
     }
@@ -117,14 +124,12 @@ def dim_product(spark, folder) -> DataFrame:
 
 
 def _dim_product(spark, folder) -> DataFrame:
-    memory = memory_tables(spark, folder)
+    categories, arms = _arms(table(spark, folder, "part"))
     categories = model.build_dim(
-        views.categories_view(memory["categories"]), "category_id", ["category_name"], "category_key", LOADED
-    )
-    arms = model.build_dim(
-        views.suppliers_view(memory["suppliers"]), "supplier_id", ["company_name"], "supplier_key", LOADED
+        views.categories_view(categories), "category_id", ["category_name"], "category_key", LOADED
     )
-    return model.build_dim_product(views.products_view(memory["products"]), categories, arms, LOADED)
+    arms = model.build_dim(views.suppliers_view(arms), "supplier_id", ["company_name"], "supplier_key", LOADED)
+    return model.build_dim_product(views.products_view(PRODUCTS.frame(spark, folder)), categories, arms, LOADED)
 
 
 _SALES = f"""SELECT d.order_id, d.product_id, o.customer_id, d.employee_id, CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS date_key,
@@ -179,7 +184,8 @@ def fact_sales(spark, folder) -> DataFrame:
 def dropped_lines(spark, folder) -> DataFrame:
     """What the inner joins lose: customers in debt, and days before the standard calendar."""
     return model.dropped_lines(
-        sales_lines(spark, folder),
+        ORDER_DETAILS.frame(spark, folder),
+        ORDERS.frame(spark, folder),
         _dim_product(spark, folder),
         _solvent_customers(spark, folder),
         _dim_employee(spark, folder),
