@@ -137,10 +137,10 @@ def append_if_absent(spark, folder) -> DataFrame:
 # with quantity zero; orders without any line get a first one.
 _LINES = """WITH g AS (SELECT l_orderkey AS order_id, l_partkey AS product_id, max(CAST(l_extendedprice AS DECIMAL(10,2))) AS price,
         min(CAST(l_extendedprice AS DECIMAL(10,2))) AS least, max(CAST(l_quantity AS INTEGER)) AS quantity,
-        max(l_returnflag) AS flag, count(*) AS n FROM lineitem GROUP BY 1, 2),
+        max(CASE l_returnflag WHEN 'R' THEN 2 WHEN 'N' THEN 1 ELSE 0 END) AS flag, count(*) AS n FROM lineitem GROUP BY 1, 2),
     h AS (SELECT order_id, product_id, price, quantity, DATE '2020-01-01' AS load_date, TRUE AS active FROM g
         UNION ALL SELECT order_id, product_id, least, quantity, DATE '2019-01-01', FALSE FROM g WHERE n > 1),
-    b AS (SELECT order_id, product_id, price, CASE WHEN flag = 'R' THEN 0 ELSE quantity END AS quantity FROM g WHERE flag IN ('R', 'N')
+    b AS (SELECT order_id, product_id, price, CASE WHEN flag = 2 THEN 0 ELSE quantity END AS quantity FROM g WHERE flag > 0
         UNION ALL SELECT o_orderkey, -1, CAST(o_totalprice AS DECIMAL(10,2)), 1 FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey))"""
 _LINE_SAME = "h.order_id = b.order_id AND h.product_id = b.product_id AND h.price IS NOT DISTINCT FROM b.price AND h.quantity IS NOT DISTINCT FROM b.quantity"
@@ -162,7 +162,7 @@ def lineitem_history(spark, folder) -> DataFrame:
         F.max(price).alias("price"),
         F.min(price).alias("least"),
         F.max(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.max("l_returnflag").alias("flag"),
+        F.max(F.expr("CASE l_returnflag WHEN 'R' THEN 2 WHEN 'N' THEN 1 ELSE 0 END")).alias("flag"),
         F.count(F.lit(1)).alias("n"),
     )
     path = scratch_path(spark, "pairs")
@@ -174,8 +174,8 @@ def lineitem_history(spark, folder) -> DataFrame:
     closed = pairs.filter("n > 1").selectExpr(
         "order_id", "product_id", "least AS price", "quantity", "TIMESTAMP '2019-01-01' AS load_date", "FALSE AS active"
     )
-    returned = pairs.filter("flag IN ('R', 'N')").selectExpr(
-        "order_id", "product_id", "price", "CASE WHEN flag = 'R' THEN 0 ELSE quantity END AS quantity"
+    returned = pairs.filter("flag > 0").selectExpr(
+        "order_id", "product_id", "price", "CASE WHEN flag = 2 THEN 0 ELSE quantity END AS quantity"
     )
     known_orders = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     first = orders.join(known_orders, "o_orderkey", "left_anti").selectExpr(
