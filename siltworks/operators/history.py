@@ -61,15 +61,14 @@ def classify(history: DataFrame, batch: DataFrame, key: Names, attributes: list[
     return batch.join(known, _same_key(keys), "left").select(*batch.columns, status.alias("status"))
 
 
-def apply_changes(
+def next_versions(
     history: DataFrame, batch: DataFrame, key: Names, attributes: list[str], load_ts: datetime | None = None
 ) -> DataFrame:
-    """The history after a batch: changed versions closed, new versions in force.
+    """Everything a batch makes of the versions in force: those it closes, and all that are in
+    force afterwards. Versions closed earlier are not part of it and are not read.
 
-    Closed versions pass through without a join, however many one key has. Current versions meet
-    the batch once, by key: that pass keeps or closes a version and, where it closes one, also
-    adds its successor. Keys without a current version come from the batch itself. Unchanged
-    rows are not repeated, so the same batch applied twice changes nothing.
+    Current versions meet the batch once, by key: that pass keeps or closes a version and, where
+    it closes one, also adds its successor. Keys without a current version come from the batch.
     """
     keys = _names(key)
     moment = F.lit(load_ts).cast("timestamp") if load_ts else F.current_timestamp()
@@ -87,11 +86,21 @@ def apply_changes(
 
     kept = version({c: F.col(c) for c in types} | {"active": ~contradicted})
     versions = F.when(contradicted, F.array(kept, version(successor))).otherwise(F.array(kept))
-    in_force = current_rows(history).join(incoming, _same_key(keys), "left").select(F.inline(versions))
+    known = current_rows(history).join(incoming, _same_key(keys), "left").select(F.inline(versions))
+    first = new_rows(history, batch, keys).select(*keys, *attributes).withColumn("active", F.lit(True))
+    return known.unionByName(stamp(first, load_ts), allowMissingColumns=True)
 
+
+def apply_changes(
+    history: DataFrame, batch: DataFrame, key: Names, attributes: list[str], load_ts: datetime | None = None
+) -> DataFrame:
+    """The history after a batch: changed versions closed, new versions in force.
+
+    Versions closed earlier pass through without a join, however many one key has. Unchanged
+    rows are not repeated, so the same batch applied twice changes nothing.
+    """
     closed = history.filter(~F.coalesce(F.col("active"), F.lit(False)))
-    first = new_rows(history, batch, keys).select(*keys, *attributes).withColumn("active", F.lit(True))
-    return closed.unionByName(in_force).unionByName(stamp(first, load_ts), allowMissingColumns=True)
+    return closed.unionByName(next_versions(history, batch, key, attributes, load_ts))
 
 
 def new_rows(history: DataFrame, batch: DataFrame, key: Names) -> DataFrame:

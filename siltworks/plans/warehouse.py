@@ -97,10 +97,10 @@ class Warehouse:
 
     def check_relations(self, typed: dict[str, DataFrame]) -> DataFrame:
         """Catalogued relations of a batch; parents are the batch together with memory."""
-        parents = {}
+        parents, memory = {}, self.memory_tables()
         for entity, spec in ENTITIES.items():
             keys = [spec.typed_name(k) for k in spec.keys]
-            known = [df.select(*keys) for df in (typed.get(entity), self.memory(entity)) if df is not None]
+            known = [source[entity].select(*keys) for source in (typed, memory) if entity in source]
             if known:
                 parents[entity] = integrity.union_all(known)
         relations = [r for r in RELATIONS if r[0] in parents and r[2] in typed]
@@ -116,26 +116,30 @@ class Warehouse:
     def memory(self, entity: str) -> DataFrame | None:
         return self.store.current(f"dwm_{entity}")
 
+    def memory_tables(self) -> dict[str, DataFrame]:
+        """Every memory table that has been published, from one look at the manifest."""
+        published = self.store.published()
+        return {e: self.store.read(f"dwm_{e}", published[f"dwm_{e}"]) for e in ENTITIES if f"dwm_{e}" in published}
+
     def load_memory(
         self, typed: dict[str, DataFrame], results: DataFrame, as_of: datetime, load_ts: datetime | None = None
     ) -> dict[str, bool]:
         """Full refresh of each table that passes the gate; order headers and lines as one."""
-        units = [(e,) for e in typed if e not in SALES_UNIT]
-        if any(e in typed for e in SALES_UNIT):
-            units.append(tuple(e for e in SALES_UNIT if e in typed))
-        loaded = {}
-        for unit in units:
-            versions: dict[str, str] = {}
-
-            def load(entity: str, df: DataFrame) -> None:
-                current = stamp(df.withColumn("active", F.lit(True)), load_ts)
-                versions[f"dwm_{entity}"] = self.store.write(f"dwm_{entity}", current, ("active",))
-
-            checked = tuple(GATE_TABLES[e] for e in unit)
-            passed = quality.gated_load({e: typed[e] for e in unit}, results, as_of, load, checked)
-            if passed:
-                self.store.publish(versions)
-            loaded.update({e: passed for e in unit})
+        units = {e: (e,) for e in typed if e not in SALES_UNIT}
+        sales = tuple(e for e in SALES_UNIT if e in typed)
+        if sales:
+            units["sales"] = sales
+        checked = {unit: tuple(GATE_TABLES[e] for e in entities) for unit, entities in units.items()}
+        decisions = {r.unit: r.decision == "passed" for r in quality.rejections(results, checked, as_of).collect()}
+        versions, loaded = {}, {}
+        for unit, entities in units.items():
+            for entity in entities:
+                loaded[entity] = decisions[unit]
+                if decisions[unit]:
+                    rows = stamp(typed[entity].withColumn("active", F.lit(True)), load_ts)
+                    versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", rows)
+        if versions:
+            self.store.publish(versions)
         return loaded
 
     def apply_batch(
@@ -151,48 +155,45 @@ class Warehouse:
         History and model are published together, or not at all when a rule that tolerates no
         failure rejects the new fact table.
         """
-        candidates = {}
+        published = self.store.published()
+        versions = {}
         for entity, df in typed.items():
             if entity not in HISTORY_ENTITIES and entity != "countries":
                 continue
-            keys = list(ENTITIES[entity].keys)
+            table, keys = f"dwm_{entity}", list(ENTITIES[entity].keys)
             attributes = [c for c in df.columns if c not in keys]
             integrity.require_unique(df, keys, entity)
-            known = self.memory(entity)
-            if known is None:
-                known = stamp(df.limit(0).withColumn("active", F.lit(True)), load_ts)
-            candidates[f"dwm_{entity}"] = h.apply_changes(known, df, keys, attributes, load_ts)
-        layout = {name: ("active",) for name in candidates}
-        return self._publish(candidates, layout, run_id, executed_at, load_ts, extra_rules or [])
+            previous = published.get(table)
+            known = self.store.read(table, previous) if previous else _empty_history(df)
+            batch = h.next_versions(known, df, keys, attributes, load_ts)
+            versions[table] = self.store.write_history(table, batch, previous)
+
+        memory = self.memory_tables()
+        memory |= {e: self.store.read(f"dwm_{e}", versions[f"dwm_{e}"]) for e in ENTITIES if f"dwm_{e}" in versions}
+        model = self._write_model(memory, load_ts)
+
+        tables = {name: self.store.read(name, version) for name, version in {**versions, **model}.items()}
+        checked = [r for r in [*quality.MODEL_RULES, *(extra_rules or [])] if r.table in tables]
+        results = quality.run_all_checks(tables, checked, run_id, executed_at)
+        results = self._logged("dqm_quality_results", results, "run_id", run_id)
+        if quality.critical_rejections(results, run_id).take(1):
+            return False
+        self.store.publish({**versions, **model})
+        return True
 
     def standardise_countries(self, load_ts: datetime | None = None) -> None:
         """Recode country names of customers and employees, correct country attributes."""
-        versions = {}
+        versions, memory = {}, self.memory_tables()
         for entity in ("customers", "employees"):
-            known = self.memory(entity)
-            if known is not None:
-                recoded = recode(known, "country", COUNTRY_RECODE)
-                versions[f"dwm_{entity}"] = self.store.write(f"dwm_{entity}", recoded, ("active",))
-        countries = self.memory("countries")
-        if countries is not None:
-            patched = patch_countries(self.spark, countries)
-            versions["dwm_countries"] = self.store.write("dwm_countries", patched, ("active",))
+            if entity in memory:
+                recoded = recode(memory[entity], "country", COUNTRY_RECODE)
+                versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", recoded)
+        if "countries" in memory:
+            patched = patch_countries(self.spark, memory["countries"])
+            versions["dwm_countries"] = self.store.write_history("dwm_countries", patched)
         if versions:
             self.store.publish(versions)
 
-    def _publish(self, candidates, layout, run_id, executed_at, load_ts, extra_rules) -> bool:
-        versions = {n: self.store.write(n, df, layout.get(n, ())) for n, df in candidates.items()}
-        written = {n: self.store.read(n, v) for n, v in versions.items()}
-        memory = {e: written[f"dwm_{e}"] if f"dwm_{e}" in written else self.memory(e) for e in ENTITIES}
-        model = self._write_model({e: df for e, df in memory.items() if df is not None}, load_ts)
-        tables = {name: self.store.read(name, version) for name, version in model.items()}
-        checked = [r for r in [*quality.MODEL_RULES, *extra_rules] if r.table in {**tables, **written}]
-        results = quality.run_all_checks({**written, **tables}, checked, run_id, executed_at)
-        if quality.critical_rejections(results, run_id).take(1):
-            return False
-        self.store.publish({**versions, **model})
-        return True
-
     # Model
 
     def _write_model(self, memory, load_ts, time_start=TIME_START, time_days=TIME_DAYS) -> dict[str, str]:
@@ -202,7 +203,7 @@ class Warehouse:
         def keep(name: str, df: DataFrame) -> DataFrame:
             if name == "fact_table":
                 by_year = df.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-                versions[name] = self.store.write(name, by_year, ("year",))
+                versions[name] = self.store.write(name, by_year, ("year",), rebalance=True)
             else:
                 versions[name] = self.store.write(name, df)
             return self.store.read(name, versions[name])
@@ -211,9 +212,7 @@ class Warehouse:
         return versions
 
     def rebuild(self, load_ts: datetime | None = None, time_start: str = TIME_START, time_days: int = TIME_DAYS) -> None:
-        memory = {e: self.memory(e) for e in ENTITIES}
-        versions = self._write_model({e: df for e, df in memory.items() if df is not None}, load_ts, time_start, time_days)
-        self.store.publish(versions)
+        self.store.publish(self._write_model(self.memory_tables(), load_ts, time_start, time_days))
 
     def model(self, table: str) -> DataFrame:
         return self.store.current(table)
@@ -226,6 +225,10 @@ class Warehouse:
         return view
 
 
+def _empty_history(df: DataFrame) -> DataFrame:
+    return stamp(df.limit(0).withColumn("active", F.lit(True)))
+
+
 def patch_countries(spark: SparkSession, countries: DataFrame) -> DataFrame:
     """The keyed corrections of capital, code and name, by abbreviation and by name."""
     by_code = spark.createDataFrame(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST_SCHEMA = "seq long, table string, version string, schema string"
+MANIFEST_SCHEMA = "seq long, table string, version string, schema string, folders array<string>"
 
 
 def stamp(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
@@ -50,9 +50,12 @@ class VersionedStore:
     """Tables whose readers see only published versions.
 
     Each write goes to a new folder. Publishing appends one small file to the manifest that
-    names the new folder of every table concerned; Spark's commit protocol makes that file
-    appear whole or not at all. A batch that fails or is rejected leaves all tables as they
-    were, and tables published together change together.
+    names the folders of every table concerned; Spark's commit protocol makes that file appear
+    whole or not at all. A batch that fails or is rejected leaves all tables as they were, and
+    tables published together change together.
+
+    A version may consist of several folders: a history keeps the folders of its closed rows
+    from version to version, so that a batch never rewrites them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -60,27 +63,47 @@ class VersionedStore:
         self.root = root
         self._manifest = f"{root}/manifest"
         self._schemas: dict[str, T.StructType] = {}
+        self._folders: dict[str, list[str]] = {}
+
+    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = (), rebalance: bool = False) -> str:
+        """Store a candidate version; it is not visible to readers yet.
 
-    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
-        """Store a candidate version; it is not visible to readers yet."""
+        ``rebalance`` first gathers the rows of a partition into evenly sized tasks, large
+        partitions into several, instead of a small file per task and partition.
+        """
         version = f"v-{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{table}/{version}")
+        rows = df.hint("rebalance", *partition_by) if rebalance else df
+        writer = rows.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{table}/version={version}")
         self._schemas[version] = df.schema
+        self._folders[version] = [f"version={version}"]
+        return version
+
+    def write_history(self, table: str, rows: DataFrame, previous: str | None = None) -> str:
+        """Store the rows a batch closed or left in force, beside the closed rows already stored."""
+        version = self.write(table, rows, ("active",))
+        written = self.read(table, version).select("active").distinct().collect()
+        new = [f"version={version}/active={str(r.active).lower()}" for r in written]
+        kept = [f for f in self._folders[previous] if f.endswith("/active=false")] if previous else []
+        self._folders[version] = kept + new
         return version
 
     def read(self, table: str, version: str) -> DataFrame:
         """A version under its recorded schema, so that an empty one can be read as well."""
-        return self.spark.read.schema(self._schemas[version]).parquet(f"{self.root}/{table}/{version}")
+        schema, folder = self._schemas[version], f"{self.root}/{table}"
+        if not self._folders[version]:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", folder)
+        return reader.parquet(*[f"{folder}/{f}" for f in self._folders[version]]).select(*schema.names)
 
     def published(self) -> dict[str, str]:
         """Version in force per table. The manifest has one row per table and publication."""
-        latest = self._log().groupBy("table").agg(F.max_by(F.struct("version", "schema"), "seq").alias("entry"))
-        versions = {}
-        for row in latest.collect():
-            versions[row.table] = row.entry.version
+        entry = F.struct("version", "schema", "folders")
+        latest = self._log().groupBy("table").agg(F.max_by(entry, "seq").alias("entry")).collect()
+        for row in latest:
             self._schemas.setdefault(row.entry.version, T.StructType.fromJson(json.loads(row.entry.schema)))
-        return versions
+            self._folders.setdefault(row.entry.version, list(row.entry.folders))
+        return {row.table: row.entry.version for row in latest}
 
     def _log(self) -> DataFrame:
         try:
@@ -92,7 +115,10 @@ class VersionedStore:
 
     def publish(self, versions: dict[str, str]) -> None:
         seq = (self._log().agg(F.max("seq").alias("seq")).first().seq or 0) + 1
-        entries = [(seq, table, version, self._schemas[version].json()) for table, version in versions.items()]
+        entries = [
+            (seq, table, version, self._schemas[version].json(), self._folders[version])
+            for table, version in versions.items()
+        ]
         rows = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
         rows.coalesce(1).write.mode("append").parquet(self._manifest)
 

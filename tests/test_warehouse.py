@@ -1,15 +1,15 @@
 """The two shipped batches end to end, against the facts computed from the files."""
 
+import os
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import REFERENCE_DATA, first_batch_files, second_batch_files
-
-import os
+from conftest import REFERENCE_DATA, as_tuples, first_batch_files, second_batch_files
 
-from siltworks.plans.warehouse import Warehouse
 from siltworks.operators.quality import validity_rule
+from siltworks.plans.warehouse import Warehouse
+from siltworks.schemas import ENTITIES
 from siltworks.sources.staging import read_staging_csv
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(REFERENCE_DATA), reason="sample files not present")
@@ -166,3 +166,39 @@ def test_countries_are_standardised(updated):
     names = {r.country for r in warehouse.memory("customers").select("country").distinct().collect()}
     assert {"United Kingdom", "United States", "Republic of Ireland"} <= names
     assert not {"UK", "USA", "Ireland"} & names
+
+
+def test_closed_versions_are_not_rewritten(updated):
+    """The closed rows of the second batch stay where they were when a later batch came."""
+    store = updated[0].store
+    folders = sorted(store._folders[store.published()["dwm_products"]], key=lambda f: f.rsplit("=", 1)[1])
+    closed, current = [f.split("/") for f in folders]
+    assert (closed[1], current[1]) == ("active=false", "active=true") and closed[0] != current[0]
+    plan = updated[0].memory("products").filter("active")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(active" in plan
+
+
+def test_country_keys_reach_the_dimensions(updated, spark):
+    """With a country table in memory, customers and employees are resolved by name."""
+    warehouse = updated[0]
+    columns = ENTITIES["countries"].columns
+    rows = [
+        {c: "" for c in columns} | {"country_name": name, "abbreviation": code, "population": "1,000", "capital_city": capital}
+        for name, code, capital in [
+            ("United Kingdom", "GB", "London"),
+            (" united states", "US", "Washington"),
+            ("Brazil", "BR", "Bras\u00edlia"),
+        ]
+    ]
+    text = spark.createDataFrame(rows, ENTITIES["countries"].text_schema)
+    typed = warehouse.typed({"countries": text})
+    assert warehouse.apply_batch(typed, 9, LATER, LATER)
+    warehouse.standardise_countries()
+    warehouse.rebuild(LATER)
+    countries = warehouse.model("dim_country")
+    assert as_tuples(countries, "country_name", "capital_city", "population")[1] == ("Brazil", "Brasilia", 1000)
+    placed = warehouse.model("dim_customer").join(countries, "country_key")
+    assert placed.filter("country = 'United States'").count() == 13
+    assert {r.country for r in placed.select("country").distinct().collect()} == {"United Kingdom", "United States", "Brazil"}
+    assert warehouse.model("dim_employee").filter("country_key IS NULL").count() == 0
+    assert "country_key" in warehouse.model("dim_supplier").columns
