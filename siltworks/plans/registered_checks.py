@@ -128,7 +128,7 @@ def fk_orphans_self(spark, folder) -> DataFrame:
 _SUPPLIED = """SELECT n_name FROM nation WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000)"""
 
 
-def _supplied_nations(spark, folder) -> DataFrame:
+def supplied_nations(spark, folder) -> DataFrame:
     """Nations with a large supplier: a list of known countries that lacks some."""
     large = table(spark, folder, "supplier").filter("s_acctbal > 9000").select("s_nationkey")
     return table(spark, folder, "nation").join(large, F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
@@ -141,7 +141,7 @@ def _supplied_nations(spark, folder) -> DataFrame:
 def fk_orphans_country_name(spark, folder) -> DataFrame:
     """Names compared without case and surrounding spaces."""
     customers = TXT_CUSTOMERS.frame(spark, folder).select("customer_id", "country")
-    return integrity.fk_orphans(customers, "country", _supplied_nations(spark, folder), "n_name", normalised_name)
+    return integrity.fk_orphans(customers, "country", supplied_nations(spark, folder), "n_name", normalised_name)
 
 
 @catalogue.register(
@@ -160,7 +160,7 @@ def unmatched_values_report(spark, folder) -> DataFrame:
             "customer": (TXT_CUSTOMERS.frame(spark, folder), "customer_id", "country"),
             "supplier": (suppliers, "s_suppkey", "country"),
         },
-        _supplied_nations(spark, folder),
+        supplied_nations(spark, folder),
         "n_name",
     )
 

@@ -9,6 +9,7 @@ from siltworks.operators import catalog, cleaning, model
 from siltworks.operators.integrity import union_all
 from siltworks.plans import views
 from siltworks.plans.rebuild import rebuild_model, sales_by_employee_view
+from siltworks.plans.registered_checks import supplied_nations
 from siltworks.plans.registered_loading import typed_country_frame
 from siltworks.plans.testbed import (
     CUSTOMERS,
@@ -256,12 +257,14 @@ def dim_country(spark, folder) -> DataFrame:
 
 @catalogue.register(
     f"""SELECT c.customer_id, c.country, n.country_key FROM ({TXT_CUSTOMERS.sql}) c
-        LEFT JOIN (SELECT {ranked('n_name')} AS country_key, n_name FROM nation WHERE n_regionkey <> 4) n
+        LEFT JOIN (SELECT {ranked('n_name')} AS country_key, n_name FROM nation
+                   WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000)) n
         ON lower(trim(c.country)) = lower(trim(n.n_name))"""
 )
 def country_resolve(spark, folder) -> DataFrame:
-    """Country keys by name, whatever its case and spaces; one region is unknown to the dimension."""
-    nations = table(spark, folder, "nation").filter("n_regionkey <> 4").selectExpr("n_name AS country_name")
+    """Country keys by name, whatever its case and spaces; nations without a large supplier are
+    unknown to the dimension."""
+    nations = supplied_nations(spark, folder).selectExpr("n_name AS country_name")
     countries = model.assign_keys(nations, "country_name", "country_key")
     customers = TXT_CUSTOMERS.frame(spark, folder).select("customer_id", "country")
     return model.resolve_country(customers, countries)

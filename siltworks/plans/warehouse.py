@@ -95,6 +95,24 @@ class Warehouse:
             )
         return integrity.union_all(blanks).join(integrity.union_all(repeats), "table_name")
 
+    def malformed_keys(self, text: dict[str, DataFrame]) -> DataFrame:
+        """Key parts that cannot take their typed form: table, column, value, length."""
+        found = []
+        for entity, df in text.items():
+            spec = ENTITIES[entity]
+            for rule in rules.rules_for(entity):
+                if rule.column in spec.keys:
+                    bad = integrity.pk_malformed(df, {rule.column: rule.broken})
+                    found.append(
+                        bad.select(
+                            F.lit(spec.text_table).alias("table_name"),
+                            F.lit(rule.column).alias("column_name"),
+                            F.col(rule.column).alias("key_value"),
+                            F.col(f"{rule.column}_length").alias("key_length"),
+                        )
+                    )
+        return integrity.union_all(found)
+
     def check_relations(self, typed: dict[str, DataFrame]) -> DataFrame:
         """Catalogued relations of a batch; parents are the batch together with memory."""
         parents, memory = {}, self.memory_tables()
@@ -194,6 +212,23 @@ class Warehouse:
         if versions:
             self.store.publish(versions)
 
+    def country_leftovers(self) -> dict[str, DataFrame]:
+        """What standardisation left: unknown country names, near-duplicate and non-ASCII countries."""
+        memory = self.memory_tables()
+        countries = h.current_rows(memory["countries"])
+        sources = {
+            f"dwm_{entity}": (h.current_rows(memory[entity]), ENTITIES[entity].keys[0], "country")
+            for entity in ("customers", "suppliers", "employees")
+            if entity in memory
+        }
+        return {
+            "unmatched": integrity.unmatched_values_report(sources, countries, "country_name"),
+            "near_duplicates": integrity.near_duplicate_names(countries, "country_name", "country_name"),
+            "non_printable": integrity.non_printable_ascii(countries, ["country_name", "capital_city"]).select(
+                "country_name", "capital_city", "abbreviation"
+            ),
+        }
+
     # Model
 
     def _write_model(self, memory, load_ts, time_start=TIME_START, time_days=TIME_DAYS) -> dict[str, str]:

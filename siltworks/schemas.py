@@ -323,7 +323,19 @@ RELATIONS: list[tuple[str, str, str, str]] = [
     ("dim_country", "country_name", "suppliers", "country"),
     ("dim_country", "country_name", "employees", "country"),
     ("dim_country", "country_name", "orders", "ship_country"),
+    ("dim_country", "country_key", "dim_customer", "country_key"),
+    ("dim_country", "country_key", "dim_supplier", "country_key"),
+    ("dim_country", "country_key", "dim_employee", "country_key"),
 ]
 
-# Attributes compared by the change application, per entity that takes incremental batches.
+# Columns whose missing values the exploratory profile counts, per staged table.
+COMPLETENESS_COLUMNS: dict[str, list[str]] = {
+    "orders": ["shipped_date", "ship_region"],
+    "suppliers": ["region", "postal_code", "home_page", "fax"],
+    "customers": ["regions", "postal_code", "fax"],
+    "employees": ["reports_to", "region", "home_phone", "photo_path"],
+    "products": ["discontinued", "reorder_level", "units_on_order"],
+}
+
+# Entities that take incremental batches as versions.
 HISTORY_ENTITIES = ("products", "customers", "orders", "order_details")

@@ -82,8 +82,10 @@ class VersionedStore:
     def write_history(self, table: str, rows: DataFrame, previous: str | None = None) -> str:
         """Store the rows a batch closed or left in force, beside the closed rows already stored."""
         version = self.write(table, rows, ("active",))
-        written = self.read(table, version).select("active").distinct().collect()
-        new = [f"version={version}/active={str(r.active).lower()}" for r in written]
+        written = self.read(table, version)
+        # One row of either kind at most: the filter prunes to that kind's folder.
+        found = [flag for flag in ("true", "false") if written.filter(f"active = {flag}").take(1)]
+        new = [f"version={version}/active={flag}" for flag in found]
         kept = [f for f in self._folders[previous] if f.endswith("/active=false")] if previous else []
         self._folders[version] = kept + new
         return version

@@ -66,7 +66,7 @@ def test_relationship_catalog(spark, child, parent):
         ("child", "id", 5, 0),
         ("parent", "fk", 5, 1),
     ]
-    assert catalog.relations_frame(spark).count() == 21
+    assert catalog.relations_frame(spark).count() == 24
 
 
 @pytest.mark.parametrize("list_size", [3, 7, 1000])

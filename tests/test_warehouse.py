@@ -8,6 +8,7 @@ import pytest
 from conftest import REFERENCE_DATA, as_tuples, first_batch_files, second_batch_files
 
 from siltworks.operators.quality import validity_rule
+from siltworks.plans.exploration import exploratory_profile
 from siltworks.plans.warehouse import Warehouse
 from siltworks.schemas import ENTITIES
 from siltworks.sources.staging import read_staging_csv
@@ -102,6 +103,29 @@ def test_keys_are_clean_and_gate_passes(loaded):
     assert all(decisions.values())
 
 
+def test_exploratory_profile(loaded):
+    text = loaded[1]
+    reports = exploratory_profile(text)
+    assert [tuple(r) for r in reports["products_per_category"].collect()] == [
+        ("Confections", 13),
+        ("Beverages", 12),
+        ("Condiments", 12),
+        ("Seafood", 12),
+        ("Dairy Products", 10),
+        ("Grains/Cereals", 7),
+        ("Meat/Poultry", 6),
+        ("Produce", 5),
+    ]
+    assert as_tuples(reports["countries_per_origin"], "source", "distinct_values") == [("customers", 21), ("suppliers", 16)]
+    assert tuple(reports["cardinality"].first()) == (91, 77, 29)
+    # 2222.71 / 77 = 28.866363…
+    assert [str(v) for v in reports["price_range"].first()] == ["2.5000", "263.5000", "28.8664"]
+    assert tuple(reports["completeness_customers"].first()) == ("txt_customers", 91, 0, 0, 0)
+    assert [str(r.unit_price.normalize()) for r in reports["dearest_products"].collect()][0] == "263.5"
+    assert reports["least_stock"].filter("units_in_stock <= 0").count() == 0
+    assert loaded[0].malformed_keys(text).count() == 0
+
+
 def test_first_batch_has_no_orphans(loaded):
     warehouse, _, typed, _ = loaded
     assert {r.orphan_rows for r in warehouse.check_relations(typed).collect()} == {0}
@@ -202,3 +226,7 @@ def test_country_keys_reach_the_dimensions(updated, spark):
     assert {r.country for r in placed.select("country").distinct().collect()} == {"United Kingdom", "United States", "Brazil"}
     assert warehouse.model("dim_employee").filter("country_key IS NULL").count() == 0
     assert "country_key" in warehouse.model("dim_supplier").columns
+    leftovers = warehouse.country_leftovers()
+    assert leftovers["unmatched"].filter("bad_value = 'Germany'").count() > 0
+    assert leftovers["unmatched"].filter("bad_value = 'United States'").count() == 0
+    assert leftovers["near_duplicates"].count() == 0 and leftovers["non_printable"].count() == 0
