@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators.integrity import fk_orphan_count, union_all
+from siltworks.sources.staging import rows
 from siltworks.sources.tables import VersionedStore
 
 # Fixed values stored in the results and the rule catalog.
@@ -99,12 +100,24 @@ MODEL_RULES = [
 
 
 def rules_frame(spark: SparkSession, rules: list[QualityRule]) -> DataFrame:
-    return spark.createDataFrame(
+    return rows(
+        spark,
         [(r.name, r.description, r.table, r.column, r.rule_type, r.threshold, r.check_sql) for r in rules],
         RULE_SCHEMA,
     )
 
 
+def load_rules(catalog: DataFrame, table: str) -> list[QualityRule]:
+    """The catalogued rules of one table, each run by its stored SQL. A catalog is a small table."""
+    found = catalog.filter(F.col("target_table") == table).orderBy("rule_name").collect()
+    return [
+        QualityRule(
+            r.rule_name, r.description, r.target_table, r.target_column, r.rule_type, r.threshold_pct, statement=r.check_sql
+        )
+        for r in found
+    ]
+
+
 def upsert(catalog: DataFrame, new: DataFrame, key: str, overwrite: list[str]) -> DataFrame:
     """Insert new keys; for a known key overwrite only the listed columns.
 

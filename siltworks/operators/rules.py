@@ -23,6 +23,7 @@ from siltworks.functions import (
     UNSIGNED_NUMBER,
     any_of,
 )
+from siltworks.sources.staging import rows
 
 
 @dataclass(frozen=True)
@@ -251,7 +252,8 @@ def _country_rules() -> list[FieldRule]:
 
 def rule_registry(spark: SparkSession, rules: dict[str, list[FieldRule]]) -> DataFrame:
     """The declared rules as a table; the same objects that the checks run."""
-    return spark.createDataFrame(
+    return rows(
+        spark,
         [(table, r.column, r.rule_type, r.rule_param, r.issue) for table, listed in rules.items() for r in listed],
         "table_name string, column_name string, rule_type string, rule_param string, description string",
     )

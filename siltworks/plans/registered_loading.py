@@ -12,7 +12,6 @@ from siltworks.operators.typed import to_typed
 from siltworks.plans.testbed import (
     CHANGED,
     LOADED,
-    PRODUCTS,
     SELLERS,
     TXT_COUNTRIES,
     TXT_CUSTOMERS,

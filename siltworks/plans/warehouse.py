@@ -56,11 +56,12 @@ class Warehouse:
             spec = ENTITIES[entity]
             key = F.concat_ws("|", *spec.keys) if len(spec.keys) > 1 else spec.keys[0]
             found.append(rules.validate(df, spec.text_table, rules.rules_for(entity), key, run_id))
-        return self._logged("dqm_validation_issues", integrity.union_all(found), "log_id", run_id)
+        return self._logged("dqm_validation_issues", integrity.union_all(found), run_id, "format")
 
-    def _logged(self, log: str, rows: DataFrame, run_column: str, run_id: int) -> DataFrame:
-        """Add the rows of a run to a log, a folder per run, and return them as stored."""
-        path = f"{self.root}/{log}/{run_column}_folder={run_id}"
+    def _logged(self, log: str, rows: DataFrame, run_id: int, step: str) -> DataFrame:
+        """Add the rows of a run's step to a log, in a folder of their own, and return them as
+        stored. A step that is run again replaces what it logged before."""
+        path = f"{self.root}/{log}/run={run_id}/step={step}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -127,7 +128,7 @@ class Warehouse:
     def check_quality(self, typed: dict[str, DataFrame], run_id: int, executed_at: datetime) -> DataFrame:
         tables = {GATE_TABLES[entity]: df for entity, df in typed.items()}
         results = quality.run_all_checks(tables, quality.STAGING_RULES, run_id, executed_at)
-        return self._logged("dqm_quality_results", results, "run_id", run_id)
+        return self._logged("dqm_quality_results", results, run_id, "staging")
 
     # Memory
 
@@ -193,7 +194,7 @@ class Warehouse:
         tables = {name: self.store.read(name, version) for name, version in {**versions, **model}.items()}
         checked = [r for r in [*quality.MODEL_RULES, *(extra_rules or [])] if r.table in tables]
         results = quality.run_all_checks(tables, checked, run_id, executed_at)
-        results = self._logged("dqm_quality_results", results, "run_id", run_id)
+        results = self._logged("dqm_quality_results", results, run_id, "model")
         if quality.critical_rejections(results, run_id).take(1):
             return False
         self.store.publish({**versions, **model})

@@ -2,7 +2,6 @@
 
 from datetime import datetime, timezone
 
-import pytest
 from conftest import as_tuples
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -81,6 +81,22 @@ def test_conditions_share_one_scan(spark, hundred, tmp_path):
     assert results._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
+def test_catalogued_rules_run_by_their_sql(spark, hundred):
+    hundred.createOrReplaceTempView("quality_t")
+    spark.range(190).createOrReplaceTempView("quality_p")
+    rules = [
+        quality.completeness_rule("c", "quality_t", "e", or_empty=True),
+        quality.validity_rule("v", "quality_t", "v", "v > 150", "50.00"),
+        quality.consistency_rule("fk", "quality_t", "v", "quality_p", "id"),
+    ]
+    tables = {"quality_t": hundred, "quality_p": spark.range(190)}
+    direct = quality.run_quality_checks(tables, "quality_t", rules, 1, NOW)
+    stored = quality.load_rules(quality.rules_frame(spark, rules), "quality_t")
+    by_sql = quality.run_quality_checks(tables, "quality_t", stored, 1, NOW)
+    assert len(stored) == 3 and all(r.statement for r in stored)
+    assert as_tuples(direct, *direct.columns) == as_tuples(by_sql, *direct.columns)
+
+
 def results_frame(spark, rows):
     schema = "rule_name string, target_table string, threshold_pct decimal(5,2), run_id long, executed_at timestamp, verdict string"
     return spark.createDataFrame([(f"r{i}", t, Decimal(th), run, at, v) for i, (t, th, run, at, v) in enumerate(rows)], schema)
