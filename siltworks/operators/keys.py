@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Number of leading hexadecimal digits of the key digest that form the bucket: 4 gives 65 536
@@ -19,20 +19,15 @@ def assign_keys(df: DataFrame, business_key: str | list[str], key_name: str) ->
     lost gives the same numbers, so nothing has to be checkpointed.
     """
     keys = [business_key] if isinstance(business_key, str) else list(business_key)
-    digest = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
-    bucketed = df.withColumn("_bucket", F.substring(digest, 1, BUCKET_DIGITS))
+    text = ", ".join(f"coalesce(CAST(`{k}` AS STRING), '')" for k in keys)
+    bucketed = df.selectExpr("*", f"substring(md5(concat_ws('\\u001f', {text})), 1, {BUCKET_DIGITS}) AS _bucket")
 
     # At most 16**BUCKET_DIGITS rows: the only unpartitioned window, over that bounded table.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = Window.partitionBy("_bucket").orderBy(*keys)
-    return (
-        bucketed.withColumn("_position", F.row_number().over(local))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(key_name, (F.col("_offset") + F.col("_position")).cast("long"))
-        .select(key_name, *df.columns)
+    before = "OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = bucketed.groupBy("_bucket").count().selectExpr("_bucket", f"coalesce(sum(count) {before}, 0) AS _offset")
+
+    order = ", ".join(f"`{k}`" for k in keys)
+    numbered = bucketed.selectExpr("*", f"row_number() OVER (PARTITION BY _bucket ORDER BY {order}) AS _position")
+    return numbered.join(F.broadcast(offsets), "_bucket").selectExpr(
+        f"CAST(_offset + _position AS BIGINT) AS {key_name}", *[f"`{c}`" for c in df.columns]
     )

@@ -28,7 +28,7 @@ def test_keys_need_no_single_task_sort_of_the_data(spark):
     keyed.collect()
     plan = keyed._jdf.queryExecution().optimizedPlan().toString()
     # The one window without partitions numbers bucket counts, never rows.
-    unpartitioned = [line for line in plan.splitlines() if "Window" in line and "windowspecdefinition(_bucket" in line and "sum(_rows" in line]
+    unpartitioned = [line for line in plan.splitlines() if "Window" in line and "windowspecdefinition(_bucket" in line and "sum(count" in line]
     rows = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
     assert len(unpartitioned) == 1 and len(rows) == 1 and "windowspecdefinition(_bucket" in rows[0]
 
