@@ -16,6 +16,8 @@ from siltworks.session import scratch_path
 
 # Bytes of results that a task gathers before it hands them on.
 BATCH_BYTES = 8_000_000
+# Bits of a bitmap that keeps rows out of a shuffle: 2 MB, at most 512 rows of 4 KB.
+BITMAP_BITS = 1 << 24
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,3 +89,22 @@ def groups_of(sizes: list[int], limit: int) -> Iterator[slice]:
         total += size
     if start < len(sizes):
         yield slice(start, len(sizes))
+
+
+def bitmap_of(digests: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """The bits of the 64-bit values in column ``digest``, at most ``bits / 32768`` rows of 4 KB."""
+    bit = F.pmod("digest", F.lit(bits))
+    return digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
+
+
+def maybe_in(rows: DataFrame, bitmap: DataFrame, wanted: bool = True, bits: int = BITMAP_BITS) -> DataFrame:
+    """Rows whose ``digest`` has its bit set, with some others by chance; or the rows whose bit is not set.
+
+    The bitmap is broadcast: its size is fixed. Nulls count as not set.
+    """
+    bit = F.pmod("digest", F.lit(bits))
+    byte = F.conv(F.hex(F.expr("substring(bitmap, cast(bit_place div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    joined = rows.withColumn("bucket", F.bitmap_bucket_number(bit)).withColumn("bit_place", F.bitmap_bit_position(bit))
+    joined = joined.join(F.broadcast(bitmap), "bucket", "left")
+    is_set = F.coalesce(F.call_function("shiftright", byte, F.expr("cast(bit_place % 8 as int)")).bitwiseAND(F.lit(1)), F.lit(0))
+    return joined.filter(is_set == F.lit(int(wanted))).drop("bucket", "bit_place", "bitmap")

@@ -10,8 +10,8 @@ Digests that any screen lets through are suspects. The texts of suspect rows mee
 buckets and are grouped by their bytes, after grouping within each task, so that a group of
 copies of any size sends one row per task. Digests decide nothing by themselves: a false
 positive or a collision leaves groups of one. To keep other texts where they are, rows are first
-tested against a bitmap of the suspects of fixed size ``BITMAP_BITS``; a full bitmap lets all
-through and changes no result.
+tested against a bitmap of the suspects, of fixed size; a full bitmap lets all through and
+changes no result.
 
 Null text counts as empty, and empty texts are equal. Of equal texts the rows with the smallest
 doc_id stay (a null doc_id only if there is no other); repeated rows of that doc_id are one
@@ -25,13 +25,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import ship, stored
+from siltworks.llm.common import bitmap_of, maybe_in, ship, stored
 
 BATCHES = 3
 #: Digests in a shard of a filter, about.
 SHARD_KEYS = 40_000
-#: Bits of the map that keeps other texts out of the shuffle: 2 MB, broadcast. At most 512 rows of 4 KB.
-BITMAP_BITS = 1 << 24
 
 _MASK64 = (1 << 64) - 1
 
@@ -162,21 +160,6 @@ def suspects(rows: DataFrame, batches: int) -> DataFrame:
     return union.distinct()
 
 
-def _bitmap(digests: DataFrame, bits: int) -> DataFrame:
-    """At most ``bits / 32768`` rows of 4 KB: the bits of the given digests."""
-    bit = F.pmod("digest", F.lit(bits))
-    return digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
-
-
-def _marked(rows: DataFrame, bitmap: DataFrame, bits: int) -> DataFrame:
-    """Rows whose digest has its bit set."""
-    bit = F.pmod("digest", F.lit(bits))
-    place = F.bitmap_bit_position(bit)
-    byte = F.conv(F.hex(F.expr("substring(bitmap, cast(place div 8 + 1 as int), 1)")), 16, 10).cast("int")
-    joined = rows.withColumn("bucket", F.bitmap_bucket_number(bit)).withColumn("place", place).join(F.broadcast(bitmap), "bucket")
-    return joined.filter(F.expr("1") == F.call_function("shiftright", byte, F.expr("cast(place % 8 as int)")).bitwiseAND(F.lit(1))).drop("bucket", "place", "bitmap")
-
-
 def dedupe(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per document."""
     text = docs.select("doc_id", normalised(F.col("text")).alias("norm"))
@@ -191,7 +174,7 @@ def dedupe(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         "dedup-digests",
     )
     found = stored(suspects(rows, batches), "dedup-suspects")
-    near = _marked(text.withColumn("digest", digest), _bitmap(found, BITMAP_BITS), BITMAP_BITS)
+    near = maybe_in(text.withColumn("digest", digest), bitmap_of(found))
     equal = (
         near.groupBy("digest", "norm")
         .agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("size"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import bpe, exact_dedup, packing, quality_rules, simhash, token_blocks
+from siltworks.llm import bpe, exact_dedup, packing, quality_rules, simhash, suffix_dedup, token_blocks
 from siltworks.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.query(documents(spark, folder), WORD_BPE)
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.query(documents(spark, folder))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedupe(documents(spark, folder))
 
@@ -36,6 +40,6 @@ def op10_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.query(documents(spark, folder), WORD_BPE, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_bpe, op8_exact_dedup, op9_packing, op10_token_blocks)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_bpe, op7_suffix_dedup, op8_exact_dedup, op9_packing, op10_token_blocks)}
 
 SQL = {"op4_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL}
