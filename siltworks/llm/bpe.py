@@ -23,20 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.chunk_encoder import ChunkEncoder
+from siltworks.llm.chunk_encoder import ChunkEncoder, byte_symbols
 from siltworks.llm.common import map_rows
 
 # White space as the file's patterns mean it; a language's own \s may hold more characters.
 _SPACE = r"\p{White_Space}"
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return [chr(b) if b not in set(hidden) else chr(256 + hidden.index(b)) for b in range(256)]
-
-
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
@@ -115,7 +108,7 @@ def loaded(path: str) -> tuple[WordBpe, ChunkEncoder]:
     """The coder of a file, and its memory of chunks; one per worker process."""
     if path not in _LOADED:
         coder = WordBpe(path)
-        _LOADED[path] = coder, ChunkEncoder(lambda text: array("I", coder.encode_text(text)).tobytes(), keep_space=False)
+        _LOADED[path] = coder, ChunkEncoder(lambda word: array("I", coder.encode_text(word.decode())).tobytes(), keep_space=False)
     return _LOADED[path]
 
 

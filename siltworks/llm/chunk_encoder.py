@@ -16,10 +16,12 @@ from array import array
 from collections.abc import Callable
 
 #: Entries of a generation. An entry takes about 200 bytes; a worker holds two generations of chunks and two of words.
-ROOM = 400_000
+ROOM = 600_000
 
 # White space outside ASCII, as UTF-8. It may stand in one piece with ASCII white space.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+# Without these, every space and line end starts a run of its own, and a zero byte can mark it.
+_NOT_SINGLE = (b"\0", b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b" \n", b"\n ", b"\n\n")
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
 
 
@@ -52,12 +54,14 @@ class ChunkEncoder:
     belongs to the pieces; if it does not, chunks are plain words.
     """
 
-    def __init__(self, encode_one: Callable[[str], bytes], keep_space: bool, room: int = ROOM):
+    def __init__(self, encode_one: Callable[[bytes], bytes], keep_space: bool, room: int = ROOM):
         self.keep_space = keep_space
-        self.words = Memory(lambda word: encode_one(word.decode()), room)
+        self.words = Memory(encode_one, room)
         self.chunks = Memory(self._from_words, room)
 
     def _from_words(self, chunk: bytes) -> bytes:
+        if chunk[:1] == b"\n" and not chunk[1:2].isspace():  # a line end before a word is a piece
+            return self.words[b"\n"] + self.chunks[chunk[1:]] if chunk[1:] else self.words[chunk]
         word = chunk.rstrip(b".,")
         if len(word) < len(chunk) and word.decode()[-1:].isalpha():
             return self.words[word] + self.words[chunk[len(word) :]]
@@ -68,6 +72,9 @@ class ChunkEncoder:
             return data.split()
         if not data.isascii() and _WIDE_SPACE.search(data):
             return [data]
+        if not any(mark in data for mark in _NOT_SINGLE):
+            chunks = data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")
+            return chunks if chunks[0] else chunks[1:]
         chunks = _CHUNK.findall(data)
         end = len(data.rstrip(b" \t\n\r\x0b\x0c"))
         return chunks + [data[end:]] if end < len(data) else chunks
@@ -79,11 +86,25 @@ class ChunkEncoder:
         return ids
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b not in set(hidden) else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+# One piece in either vocabulary, in normal form, whose lower case has one form.
+_PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
 _LOADED: dict[tuple, ChunkEncoder] = {}
 
 
 def library_encoder(path: str, keep_space: bool) -> ChunkEncoder:
-    """An encoder over a tokenizer file, one per worker process."""
+    """An encoder over a tokenizer file, one per worker process.
+
+    A word of plain letters goes straight to the library's model, as its one piece; anything
+    else takes the library's whole way.
+    """
     if (path, keep_space) not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -91,8 +112,15 @@ def library_encoder(path: str, keep_space: bool) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-
-        def encode_one(text: str) -> bytes:
+        model = tokenizer.model
+        lower = "Lowercase" in str(tokenizer.normalizer)
+        symbols = dict(enumerate(byte_symbols()))
+
+        def encode_one(data: bytes) -> bytes:
+            text = data.decode()
+            if _PLAIN_WORD.fullmatch(text, int(keep_space and data[:1] == b" ")):
+                piece = text.lower().encode() if lower else data
+                return array("I", [t.id for t in model.tokenize(piece.decode("latin-1").translate(symbols))]).tobytes()
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
         _LOADED[path, keep_space] = ChunkEncoder(encode_one, keep_space)
