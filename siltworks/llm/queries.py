@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import bpe, exact_dedup, packing, quality_rules, simhash, suffix_dedup, token_blocks
+from siltworks.llm import bpe, exact_dedup, license_scan, packing, quality_rules, simhash, suffix_dedup, token_blocks
 from siltworks.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.query(documents(spark, folder))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(documents(spark, folder))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.query(documents(spark, folder))
 
@@ -40,6 +44,6 @@ def op10_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.query(documents(spark, folder), WORD_BPE, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_bpe, op7_suffix_dedup, op8_exact_dedup, op9_packing, op10_token_blocks)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_quality_rules, op5_bpe, op7_suffix_dedup, op8_exact_dedup, op9_packing, op10_token_blocks)}
 
-SQL = {"op4_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL}
+SQL = {"op2_license_scan": license_scan.SQL, "op4_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL}
