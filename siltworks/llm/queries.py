@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import bpe, exact_dedup, license_scan, packing, quality_rules, simhash, suffix_dedup, token_blocks
+from siltworks.llm import bpe, exact_dedup, language_id, license_scan, packing, quality_rules, simhash, suffix_dedup, token_blocks, url_filter
 from siltworks.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,10 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(documents(spark, folder))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(documents(spark, folder))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.query(documents(spark, folder))
 
@@ -28,6 +32,10 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.query(documents(spark, folder), WORD_BPE)
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.query(documents(spark, folder))
 
@@ -44,6 +52,20 @@ def op10_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.query(documents(spark, folder), WORD_BPE, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_license_scan, op4_quality_rules, op5_bpe, op7_suffix_dedup, op8_exact_dedup, op9_packing, op10_token_blocks)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_license_scan,
+        op3_language_id,
+        op4_quality_rules,
+        op5_bpe,
+        op6_url_filter,
+        op7_suffix_dedup,
+        op8_exact_dedup,
+        op9_packing,
+        op10_token_blocks,
+    )
+}
 
 SQL = {"op2_license_scan": license_scan.SQL, "op4_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL}
