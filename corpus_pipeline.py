@@ -6,21 +6,56 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from siltworks.llm import packing  # noqa: E402
-from siltworks.llm.common import documents, stored  # noqa: E402
+from siltworks.llm import exact_dedup, packing, quality_rules, simhash, suffix_dedup  # noqa: E402
+from siltworks.llm.common import documents, stored, without  # noqa: E402
 from siltworks.llm.queries import BYTE_BPE  # noqa: E402
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return without(docs, quality_rules.judge(docs).filter(~F.col("kept")), "text", "source")
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first of each group of equal texts."""
+    return without(docs, exact_dedup.dedupe(docs).filter(~F.col("kept")), "text")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first of each component of near fingerprints."""
+    found = simhash.near_duplicates(docs)
+    return without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "text")
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated passages. What is left of a character goes as well, and texts of which no word is left."""
+    found = suffix_dedup.remove_repeats(docs)
+    cut = F.col("n_spans") > 0
+    left = F.col("kept").cast("string")
+    text = F.when(F.is_valid_utf8(left), left).otherwise(F.regexp_replace(F.make_valid_utf8(left), "�", ""))
+    found = found.withColumn("text", text).filter(~cut | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col("text"), "n_chars": F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("own.n_chars"))}
+    return found.select(*[changed[c].alias(c) if c in changed else F.col("own").getField(c).alias(c) for c in docs.columns])
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences."""
     return packing.query(docs, BYTE_BPE, end_id=0)
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("simhash near-dedup", near),
+    ("suffix-array dedup", passages),
+    ("packing", packed),
+]
 
-# Tokenizers and trained filters have no SQL.
+# Fingerprints, hosts' priors after earlier stages and tokenizers have no SQL.
 ORACLE_SQL = None
 
 
