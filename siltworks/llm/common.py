@@ -108,3 +108,16 @@ def maybe_in(rows: DataFrame, bitmap: DataFrame, wanted: bool = True, bits: int
     joined = joined.join(F.broadcast(bitmap), "bucket", "left")
     is_set = F.coalesce(F.call_function("shiftright", byte, F.expr("cast(bit_place % 8 as int)")).bitwiseAND(F.lit(1)), F.lit(0))
     return joined.filter(is_set == F.lit(int(wanted))).drop("bucket", "bit_place", "bitmap")
+
+
+def without(docs: DataFrame, rejected: DataFrame, *columns: str) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not among the rejected (doc_id, row); row is row_key(*columns).
+
+    Only rows that a bitmap can't rule out are shuffled for the exact comparison.
+    """
+    rejected = stored(rejected.select(F.col("doc_id").alias("out_id"), F.col("row").alias("out_row")).distinct(), "rejected")
+    bitmap = bitmap_of(rejected.select(F.xxhash64("out_id", "out_row").alias("digest")))
+    row = row_key(*columns)
+    tagged = docs.select(F.struct("*").alias("own"), row.alias("row"), F.xxhash64(F.col("doc_id"), row).alias("digest"))
+    near = maybe_in(tagged, bitmap).join(rejected, F.col("own.doc_id").eqNullSafe(F.col("out_id")) & (F.col("row") == F.col("out_row")), "left_anti")
+    return maybe_in(tagged, bitmap, wanted=False).select("own.*").union(near.select("own.*"))

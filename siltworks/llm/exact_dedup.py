@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bitmap_of, maybe_in, ship, stored
+from siltworks.llm.common import bitmap_of, maybe_in, row_key, ship, stored
 
 BATCHES = 3
 #: Digests in a shard of a filter, about.
@@ -161,12 +161,13 @@ def suspects(rows: DataFrame, batches: int) -> DataFrame:
 
 
 def dedupe(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256), one row per document."""
-    text = docs.select("doc_id", normalised(F.col("text")).alias("norm"))
+    """(doc_id, keep_id, group_size, kept, text_sha256, row), one row per document; row is row_key("text")."""
+    text = docs.select("doc_id", row_key("text").alias("row"), normalised(F.col("text")).alias("norm"))
     digest = F.xxhash64("norm")
     rows = stored(
         text.select(
             "doc_id",
+            "row",
             digest.alias("digest"),
             F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
             F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch"),
@@ -189,9 +190,14 @@ def dedupe(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         F.coalesce("size", F.lit(1)).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
+        "row",
     )
 
 
+def query(docs: DataFrame) -> DataFrame:
+    return dedupe(docs).drop("row")
+
+
 SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents

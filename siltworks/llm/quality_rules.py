@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import map_rows, stored
+from siltworks.llm.common import map_rows, row_key, stored
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -79,7 +79,7 @@ def measure(docs: DataFrame) -> DataFrame:
             for doc_id, source, row, text in zip(batch["doc_id"], batch["source"], batch["row"], batch["text"]):
                 yield doc_id, source, row, *counts(text)
 
-    named = docs.select("doc_id", "source", F.xxhash64("text", "source").alias("row"), "text")
+    named = docs.select("doc_id", "source", row_key("text", "source").alias("row"), "text")
     return map_rows(named, make, f"doc_id bigint, source string, row bigint, {COUNTS}").withColumns(
         {"base_failed": F.expr(BASE), "warned": F.expr(WARNING)}
     )

@@ -41,7 +41,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.dedupe(documents(spark, folder))
+    return exact_dedup.query(documents(spark, folder))
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:

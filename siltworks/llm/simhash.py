@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import map_rows, stored
+from siltworks.llm.common import map_rows, row_key, stored
 from siltworks.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 value = fingerprint(text, shingle)
                 yield doc_id, row, value - ((value >> 63) << 64)
 
-    return map_rows(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"), make, "doc_id bigint, row bigint, fp bigint")
+    return map_rows(docs.select("doc_id", row_key("text").alias("row"), "text"), make, "doc_id bigint, row bigint, fp bigint")
 
 
 def _led_by(first: int, second: int) -> Column:

@@ -23,6 +23,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -272,12 +273,11 @@ def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, bytes]:
     return runs, b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT, also: list[str] | None = None) -> DataFrame:
-    """(doc_id, n_bytes, n_spans, kept): the remaining bytes of every document; ``also`` names columns to carry."""
+def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> DataFrame:
+    """(own, n_bytes, n_spans, kept): each row of ``docs`` as a struct, and its remaining bytes."""
     seed, copies, spans = repeated_spans(docs, batches, hot)
-    carried = F.struct("doc_id", *(also or [])).alias("own")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(carried, F.xxhash64(F.lit(seed), text).alias("digest"), text.alias("text"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("own"), F.xxhash64(F.lit(seed), text).alias("digest"), text.alias("text"))
     lists = spans.groupBy("t").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     twice = copies.filter(F.col("bytes") >= SPAN).select("t", "bytes")
     changes = twice.select("t", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("bytes").alias("stop"))).alias("spans"))
@@ -285,27 +285,27 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT, also
     bitmap = bitmap_of(changes.select(F.col("t").alias("digest")))
     data = F.encode("text", "utf-8")
     same = maybe_in(rows, bitmap, wanted=False).select(
-        "own.*", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_spans"), data.alias("kept")
+        "own", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_spans"), data.alias("kept")
     )
-    near = maybe_in(rows, bitmap).withColumnRenamed("digest", "t").join(changes, "t", "left").withColumn("data", data).drop("text", "t")
-    names = [f"c{i}" for i in range(len(also or []) + 1)]
-    types = dict(docs.dtypes)
-    flat = near.select(*[F.col("own").getField(c).alias(n) for c, n in zip(["doc_id", *(also or [])], names)], "data", F.to_json("spans").alias("spans"))
-
-    def make(batches: Iterator[dict]) -> Iterator[tuple]:
-        import json
+    near = maybe_in(rows, bitmap).withColumnRenamed("digest", "t").join(changes, "t", "left")
+    near = near.select("own", data.alias("data"), F.to_json("spans").alias("spans"))
+    ship(docs.sparkSession)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, data, found in zip(zip(*(batch[n] for n in names)), batch["data"], batch["spans"]):
-                runs, kept = _cut(data, [(s["start"], s["stop"]) for s in json.loads(found or "[]")])
-                yield *own, len(data), runs, kept
+            sizes, runs, kept = [], [], []
+            for text, found in zip(batch["data"].to_pylist(), batch["spans"].to_pylist()):
+                n, left = _cut(text, [(s["start"], s["stop"]) for s in json.loads(found or "[]")])
+                sizes.append(len(text))
+                runs.append(n)
+                kept.append(left)
+            columns = [batch["own"], pa.array(sizes, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["own", "n_bytes", "n_spans", "kept"])
 
-    schema = ", ".join(f"{n} {types[c]}" for n, c in zip(names, ["doc_id", *(also or [])]))
-    cut = map_rows(flat, make, f"{schema}, n_bytes bigint, n_spans bigint, kept binary")
-    return same.unionByName(cut.withColumnsRenamed(dict(zip(names, ["doc_id", *(also or [])]))))
+    return same.unionByName(near.mapInArrow(run, same.schema))
 
 
 def query(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs).select(
-        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "own.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
