@@ -3,7 +3,7 @@
 Both public vocabularies split a text before they merge, and no piece goes on over the start
 of a run of white space. A text is therefore the concatenation of its chunks, each a run of
 white space and the non-space after it, and equal chunks have equal ids. Full stops and commas
-after a letter are pieces of their own, so a chunk that is not known yet is cut there once
+after a Latin letter are pieces of their own, so a chunk that is not known yet is cut there once
 more. The memory has two generations of bounded size: what was used lately is carried over,
 the rest goes.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable
 
@@ -25,6 +26,12 @@ _NOT_SINGLE = (b"\0", b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b" \n", b"\n ", b"\
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Whether the last character is a Latin letter and still is one, without a mark, in lower-case normal form."""
+    last = unicodedata.normalize("NFC", word[-1:]).lower()[-1:]
+    return "A" <= last <= "\u024f" and last.isalpha()
+
+
 class Memory(dict):
     """Key -> ids, made at first use. Two generations of ``room`` entries: what is used goes on."""
 
@@ -63,7 +70,7 @@ class ChunkEncoder:
         if chunk[:1] == b"\n" and not chunk[1:2].isspace():  # a line end before a word is a piece
             return self.words[b"\n"] + self.chunks[chunk[1:]] if chunk[1:] else self.words[chunk]
         word = chunk.rstrip(b".,")
-        if len(word) < len(chunk) and word.decode()[-1:].isalpha():
+        if len(word) < len(chunk) and _ends_in_letter(word.decode()):
             return self.words[word] + self.words[chunk[len(word) :]]
         return self.words[chunk]
 

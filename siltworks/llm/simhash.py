@@ -100,8 +100,8 @@ def _split(rows: DataFrame, depth: int, max_bits: int) -> DataFrame:
     """Units cut into pairs of their subtrees ``SPLIT_BITS`` below; depth counts the bits split before."""
     shift = REST - depth - SPLIT_BITS
     own = F.shiftrightunsigned("path", shift).bitwiseAND(F.lit((1 << SPLIT_BITS) - 1))
-    other = F.explode(F.array(*[F.lit(k) for k in range(1 << SPLIT_BITS)]))
-    opened = rows.select("*", own.alias("own"), other.cast("bigint").alias("other"))
+    other = F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(1 << SPLIT_BITS)]))
+    opened = rows.select("*", own.alias("own"), other.alias("other"))
     near = opened.filter(F.bit_count(F.col("own").bitwiseXOR(F.col("other"))) <= max_bits)
     same = F.col("left") == F.col("right")
     first = F.when(same, F.col("own") <= F.col("other")).otherwise(F.col("side") == 0)
