@@ -67,17 +67,18 @@ def next_versions(
     """Everything a batch makes of the versions in force: those it closes, and all that are in
     force afterwards. Versions closed earlier are not part of it and are not read.
 
-    Current versions meet the batch once, by key: that pass keeps or closes a version and, where
-    it closes one, also adds its successor. Keys without a current version come from the batch.
+    One join by key: a current version is kept, or closed and followed by its successor; a key
+    without a current version gets its first. Keys are unique on both sides, so none is hot.
     """
     keys = _names(key)
     moment = F.lit(load_ts).cast("timestamp") if load_ts else F.current_timestamp()
     types = {f.name: f.dataType for f in history.schema.fields}
 
     incoming = _incoming(batch, keys, attributes).withColumn("_named", F.lit(True))
-    contradicted = F.col("_named").isNotNull() & _attributes_differ(attributes)
-    successor = {k: F.col(k) for k in keys} | {a: F.col(f"_in_{a}") for a in attributes}
-    successor |= {"load_date": moment, "active": F.lit(True)}
+    known, named = F.col("_known").isNotNull(), F.col("_named").isNotNull()
+    contradicted = known & named & _attributes_differ(attributes)
+    given = {c: F.col(f"_in_{c}") for c in [*keys, *attributes]}
+    given |= {"load_date": moment, "active": F.lit(True)}
 
     def version(values: dict[str, Column]) -> Column:
         return F.struct(
@@ -85,10 +86,11 @@ def next_versions(
         )
 
     kept = version({c: F.col(c) for c in types} | {"active": ~contradicted})
-    versions = F.when(contradicted, F.array(kept, version(successor))).otherwise(F.array(kept))
-    known = current_rows(history).join(incoming, _same_key(keys), "left").select(F.inline(versions))
-    first = new_rows(history, batch, keys).select(*keys, *attributes).withColumn("active", F.lit(True))
-    return known.unionByName(stamp(first, load_ts), allowMissingColumns=True)
+    versions = (
+        F.when(~known, F.array(version(given))).when(contradicted, F.array(kept, version(given))).otherwise(F.array(kept))
+    )
+    current = current_rows(history).withColumn("_known", F.lit(True))
+    return current.join(incoming, _same_key(keys), "full").select(F.inline(versions))
 
 
 def apply_changes(

@@ -15,9 +15,6 @@ from siltworks.functions import NOT_PRINTABLE_ASCII, all_of, any_of, is_blank, n
 
 Names = str | list[str]
 
-# Tasks over which the members of one very frequent name are spread.
-SALTS = 64
-
 
 def _names(value: Names) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
@@ -53,10 +50,13 @@ def pk_duplicates(df: DataFrame, keys: Names) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Names, what: str) -> None:
-    """Fail when a key is repeated. Brings back at most one offending key."""
-    repeated = pk_duplicates(df, keys).take(1)
-    if repeated:
-        raise ValueError(f"{what}: repeated key {repeated[0].asDict()}")
+    """Fail when a key is repeated or has a null part. Brings back at most one offending key."""
+    missing = any_of([F.col(k).isNull() for k in _names(keys)])
+    groups = df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias("occurrences"))
+    wrong = groups.filter((F.col("occurrences") > 1) | missing).take(1)
+    if wrong:
+        found = wrong[0].asDict()
+        raise ValueError(f"{what}: {'repeated' if found['occurrences'] > 1 else 'null in'} key {found}")
 
 
 def parent_keys(parent: DataFrame, keys: Names, normalise: Callable | None = None) -> DataFrame:
@@ -94,16 +94,22 @@ def fk_orphans(
     return child.filter(all_of(present)).join(wanted, match, "left_anti")
 
 
-def fk_orphan_count(child: DataFrame, columns: Names, parent: DataFrame, keys: Names) -> DataFrame:
-    """One row: child rows, and those without a parent.
+def fk_orphan_count(
+    child: DataFrame, columns: Names, parent: DataFrame, keys: Names, normalise: Callable | None = None
+) -> DataFrame:
+    """One row: child rows, and those without a parent; ``normalise`` as in ``fk_orphans``.
 
     The child is reduced to one row per key value first, so the join carries distinct values.
     """
     columns = _names(columns)
-    values = child.groupBy(*[F.col(c).alias(f"_child_{i}") for i, c in enumerate(columns)]).agg(
+
+    def compared(column: str) -> Column:
+        return F.when(F.col(column) != "", normalise(column)) if normalise else F.col(column)
+
+    values = child.groupBy(*[compared(c).alias(f"_child_{i}") for i, c in enumerate(columns)]).agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    wanted = parent_keys(parent, keys).distinct().withColumn("_found", F.lit(True))
+    wanted = parent_keys(parent, keys, normalise).distinct().withColumn("_found", F.lit(True))
     match = all_of([F.col(f"_child_{i}") == F.col(f"_parent_{i}") for i in range(len(columns))])
     complete = all_of([F.col(f"_child_{i}").isNotNull() for i in range(len(columns))])
     orphan = complete & F.col("_found").isNull()
@@ -122,11 +128,13 @@ def relationship_check(
 
     A relation is (parent, parent column, child, child column). ``parents`` may give other
     frames for the parent side, such as a batch together with what is already in memory.
+    Country names are compared whatever their case and surrounding spaces.
     """
     checked = []
     for parent, parent_column, child, child_column in relations:
         parent_df = (parents or tables)[parent]
-        count = fk_orphan_count(tables[child], child_column, parent_df, parent_column)
+        normalise = normalised_name if parent_column == "country_name" else None
+        count = fk_orphan_count(tables[child], child_column, parent_df, parent_column, normalise)
         checked.append(
             count.select(
                 F.lit(parent).alias("parent_entity"),
@@ -162,52 +170,19 @@ def unmatched_values_report(
     return union_all(found).orderBy("source_table", "bad_value", "record_id")
 
 
-def near_duplicate_names(df: DataFrame, name: str, row_id: str, list_size: int = 1000) -> DataFrame:
-    """Names equal but for case and surrounding spaces, with the ids and spellings involved.
+def near_duplicate_names(df: DataFrame, name: str, row_id: str) -> DataFrame:
+    """Names equal but for case and surrounding spaces: one row per member of each group.
 
-    A group of up to ``list_size`` rows gives one row. A larger group is listed whole over
-    several rows, numbered by ``part`` of ``parts``, each holding about ``list_size`` members
-    spread by a hash of their id: no task ever gathers a hot name in full.
+    Groups are counted on the map side; members meet the counts in a plain join, which Spark
+    splits for a hot name. No task gathers a group.
     """
-    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
-    members = df.select(
-        normalised_name(name).alias("_name"), F.col(row_id).alias("_id"), F.col(name).alias("_spelling")
-    ).withColumn("_salt", salt)
+    members = df.select(normalised_name(name).alias("_name"), F.col(row_id).alias("id"), F.col(name).alias("spelling"))
     groups = (
         members.groupBy(F.col("_name").alias("name_key"))
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .filter("occurrences > 1")
-        .withColumn("parts", F.ceil(F.col("occurrences") / list_size).cast("int"))
-    )
-    # There are at most rows / list_size large groups, so a copy of each per salt stays small
-    # beside the members and spreads the members of one name over that many tasks.
-    large = groups.filter("parts > 1").select(
-        F.col("name_key").alias("_large"),
-        F.col("parts").alias("_parts"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_large_salt"),
-    )
-    same_name = F.col("_name").eqNullSafe(F.col("_large")) & (F.col("_salt") == F.col("_large_salt"))
-    listed = members.join(large, same_name, "left").select(
-        "_name",
-        "_id",
-        "_spelling",
-        (F.pmod(F.xxhash64(F.lit("part"), "_id"), F.coalesce("_parts", F.lit(1))) + 1).cast("int").alias("_part"),
-    )
-    numbered = groups.withColumn("part", F.explode(F.sequence(F.lit(1), "parts")))
-    same_part = F.col("name_key").eqNullSafe(F.col("_name")) & (F.col("part") == F.col("_part"))
-    return (
-        numbered.join(listed, same_part)
-        .groupBy("name_key", "occurrences", "part", "parts")
-        .agg(F.array_sort(F.collect_list(F.struct("_id", "_spelling"))).alias("_members"))
-        .select(
-            "name_key",
-            "occurrences",
-            "part",
-            "parts",
-            F.array_join(F.transform("_members", lambda m: m["_id"].cast("string")), ", ").alias("ids"),
-            F.array_join(F.transform("_members", lambda m: m["_spelling"]), " | ").alias("spellings"),
-        )
     )
+    return members.join(groups, F.col("_name").eqNullSafe(F.col("name_key"))).select("name_key", "occurrences", "id", "spelling")
 
 
 def non_printable_ascii(df: DataFrame, columns: Names) -> DataFrame:

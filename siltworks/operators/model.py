@@ -16,14 +16,10 @@ from siltworks.sources.tables import stamp
 TIME_START = "1996-01-01"
 TIME_DAYS = 15001
 
-# A time dimension of this many days (over 2 700 years) still is a few tens of megabytes, so up
-# to here it may be broadcast without looking at the data.
-BROADCAST_DAYS = 1_000_000
-
 
 def build_dim_time(spark: SparkSession, start: str = TIME_START, days: int = TIME_DAYS) -> DataFrame:
     day = F.col("full_date")
-    calendar = generate_days(spark, start, days).select(
+    return generate_days(spark, start, days).select(
         date_key(day).alias("date_key"),
         "full_date",
         F.year(day).alias("year"),
@@ -32,7 +28,6 @@ def build_dim_time(spark: SparkSession, start: str = TIME_START, days: int = TIM
         F.dayofmonth(day).alias("day"),
         (F.weekday(day) >= 5).alias("is_weekend"),
     )
-    return F.broadcast(calendar) if days <= BROADCAST_DAYS else calendar
 
 
 def build_dim(
@@ -116,8 +111,9 @@ def build_fact(
 
     What an order header knows (day, customer, and the seller unless the line names its own) is
     looked up once per order, before the lines: the largest table is joined to slim headers and
-    to products only. The row is identified by order and product: ``fact_key`` joins the two
-    ids, so it needs no numbering of the lines. ``dropped_lines`` counts what is lost.
+    to products only, of which the id and the key are read. The row is identified by order and
+    product: ``fact_key`` joins the two ids, so it needs no numbering of the lines, and is unique
+    if they are in ``order_details``. ``dropped_lines`` counts what is lost.
     """
     employees = dim_employee.select("employee_id", "employee_key")
     own_seller = "employee_id" in order_details.columns
@@ -151,7 +147,8 @@ def dropped_lines(
 ) -> DataFrame:
     """Lines with a header, lines kept in the fact, and lines without a match per dimension.
 
-    The joins are those of ``build_fact`` as left joins, each bringing one flag.
+    The joins are those of ``build_fact`` as left joins, each bringing one flag. Of a dimension
+    only the business id is read, so any table that holds each id once will do.
     """
 
     def flagged(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -200,9 +197,10 @@ def build_dim_country(countries: DataFrame) -> DataFrame:
 def resolve_country(dim: DataFrame, dim_country: DataFrame, column: str = "country") -> DataFrame:
     """Fill ``country_key`` by country name, whatever its case and surrounding spaces.
 
-    Country names must be unique in that form; a name without a match gives a null key.
+    Of several countries with one name in that form the least key counts, so that no row is ever
+    multiplied (``near_duplicate_names`` reports them). A name without a match gives a null key.
     """
-    names = dim_country.select(normalised_name("country_name").alias("_country"), "country_key")
+    names = dim_country.groupBy(normalised_name("country_name").alias("_country")).agg(F.min("country_key").alias("country_key"))
     kept = [c for c in dim.columns if c != "country_key"]
     return dim.select(*kept).join(names, normalised_name(column) == F.col("_country"), "left").select(*kept, "country_key")
 

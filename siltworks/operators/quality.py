@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -20,20 +20,27 @@ APPROVED = "Aprobado"
 COMPLETENESS = "Completitud"
 VALIDITY = "Validez"
 CONSISTENCY = "Consistencia"
+UNIQUENESS = "Unicidad"
 
 RULE_SCHEMA = (
     "rule_name string, description string, target_table string, target_column string, "
     "rule_type string, threshold_pct decimal(5,2), check_sql string"
 )
 
+RESULT_SCHEMA = (
+    "rule_name string, target_table string, rule_type string, threshold_pct decimal(5,2), run_id long, "
+    "executed_at timestamp, rows_evaluated long, rows_failed long, failed_pct decimal(5,2), verdict string"
+)
+
 
 @dataclass(frozen=True)
 class QualityRule:
     """A counted condition with the share of failing rows it tolerates.
 
     Exactly one of these says what fails: ``condition``, a SQL condition on the target table;
-    ``parent`` with ``parent_key``, a table that must hold every value of the column; or
-    ``statement``, a SQL query over registered views that returns the number of failing rows.
+    ``parent`` with ``parent_key``, a table that must hold every value of the column;
+    ``unique``, rows beyond the first of a value fail; or ``statement``, a SQL query over
+    registered views that returns the number of failing rows.
     """
 
     name: str
@@ -45,6 +52,7 @@ class QualityRule:
     condition: str | None = None
     parent: str | None = None
     parent_key: str | None = None
+    unique: bool = False
     statement: str | None = None
 
     @property
@@ -52,13 +60,20 @@ class QualityRule:
         if self.statement:
             return self.statement
         if self.condition:
-            return f"SELECT COUNT(*) FROM {self.table} WHERE {self.condition}"
+            return f"{_counting(self.table)}{self.condition}"
+        if self.unique:
+            return f"SELECT COUNT(*) - COUNT(DISTINCT {self.column}) FROM {self.table} WHERE {self.column} IS NOT NULL"
         return (
             f"SELECT COUNT(*) FROM {self.table} c LEFT ANTI JOIN {self.parent} p "
             f"ON c.{self.column} = p.{self.parent_key} WHERE c.{self.column} IS NOT NULL"
         )
 
 
+def _counting(table: str) -> str:
+    """What the SQL of a condition begins with."""
+    return f"SELECT COUNT(*) FROM {table} WHERE "
+
+
 def completeness_rule(name: str, table: str, column: str, or_empty: bool = False, threshold="1.00") -> QualityRule:
     condition = f"{column} IS NULL" + (f" OR {column} = ''" if or_empty else "")
     described = f"{table}.{column} must be present"
@@ -75,6 +90,11 @@ def consistency_rule(name: str, table: str, column: str, parent: str, key: str,
     return QualityRule(name, described, table, column, CONSISTENCY, Decimal(threshold), parent=parent, parent_key=key)
 
 
+def uniqueness_rule(name: str, table: str, column: str) -> QualityRule:
+    described = f"{table}.{column} must not repeat"
+    return QualityRule(name, described, table, column, UNIQUENESS, unique=True)
+
+
 # Rule names and thresholds of the standard catalog.
 STAGING_RULES = [
     completeness_rule("CATEGORIA_ID_COMPLETITUD", "tmp_categories", "category_id"),
@@ -98,6 +118,20 @@ MODEL_RULES = [
     consistency_rule("CONSISTENCIA_FK_PROD_CAT", "dim_product", "category_key", "dim_category", "category_key"),
 ]
 
+# A repeated key would multiply the rows of every table that looks it up.
+KEY_RULES = [
+    uniqueness_rule(f"UNICIDAD_{table.upper()}", table, column)
+    for table, column in [
+        ("dim_category", "category_id"),
+        ("dim_supplier", "supplier_id"),
+        ("dim_product", "product_id"),
+        ("dim_customer", "customer_id"),
+        ("dim_employee", "employee_id"),
+        ("fact_table", "fact_key"),
+    ]
+]
+DECLARED = {r.name: r for r in [*STAGING_RULES, *MODEL_RULES, *KEY_RULES]}
+
 
 def rules_frame(spark: SparkSession, rules: list[QualityRule]) -> DataFrame:
     return rows(
@@ -108,14 +142,25 @@ def rules_frame(spark: SparkSession, rules: list[QualityRule]) -> DataFrame:
 
 
 def load_rules(catalog: DataFrame, table: str) -> list[QualityRule]:
-    """The catalogued rules of one table, each run by its stored SQL. A catalog is a small table."""
-    found = catalog.filter(F.col("target_table") == table).orderBy("rule_name").collect()
-    return [
-        QualityRule(
-            r.rule_name, r.description, r.target_table, r.target_column, r.rule_type, r.threshold_pct, statement=r.check_sql
-        )
-        for r in found
-    ]
+    """The catalogued rules of one table, from their stored SQL. A catalog is a small table."""
+    return [_stored_rule(r, DECLARED) for r in catalog.filter(F.col("target_table") == table).orderBy("rule_name").collect()]
+
+
+def load_catalog(catalog: DataFrame, declared: dict[str, QualityRule] | None = None) -> list[QualityRule]:
+    """All catalogued rules; ``declared`` are those known in code, the standard ones if not given."""
+    found = catalog.orderBy("target_table", "rule_name").collect()
+    return [_stored_rule(r, DECLARED if declared is None else declared) for r in found]
+
+
+def _stored_rule(row, declared: dict[str, QualityRule]) -> QualityRule:
+    """A declared rule whose SQL is as declared takes the stored threshold. Any other condition stays a
+    condition, so that the rules of a table share one scan; other SQL is run as it stands."""
+    known = declared.get(row.rule_name)
+    if known and known.check_sql == row.check_sql:
+        return replace(known, description=row.description, threshold=row.threshold_pct)
+    sql, counting = row.check_sql, _counting(row.target_table)
+    what = {"condition": sql.removeprefix(counting)} if sql.startswith(counting) else {"statement": sql}
+    return QualityRule(row.rule_name, row.description, row.target_table, row.target_column, row.rule_type, row.threshold_pct, **what)
 
 
 def upsert(catalog: DataFrame, new: DataFrame, key: str, overwrite: list[str]) -> DataFrame:
@@ -191,6 +236,12 @@ def run_quality_checks(
             measured.append(
                 orphans.select(F.col("child_rows").alias("_total"), F.inline(F.array(entry(r, F.col("orphan_rows")))))
             )
+        elif r.unique:
+            values = df.filter(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("_rows"))
+            repeats = values.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("_repeats"))
+            measured.append(
+                repeats.select(F.lit(None).cast("long").alias("_total"), F.inline(F.array(entry(r, F.col("_repeats")))))
+            )
         elif r.statement:
             answer = df.sparkSession.sql(r.statement)
             failed = F.col(answer.columns[0])
@@ -223,9 +274,18 @@ def run_quality_checks(
 def run_all_checks(
     tables: dict[str, DataFrame], rules: list[QualityRule], run_id: int, executed_at: datetime
 ) -> DataFrame:
-    """The checks of every table that has a rule."""
+    """A result for every rule. A table that is not given is an empty one: its rules find nothing."""
     targets = list(dict.fromkeys(r.table for r in rules if r.table in tables))
-    return union_all([run_quality_checks(tables, t, rules, run_id, executed_at) for t in targets])
+    results = [run_quality_checks(tables, t, rules, run_id, executed_at) for t in targets]
+    absent = [
+        (r.name, r.table, r.rule_type, r.threshold, run_id, executed_at, 0, 0, Decimal("0.00"), APPROVED)
+        for r in rules
+        if r.table not in tables
+    ]
+    if absent:
+        spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+        results.append(spark.createDataFrame(absent, RESULT_SCHEMA))
+    return union_all(results)
 
 
 def rejections(results: DataFrame, units: dict[str, tuple[str, ...]], as_of: datetime, within: str = "1 hour") -> DataFrame:

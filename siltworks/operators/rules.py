@@ -250,15 +250,26 @@ def _country_rules() -> list[FieldRule]:
     ]
 
 
-def rule_registry(spark: SparkSession, rules: dict[str, list[FieldRule]]) -> DataFrame:
-    """The declared rules as a table; the same objects that the checks run."""
+def rule_registry(
+    spark: SparkSession, rules: dict[str, list[FieldRule]], keys: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """The declared rules as a table, the same objects that the checks run; with ``keys``, also
+    that these are unique, which ``integrity.pk_duplicates`` checks."""
+    unique = {table: "|".join(columns) for table, columns in (keys or {}).items()}
     return rows(
         spark,
-        [(table, r.column, r.rule_type, r.rule_param, r.issue) for table, listed in rules.items() for r in listed],
+        [(table, r.column, r.rule_type, r.rule_param, r.issue) for table, listed in rules.items() for r in listed]
+        + [(table, key, "UNIQUE", None, f"{key} is repeated") for table, key in unique.items()],
         "table_name string, column_name string, rule_type string, rule_param string, description string",
     )
 
 
+def row_key(keys: list[str]) -> Column:
+    """The key of a row as text. A missing part is marked, so that parts never change places."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return parts[0] if len(parts) == 1 else F.concat_ws("|", *[F.coalesce(p, F.lit("<null>")) for p in parts])
+
+
 def validate(
     df: DataFrame,
     table: str,

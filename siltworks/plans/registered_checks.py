@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import UNSIGNED_INTEGER, normalised_name
 from siltworks.operators import integrity, profiling, quality
+from siltworks.operators.catalog import relations_frame
 from siltworks.plans.testbed import (
     TXT_CUSTOMERS,
     TXT_ORDER_DETAILS,
@@ -167,12 +168,10 @@ def unmatched_values_report(spark, folder) -> DataFrame:
 
 @catalogue.register(
     """WITH t AS (SELECT p_partkey AS id, CASE WHEN p_size > 40 THEN upper(p_name) WHEN p_size < 10 THEN ' ' || p_name ELSE p_name END AS spelling FROM part)
-       SELECT lower(trim(spelling)) AS name_key, count(*) AS occurrences, CAST(1 AS INTEGER) AS part, CAST(1 AS INTEGER) AS parts,
-              string_agg(CAST(id AS VARCHAR), ', ' ORDER BY id) AS ids, string_agg(spelling, ' | ' ORDER BY id) AS spellings
-       FROM t GROUP BY 1 HAVING count(*) > 1"""
+       SELECT lower(trim(spelling)) AS name_key, n AS occurrences, id, spelling
+       FROM t JOIN (SELECT lower(trim(spelling)) AS k, count(*) AS n FROM t GROUP BY 1 HAVING count(*) > 1) ON k = lower(trim(spelling))"""
 )
 def near_duplicate_names(spark, folder) -> DataFrame:
-    """Groups of this size are listed in one part each; see the tests for groups of several."""
     spellings = table(spark, folder, "part").selectExpr(
         "p_partkey",
         "CASE WHEN p_size > 40 THEN upper(p_name) WHEN p_size < 10 THEN ' ' || p_name ELSE p_name END AS spelling",
@@ -229,6 +228,23 @@ def relationship_check(spark, folder) -> DataFrame:
     return integrity.union_all(checked)
 
 
+@catalogue.register(
+    "SELECT *, 'FK' AS relation_type FROM ("
+    + " UNION ALL ".join(
+        _RELATION_SQL.format(parent=p, parent_column=pc, child=c, child_column=cc, parent_sql=f"SELECT {pc} FROM {p}")
+        for p, pc, c, cc, _ in TEST_RELATIONS
+    )
+    + ")"
+)
+def relation_catalogue(spark, folder) -> DataFrame:
+    """The relation catalogue, whose rows drive the check, with what each relation found."""
+    listed = relations_frame(spark, [r[:4] for r in TEST_RELATIONS])
+    names = ["parent_entity", "parent_column", "child_entity", "child_column"]
+    relations = [tuple(r) for r in listed.select(*names).collect()]  # the catalogue: a few rows
+    tables = {t: table(spark, folder, t) for p, _, c, _ in relations for t in (p, c)}
+    return listed.join(integrity.relationship_check(relations, tables), names)
+
+
 # Profiling
 
 _ALL_TABLES = [
@@ -499,7 +515,15 @@ def _results(spark, folder) -> DataFrame:
     tables = {name: table(spark, folder, name) for name in ("customer", "orders", "lineitem", "part", "supplier")}
     tables["solvent_supplier"] = tables["supplier"].filter("s_acctbal >= 0")
     tables["part"].createOrReplaceTempView("siltworks_part")
-    return quality.run_all_checks(tables, TEST_RULES, 1, CHECKED_AT)
+    return quality.run_all_checks(tables, _stored_rules(spark), 1, CHECKED_AT)
+
+
+def _stored_rules(spark) -> list[quality.QualityRule]:
+    """The rules by way of a stored catalogue, whose older thresholds an upsert has replaced."""
+    older = quality.rules_frame(spark, TEST_RULES[:4]).withColumn("threshold_pct", F.lit(99).cast("decimal(5,2)"))
+    path = scratch_path(spark, "rules")
+    quality.upsert_rules(older, quality.rules_frame(spark, TEST_RULES)).write.parquet(path)
+    return quality.load_catalog(spark.read.parquet(path), {r.name: r for r in TEST_RULES})
 
 
 @catalogue.register(_RESULTS_SQL)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import full_name, is_one
 from siltworks.operators import cleaning, rules
-from siltworks.operators.integrity import union_all
+from siltworks.operators.integrity import pk_duplicates, union_all
 from siltworks.operators.typed import to_typed
 from siltworks.plans.testbed import (
     CHANGED,
@@ -19,6 +19,7 @@ from siltworks.plans.testbed import (
     TXT_ORDERS,
     TXT_PRODUCTS,
     Catalogue,
+    Derived,
     table,
 )
 from siltworks.session import scratch_path
@@ -391,13 +392,25 @@ def validate_orders(spark, folder) -> DataFrame:
     return rules.validate(TXT_ORDERS.frame(spark, folder), "txt_orders", order_rules(), "order_id")
 
 
+# Order lines whose key lacks a part here and there.
+_GAPPED_LINES = Derived(
+    "lineitem",
+    {
+        **TXT_ORDER_DETAILS.columns,
+        "product_id": f"CASE WHEN l_quantity = 49 THEN NULL ELSE {TXT_ORDER_DETAILS.columns['product_id']} END",
+    },
+)
+
+
 @catalogue.register(
-    _validation_sql(TXT_ORDER_DETAILS, "txt_order_details", "order_id || '|' || product_id", LINE_CHECKS)
+    _validation_sql(
+        _GAPPED_LINES, "txt_order_details", "coalesce(order_id, '<null>') || '|' || coalesce(product_id, '<null>')", LINE_CHECKS
+    )
 )
 def validate_lineitem(spark, folder) -> DataFrame:
-    """The declared rules of the order lines, under a composite row key."""
-    key = F.concat_ws("|", "order_id", "product_id")
-    lines = TXT_ORDER_DETAILS.frame(spark, folder)
+    """The declared rules of the order lines, under a composite row key that marks missing parts."""
+    key = rules.row_key(["order_id", "product_id"])
+    lines = _GAPPED_LINES.frame(spark, folder)
     return rules.validate(lines, "txt_order_details", rules.rules_for("order_details"), key)
 
 
@@ -433,6 +446,41 @@ _ALL_FAILURES = " UNION ALL ".join(
 )
 
 
+_REGISTERED = {
+    "txt_customers": (TXT_CUSTOMERS, "customer_id", customer_rules, CUSTOMER_CHECKS),
+    "txt_orders": (TXT_ORDERS, "order_id", order_rules, ORDER_CHECKS),
+}
+_RULES_FOUND = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{text.split()[0]}' AS column_name, FALSE AS is_unique, '{text}' AS description, "
+    f"count(*) FILTER ({condition}) AS failures FROM ({source.sql})"
+    for name, (source, _, _, checks) in _REGISTERED.items()
+    for text, condition in checks.items()
+)
+_KEYS_FOUND = " UNION ALL ".join(
+    f"SELECT '{name}', '{key}', TRUE, '{key} is repeated', CAST(coalesce(sum(n - 1), 0) AS BIGINT) "
+    f"FROM (SELECT count(*) AS n FROM ({source.sql}) GROUP BY {key})"
+    for name, (source, key, _, _) in _REGISTERED.items()
+)
+
+
+@catalogue.register(f"{_RULES_FOUND} UNION ALL {_KEYS_FOUND}")
+def rule_registry(spark, folder) -> DataFrame:
+    """Every registered rule, uniqueness of keys among them, with the rows that break it."""
+    listed = {name: declared() for name, (_, _, declared, _) in _REGISTERED.items()}
+    registry = rules.rule_registry(spark, listed, {name: [key] for name, (_, key, _, _) in _REGISTERED.items()})
+    found = []
+    for name, (source, key, declared, _) in _REGISTERED.items():
+        df = source.frame(spark, folder)
+        found.append(rules.rule_failures(df, name, declared()).select("table_name", "issue_desc", "failures"))
+        repeats = pk_duplicates(df, key).agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("failures"))
+        found.append(repeats.select(F.lit(name).alias("table_name"), F.lit(f"{key} is repeated").alias("issue_desc"), "failures"))
+    counted = union_all(found).withColumnRenamed("issue_desc", "description")
+    unique = (F.col("rule_type") == "UNIQUE").alias("is_unique")
+    return registry.join(counted, ["table_name", "description"]).select(
+        "table_name", "column_name", unique, "description", "failures"
+    )
+
+
 def _all_failures(spark, folder) -> DataFrame:
     return union_all(
         [

@@ -23,6 +23,7 @@ from siltworks.plans.testbed import (
     Catalogue,
     table,
 )
+from siltworks.session import scratch_path
 
 catalogue = Catalogue()
 
@@ -124,12 +125,34 @@ def dim_product(spark, folder) -> DataFrame:
     return _dim_product(spark, folder).drop("load_date")
 
 
+def _kept(spark: SparkSession):
+    """Stores a finished table, so that those that use it don't build it again."""
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
+def _product_keys(spark, folder) -> DataFrame:
+    """Id and key of the products: all that the lines need of them."""
+    products = views.products_view(PRODUCTS.frame(spark, folder))
+    return model.build_dim(products, "product_id", [], "product_key", LOADED)
+
+
 def _dim_product(spark, folder) -> DataFrame:
+    """The arms are stored before the products meet them, as in a run."""
+    keep = _kept(spark)
     categories, arms = _arms(table(spark, folder, "part"))
-    categories = model.build_dim(
-        views.categories_view(categories), "category_id", ["category_name"], "category_key", LOADED
+    categories = keep(
+        "categories",
+        model.build_dim(views.categories_view(categories), "category_id", ["category_name"], "category_key", LOADED),
+    )
+    arms = keep(
+        "arms", model.build_dim(views.suppliers_view(arms), "supplier_id", ["company_name"], "supplier_key", LOADED)
     )
-    arms = model.build_dim(views.suppliers_view(arms), "supplier_id", ["company_name"], "supplier_key", LOADED)
     return model.build_dim_product(views.products_view(PRODUCTS.frame(spark, folder)), categories, arms, LOADED)
 
 
@@ -167,7 +190,7 @@ def fact_sales(spark, folder) -> DataFrame:
     return model.build_fact(
         ORDER_DETAILS.frame(spark, folder),
         ORDERS.frame(spark, folder),
-        _dim_product(spark, folder),
+        _product_keys(spark, folder),
         _solvent_customers(spark, folder),
         _dim_employee(spark, folder),
         model.build_dim_time(spark, START, DAYS),
@@ -187,9 +210,9 @@ def dropped_lines(spark, folder) -> DataFrame:
     return model.dropped_lines(
         ORDER_DETAILS.frame(spark, folder),
         ORDERS.frame(spark, folder),
-        _dim_product(spark, folder),
-        _solvent_customers(spark, folder),
-        _dim_employee(spark, folder),
+        PRODUCTS.frame(spark, folder),
+        views.customers_view(CUSTOMERS.frame(spark, folder)).filter("region IS NOT NULL"),
+        SELLERS.frame(spark, folder),
         model.build_dim_time(spark),
     )
 
@@ -214,8 +237,7 @@ def sales_by_seller_quarter(spark, folder) -> DataFrame:
     customers = model.build_dim(
         views.customers_view(CUSTOMERS.frame(spark, folder)), "customer_id", ["company_name"], "customer_key", LOADED
     )
-    products = views.products_view(PRODUCTS.frame(spark, folder))
-    products = model.build_dim(products, "product_id", ["product_name"], "product_key", LOADED)
+    products = _product_keys(spark, folder)
     lines, orders = ORDER_DETAILS.frame(spark, folder), ORDERS.frame(spark, folder)
     fact = model.build_fact(lines, orders, products, customers, employees, calendar, LOADED)
     return model.sales_by_employee(fact, employees, calendar)
@@ -229,7 +251,7 @@ def sales_by_seller_quarter(spark, folder) -> DataFrame:
 )
 def model_rebuild(spark, folder) -> DataFrame:
     """All tables of a rebuild, counted."""
-    tables = rebuild_model(spark, memory_tables(spark, folder), LOADED, START, DAYS)
+    tables = rebuild_model(spark, memory_tables(spark, folder), LOADED, START, DAYS, _kept(spark))
     return union_all(
         [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in tables.items()]
     )
@@ -238,7 +260,7 @@ def model_rebuild(spark, folder) -> DataFrame:
 @catalogue.register(_by_seller(_SALES))
 def model_rebuild_product(spark, folder) -> DataFrame:
     """The published view over a rebuilt model."""
-    return sales_by_employee_view(rebuild_model(spark, memory_tables(spark, folder), LOADED, START, DAYS))
+    return sales_by_employee_view(rebuild_model(spark, memory_tables(spark, folder), LOADED, START, DAYS, _kept(spark)))
 
 
 @catalogue.register(
@@ -255,16 +277,23 @@ def dim_country(spark, folder) -> DataFrame:
     return model.build_dim_country(views.countries_view(typed_country_frame(spark, folder)))
 
 
+_LARGE = "SELECT * FROM nation WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000)"
+
+
 @catalogue.register(
     f"""SELECT c.customer_id, c.country, n.country_key FROM ({TXT_CUSTOMERS.sql}) c
-        LEFT JOIN (SELECT {ranked('n_name')} AS country_key, n_name FROM nation
-                   WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000)) n
-        ON lower(trim(c.country)) = lower(trim(n.n_name))"""
+        LEFT JOIN (SELECT min(country_key) AS country_key, lower(trim(n_name)) AS n_name
+                   FROM (SELECT {ranked('n_name')} AS country_key, n_name FROM (
+                       SELECT n_name FROM ({_LARGE}) UNION ALL SELECT ' ' || upper(n_name) FROM ({_LARGE}) WHERE n_regionkey > 1))
+                   GROUP BY 2) n
+        ON lower(trim(c.country)) = n.n_name"""
 )
 def country_resolve(spark, folder) -> DataFrame:
     """Country keys by name, whatever its case and spaces; nations without a large supplier are
-    unknown to the dimension."""
-    nations = supplied_nations(spark, folder).selectExpr("n_name AS country_name")
+    unknown to the dimension, and some are in it twice under two spellings."""
+    nations = supplied_nations(spark, folder)
+    again = nations.filter("n_regionkey > 1").selectExpr("' ' || upper(n_name) AS country_name")
+    nations = nations.selectExpr("n_name AS country_name").unionByName(again)
     countries = model.assign_keys(nations, "country_name", "country_key")
     customers = TXT_CUSTOMERS.frame(spark, folder).select("customer_id", "country")
     return model.resolve_country(customers, countries)

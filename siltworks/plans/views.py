@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import full_name, is_one
 from siltworks.operators.history import current_rows
 from siltworks.operators.model import sales_lines
+from siltworks.operators.typed import to_typed
+from siltworks.schemas import ENTITIES
+from siltworks.sources.tables import stamp
+
+# Entities that the model is built from.
+MODEL_SOURCES = ("categories", "suppliers", "products", "customers", "employees", "orders", "order_details")
 
 
 def in_force(df: DataFrame) -> DataFrame:
@@ -72,6 +78,17 @@ def countries_view(countries: DataFrame) -> DataFrame:
     )
 
 
+def empty_memory(spark: SparkSession, entity: str) -> DataFrame:
+    """A memory table without rows, as it is before its first load or while the gate blocks it."""
+    typed = to_typed(spark.createDataFrame([], ENTITIES[entity].text_schema), entity)
+    return stamp(typed.withColumn("active", F.lit(True)))
+
+
+def with_empty_tables(spark: SparkSession, memory: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The memory tables, with an empty one for each that the model needs and memory lacks."""
+    return {**{e: empty_memory(spark, e) for e in MODEL_SOURCES if e not in memory}, **memory}
+
+
 def enrichment_views(memory: dict[str, DataFrame], register: bool = True) -> dict[str, DataFrame]:
     """All views over the memory tables, by name; country needs the country table."""
     views = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,28 +12,41 @@ from pyspark.sql import functions as F
 from siltworks.operators import history as h
 from siltworks.operators import integrity, quality, rules
 from siltworks.operators.cleaning import clean_countries, patch_by_key, recode
-from siltworks.operators.model import TIME_DAYS, TIME_START, sales_by_employee
+from siltworks.operators.model import TIME_DAYS, TIME_START, dropped_lines, sales_by_employee
 from siltworks.operators.typed import to_typed
 from siltworks.plans.rebuild import rebuild_model
+from siltworks.plans.views import empty_memory, enrichment_views, in_force, with_empty_tables
 from siltworks.schemas import (
     CAPITALS_BY_ABBREVIATION,
     COUNTRY_NAME_BY_ABBREVIATION,
     COUNTRY_PATCH_BY_NAME,
     COUNTRY_RECODE,
     ENTITIES,
-    HISTORY_ENTITIES,
     RELATIONS,
 )
 from siltworks.sources.staging import read_staging_csv
-from siltworks.sources.tables import VersionedStore, reset_staging, stamp
+from siltworks.sources.tables import VersionedStore, bucket, reset_staging, stamp
 
-# Tables that the gate loads together or not at all.
+# Tables that the gate loads together or not at all.
 SALES_UNIT = ("orders", "order_details")
 
-# The quality catalog speaks of tmp_ tables; the region table is singular there.
+# The quality catalog speaks of tmp_ tables; the region table is singular there.
 GATE_TABLES = {entity: "tmp_region" if entity == "regions" else f"tmp_{entity}" for entity in ENTITIES}
 
 
+@dataclass(frozen=True)
+class BatchResult:
+    """What a batch did; true if it was published. The frames are computed when they are used."""
+
+    published: bool
+    results: DataFrame
+    changes: DataFrame
+    dropped: DataFrame
+
+    def __bool__(self) -> bool:
+        return self.published
+
+
 class Warehouse:
     """A warehouse under one shared folder. Methods return DataFrames unless they write."""
 
@@ -54,8 +69,7 @@ class Warehouse:
         found = []
         for entity, df in text.items():
             spec = ENTITIES[entity]
-            key = F.concat_ws("|", *spec.keys) if len(spec.keys) > 1 else spec.keys[0]
-            found.append(rules.validate(df, spec.text_table, rules.rules_for(entity), key, run_id))
+            found.append(rules.validate(df, spec.text_table, rules.rules_for(entity), rules.row_key(spec.keys), run_id))
         return self._logged("dqm_validation_issues", integrity.union_all(found), run_id, "format")
 
     def _logged(self, log: str, rows: DataFrame, run_id: int, step: str) -> DataFrame:
@@ -76,9 +90,10 @@ class Warehouse:
         )
 
     def typed(self, text: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """Typed staging; text that cannot be cast fails the job."""
+        """Typed staging, stored, so that later steps don't cast the text again; text that cannot be cast fails the job."""
         cleaned = {e: clean_countries(df) if e == "countries" else df for e, df in text.items()}
-        return {entity: to_typed(df, entity) for entity, df in cleaned.items()}
+        stored = {entity: self.store.write(f"tmp_{entity}", to_typed(df, entity)) for entity, df in cleaned.items()}
+        return {entity: self.store.read(f"tmp_{entity}", version) for entity, version in stored.items()}
 
     # Checks
 
@@ -115,20 +130,50 @@ class Warehouse:
         return integrity.union_all(found)
 
     def check_relations(self, typed: dict[str, DataFrame]) -> DataFrame:
-        """Catalogued relations of a batch; parents are the batch together with memory."""
+        """Catalogued relations of a batch; parents are the batch together with memory, and the country dimension."""
         parents, memory = {}, self.memory_tables()
         for entity, spec in ENTITIES.items():
             keys = [spec.typed_name(k) for k in spec.keys]
             known = [source[entity].select(*keys) for source in (typed, memory) if entity in source]
             if known:
                 parents[entity] = integrity.union_all(known)
+        if (countries := self.model("dim_country")) is not None:
+            parents["dim_country"] = countries
         relations = [r for r in RELATIONS if r[0] in parents and r[2] in typed]
         return integrity.relationship_check(relations, typed, parents)
 
+    def check_model(self) -> DataFrame:
+        """Catalogued relations within the published model."""
+        published = self.store.published()
+        relations = [r for r in RELATIONS if r[0] in published and r[2] in published]
+        tables = {t: self.store.read(t, published[t]) for r in relations for t in (r[0], r[2])}
+        return integrity.relationship_check(relations, tables)
+
+    # Quality rules
+
+    def rules(self) -> DataFrame:
+        """The rule catalogue: what was stored, or the declared rules."""
+        stored = self.store.current("dqm_quality_rules")
+        return stored if stored is not None else quality.rules_frame(self.spark, list(quality.DECLARED.values()))
+
+    def upsert_rules(self, new: DataFrame) -> None:
+        """New rules, or another description, SQL or threshold for known ones; later checks use them."""
+        before = self.store.published()
+        merged = quality.upsert_rules(self.rules(), new)
+        self.store.publish({"dqm_quality_rules": self.store.write("dqm_quality_rules", merged)}, before)
+
+    def _check(self, tables: dict[str, DataFrame], of: Callable[[str], bool], extra, run_id, executed_at, step) -> DataFrame:
+        """Results of the catalogued rules on tables of a kind; rules given by SQL see the tables as views."""
+        chosen = [r for r in quality.load_catalog(self.rules()) if of(r.table)] + [*(extra or [])]
+        if any(r.statement for r in chosen):
+            for name, df in tables.items():
+                df.createOrReplaceTempView(name)
+        return self._logged("dqm_quality_results", quality.run_all_checks(tables, chosen, run_id, executed_at), run_id, step)
+
     def check_quality(self, typed: dict[str, DataFrame], run_id: int, executed_at: datetime) -> DataFrame:
+        """A result for every catalogued rule of the staging tables; one that the batch lacks is empty."""
         tables = {GATE_TABLES[entity]: df for entity, df in typed.items()}
-        results = quality.run_all_checks(tables, quality.STAGING_RULES, run_id, executed_at)
-        return self._logged("dqm_quality_results", results, run_id, "staging")
+        return self._check(tables, lambda t: t.startswith("tmp_"), None, run_id, executed_at, "staging")
 
     # Memory
 
@@ -156,7 +201,7 @@ class Warehouse:
                 loaded[entity] = decisions[unit]
                 if decisions[unit]:
                     rows = stamp(typed[entity].withColumn("active", F.lit(True)), load_ts)
-                    versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", rows)
+                    versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", rows, list(ENTITIES[entity].keys))
         if versions:
             self.store.publish(versions)
         return loaded
@@ -168,50 +213,57 @@ class Warehouse:
         executed_at: datetime,
         load_ts: datetime | None = None,
         extra_rules: list[quality.QualityRule] | None = None,
-    ) -> bool:
+    ) -> BatchResult:
         """Apply an incremental batch as new versions and rebuild the model from them.
 
-        History and model are published together, or not at all when a rule that tolerates no
-        failure rejects the new fact table.
+        Every entity of the batch is taken, and only the folders that its keys touch are read
+        and written. The model keeps the calendar it has. History and model are published
+        together, or not at all when a rule that tolerates no failure rejects the new model.
         """
         published = self.store.published()
-        versions = {}
+        versions, counts = {}, []
         for entity, df in typed.items():
-            if entity not in HISTORY_ENTITIES and entity != "countries":
-                continue
             table, keys = f"dwm_{entity}", list(ENTITIES[entity].keys)
             attributes = [c for c in df.columns if c not in keys]
             integrity.require_unique(df, keys, entity)
             previous = published.get(table)
-            known = self.store.read(table, previous) if previous else _empty_history(df)
+            touched = [r.b for r in df.select(bucket(keys).alias("b")).distinct().collect()]  # as many as folders
+            known = self.store.read_buckets(table, previous, touched) if previous else empty_memory(self.spark, entity)
             batch = h.next_versions(known, df, keys, attributes, load_ts)
-            versions[table] = self.store.write_history(table, batch, previous)
+            versions[table] = self.store.write_history(table, batch, keys, previous, touched)
+            counts.append(h.change_counts(known, df, keys, attributes).select(F.lit(entity).alias("entity"), "status", "row_count"))
 
         memory = self.memory_tables()
         memory |= {e: self.store.read(f"dwm_{e}", versions[f"dwm_{e}"]) for e in ENTITIES if f"dwm_{e}" in versions}
         model = self._write_model(memory, load_ts)
 
-        tables = {name: self.store.read(name, version) for name, version in {**versions, **model}.items()}
-        checked = [r for r in [*quality.MODEL_RULES, *(extra_rules or [])] if r.table in tables]
-        results = quality.run_all_checks(tables, checked, run_id, executed_at)
-        results = self._logged("dqm_quality_results", results, run_id, "model")
-        if quality.critical_rejections(results, run_id).take(1):
-            return False
-        self.store.publish({**versions, **model})
-        return True
+        written = {name: self.store.read(name, version) for name, version in {**versions, **model}.items()}
+        results = self._check(written, written.__contains__, extra_rules, run_id, executed_at, "model")
+        accepted = not quality.critical_rejections(results, run_id).take(1)
+        if accepted:
+            self.store.publish({**versions, **model}, published)
+            enrichment_views(with_empty_tables(self.spark, memory))
+        memory = with_empty_tables(self.spark, memory)
+        lost = dropped_lines(
+            in_force(memory["order_details"]),
+            in_force(memory["orders"]),
+            *[written[f"dim_{d}"] for d in ("product", "customer", "employee", "time")],
+        )
+        return BatchResult(accepted, results, integrity.union_all(counts), lost)
 
     def standardise_countries(self, load_ts: datetime | None = None) -> None:
         """Recode country names of customers and employees, correct country attributes."""
+        before = self.store.published()
         versions, memory = {}, self.memory_tables()
         for entity in ("customers", "employees"):
             if entity in memory:
                 recoded = recode(memory[entity], "country", COUNTRY_RECODE)
-                versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", recoded)
+                versions[f"dwm_{entity}"] = self.store.write_history(f"dwm_{entity}", recoded, list(ENTITIES[entity].keys))
         if "countries" in memory:
             patched = patch_countries(self.spark, memory["countries"])
-            versions["dwm_countries"] = self.store.write_history("dwm_countries", patched)
+            versions["dwm_countries"] = self.store.write_history("dwm_countries", patched, list(ENTITIES["countries"].keys))
         if versions:
-            self.store.publish(versions)
+            self.store.publish(versions, before)
 
     def country_leftovers(self) -> dict[str, DataFrame]:
         """What standardisation left: unknown country names, near-duplicate and non-ASCII countries."""
@@ -232,7 +284,15 @@ class Warehouse:
 
     # Model
 
-    def _write_model(self, memory, load_ts, time_start=TIME_START, time_days=TIME_DAYS) -> dict[str, str]:
+    def _calendar(self) -> tuple[str, int]:
+        """First day and number of days of the published calendar, or the standard one."""
+        days = self.model("dim_time")
+        if days is None:
+            return TIME_START, TIME_DAYS
+        first, n = days.agg(F.min("full_date").cast("string"), F.count(F.lit(1))).first()
+        return (first, n) if n else (TIME_START, TIME_DAYS)
+
+    def _write_model(self, memory, load_ts, calendar: tuple[str, int] | None = None) -> dict[str, str]:
         """Write every table of the model once, parents before children; the fact a folder per year."""
         versions: dict[str, str] = {}
 
@@ -244,13 +304,17 @@ class Warehouse:
                 versions[name] = self.store.write(name, df)
             return self.store.read(name, versions[name])
 
-        rebuild_model(self.spark, memory, load_ts, time_start, time_days, keep)
+        rebuild_model(self.spark, with_empty_tables(self.spark, memory), load_ts, *(calendar or self._calendar()), keep)
         return versions
 
-    def rebuild(self, load_ts: datetime | None = None, time_start: str = TIME_START, time_days: int = TIME_DAYS) -> None:
-        self.store.publish(self._write_model(self.memory_tables(), load_ts, time_start, time_days))
+    def rebuild(self, load_ts: datetime | None = None, time_start: str | None = None, time_days: int = TIME_DAYS) -> None:
+        """Build the model anew; a calendar that is given replaces the one it has."""
+        before, memory = self.store.published(), self.memory_tables()
+        self.store.publish(self._write_model(memory, load_ts, (time_start, time_days) if time_start else None), before)
+        enrichment_views(with_empty_tables(self.spark, memory))
 
-    def model(self, table: str) -> DataFrame:
+    def model(self, table: str) -> DataFrame | None:
+        """A published table of the model, or None before the first publication."""
         return self.store.current(table)
 
     def sales_by_employee(self) -> DataFrame:
@@ -261,10 +325,6 @@ class Warehouse:
         return view
 
 
-def _empty_history(df: DataFrame) -> DataFrame:
-    return stamp(df.limit(0).withColumn("active", F.lit(True)))
-
-
 def patch_countries(spark: SparkSession, countries: DataFrame) -> DataFrame:
     """The keyed corrections of capital, code and name, by abbreviation and by name."""
     by_code = spark.createDataFrame(

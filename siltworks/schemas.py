@@ -336,6 +336,3 @@ COMPLETENESS_COLUMNS: dict[str, list[str]] = {
     "employees": ["reports_to", "region", "home_phone", "photo_path"],
     "products": ["discontinued", "reorder_level", "units_on_order"],
 }
-
-# Entities that take incremental batches as versions.
-HISTORY_ENTITIES = ("products", "customers", "orders", "order_details")

@@ -7,10 +7,13 @@ import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Folders over which a history spreads its rows in force. More folders make a small batch touch less.
+BUCKETS = 64
+
 MANIFEST_SCHEMA = "seq long, table string, version string, schema string, folders array<string>"
 
 
@@ -46,16 +49,25 @@ def reset_staging(df: DataFrame, root: str, entity: str, batch_id: str) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucket(keys: list[str], buckets: int = BUCKETS) -> Column:
+    """The bucket of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+class ConflictError(RuntimeError):
+    """Another writer has published in the meantime."""
+
+
 class VersionedStore:
     """Tables whose readers see only published versions.
 
-    Each write goes to a new folder. Publishing appends one small file to the manifest that
-    names the folders of every table concerned; Spark's commit protocol makes that file appear
-    whole or not at all. A batch that fails or is rejected leaves all tables as they were, and
+    Each write goes to a new folder. Publishing adds one numbered folder to the manifest, a small
+    file that names the folders of every table concerned; Spark's commit protocol makes that file
+    appear whole or not at all. A batch that fails or is rejected leaves all tables as they were, and
     tables published together change together.
 
-    A version may consist of several folders: a history keeps the folders of its closed rows
-    from version to version, so that a batch never rewrites them.
+    A version may consist of several folders: a history keeps the folders that a batch does not
+    touch from version to version, so that it never rewrites them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -79,24 +91,48 @@ class VersionedStore:
         self._folders[version] = [f"version={version}"]
         return version
 
-    def write_history(self, table: str, rows: DataFrame, previous: str | None = None) -> str:
-        """Store the rows a batch closed or left in force, beside the closed rows already stored."""
-        version = self.write(table, rows, ("active",))
-        written = self.read(table, version)
-        # One row of either kind at most: the filter prunes to that kind's folder.
-        found = [flag for flag in ("true", "false") if written.filter(f"active = {flag}").take(1)]
-        new = [f"version={version}/active={flag}" for flag in found]
-        kept = [f for f in self._folders[previous] if f.endswith("/active=false")] if previous else []
-        self._folders[version] = kept + new
+    def write_history(
+        self, table: str, rows: DataFrame, keys: list[str], previous: str | None = None, touched: list[int] | None = None
+    ) -> str:
+        """Store the rows a batch closed or left in force.
+
+        Rows in force lie in folders by hash of their key, closed rows in a folder per batch.
+        With ``previous`` the rows are those of the ``touched`` buckets only: all other folders
+        of that version, and its closed rows, become part of the new version as they are.
+        """
+        part = F.when(F.col("active"), bucket(keys).cast("string")).otherwise(F.lit("closed"))
+        version = self.write(table, rows.withColumn("_part", part), ("_part",))
+        self._schemas[version] = rows.schema
+        folder = f"{self.root}/{table}/version={version}"
+        # A row per folder, one more than buckets at most; only folder names are read.
+        written = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_part", T.StringType())])).parquet(folder)
+        new = sorted(r._part for r in written.select("_part").distinct().collect())
+        replaced = {str(b) for b in touched or []}
+        kept = [f for f in self._folders[previous] if f.rpartition("_part=")[2] not in replaced] if previous else []
+        self._folders[version] = kept + [f"version={version}/_part={p}" for p in new]
         return version
 
+    def read_buckets(self, table: str, version: str, buckets: list[int]) -> DataFrame:
+        """Rows in force of some buckets; the other folders are not read."""
+        wanted = {str(b) for b in buckets}
+        return self._read(table, version, [f for f in self._folders[version] if f.rpartition("_part=")[2] in wanted])
+
     def read(self, table: str, version: str) -> DataFrame:
         """A version under its recorded schema, so that an empty one can be read as well."""
+        return self._read(table, version, self._folders[version])
+
+    def _read(self, table: str, version: str, folders: list[str]) -> DataFrame:
         schema, folder = self._schemas[version], f"{self.root}/{table}"
-        if not self._folders[version]:
+        if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", folder)
-        return reader.parquet(*[f"{folder}/{f}" for f in self._folders[version]]).select(*schema.names)
+        return reader.parquet(*[f"{folder}/{f}" for f in folders]).select(*schema.names)
+
+    def compact(self, table: str, keys: list[str]) -> None:
+        """Write a history anew, its closed rows in one folder instead of one per batch."""
+        now = self.published()
+        version = self.write_history(table, self.read(table, now[table]), keys)
+        self.publish({table: version}, now)
 
     def published(self) -> dict[str, str]:
         """Version in force per table. The manifest has one row per table and publication."""
@@ -115,14 +151,30 @@ class VersionedStore:
                 raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    def publish(self, versions: dict[str, str]) -> None:
+    def publish(self, versions: dict[str, str], expected: dict[str, str] | None = None) -> None:
+        """Put the versions in force, all in one step.
+
+        ``expected`` gives the versions in force that they were made from. If any of these tables
+        has changed since, or another writer takes the same place in the manifest, nothing is
+        published and ConflictError raised: the batch has to be applied again.
+        """
         seq = (self._log().agg(F.max("seq").alias("seq")).first().seq or 0) + 1
+        if expected is not None:
+            now = self.published()
+            moved = [t for t in versions if now.get(t) != expected.get(t)]
+            if moved:
+                raise ConflictError(f"changed by another writer: {', '.join(sorted(moved))}")
         entries = [
             (seq, table, version, self._schemas[version].json(), self._folders[version])
             for table, version in versions.items()
         ]
         rows = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(self._manifest)
+        try:
+            rows.drop("seq").coalesce(1).write.mode("errorifexists").parquet(f"{self._manifest}/seq={seq}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise ConflictError(f"another writer published as number {seq}") from error
 
     def current(self, table: str) -> DataFrame | None:
         """The published version, or None before the first publication."""

@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from compare import compare, connect  # noqa: E402
 
 import __spark_entry__ as driver  # noqa: E402
+from siltworks.plans.registry import all_queries, all_sql  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -21,14 +22,14 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_its_sql(spark, connection, name):
     problems, _, _ = compare(spark, connection, FOLDER, name)
     assert not problems
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
 
 
 def test_entry(spark):
