@@ -32,7 +32,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages. What is left of a character goes as well, and texts of which no word is left."""
+    """Documents without their repeated passages. What is left of a character goes as well, and texts
+    of which no word is left. A null text comes out empty."""
     found = suffix_dedup.remove_repeats(docs)
     cut = F.col("n_spans") > 0
     left = F.col("kept").cast("string")
