@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.chunk_encoder import ChunkEncoder, byte_symbols
+from siltworks.llm.chunk_encoder import _LOADED, ChunkEncoder, byte_symbols
 from siltworks.llm.common import map_rows
 
 # White space as the file's patterns mean it; a language's own \s may hold more characters.
@@ -101,15 +101,12 @@ class WordBpe:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
-_LOADED: dict[str, tuple[WordBpe, ChunkEncoder]] = {}
-
-
 def loaded(path: str) -> tuple[WordBpe, ChunkEncoder]:
     """The coder of a file, and its memory of chunks; one per worker process."""
-    if path not in _LOADED:
+    if (path, "own") not in _LOADED:
         coder = WordBpe(path)
-        _LOADED[path] = coder, ChunkEncoder(lambda word: array("I", coder.encode_text(word.decode())).tobytes(), keep_space=False)
-    return _LOADED[path]
+        _LOADED[path, "own"] = coder, ChunkEncoder(lambda word: array("I", coder.encode_text(word.decode())).tobytes(), keep_space=False)
+    return _LOADED[path, "own"]
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -122,7 +119,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ids = chunks.encode(text)
                 yield doc_id, ids, coder.decode(array("I", ids).tolist())
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id bigint, ids binary, decoded string")
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id bigint, ids binary, decoded string", encodes=True)
 
 
 def query(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -16,8 +16,8 @@ import unicodedata
 from array import array
 from collections.abc import Callable
 
-#: Entries of a generation. An entry takes about 200 bytes; a worker holds two generations of chunks and two of words.
-ROOM = 600_000
+#: Entries of a generation. An entry takes about 170 bytes; a worker holds two generations.
+ROOM = 500_000
 
 # White space outside ASCII, as UTF-8. It may stand in one piece with ASCII white space.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -62,17 +62,17 @@ class ChunkEncoder:
     """
 
     def __init__(self, encode_one: Callable[[bytes], bytes], keep_space: bool, room: int = ROOM):
+        self.encode_one = encode_one
         self.keep_space = keep_space
-        self.words = Memory(encode_one, room)
-        self.chunks = Memory(self._from_words, room)
+        self.chunks = Memory(self._new, room)
 
-    def _from_words(self, chunk: bytes) -> bytes:
-        if chunk[:1] == b"\n" and not chunk[1:2].isspace():  # a line end before a word is a piece
-            return self.words[b"\n"] + self.chunks[chunk[1:]] if chunk[1:] else self.words[chunk]
+    def _new(self, chunk: bytes) -> bytes:
+        if chunk[:1] == b"\n" and len(chunk) > 1 and not chunk[1:2].isspace():  # a line end before a word is a piece
+            return self.chunks[b"\n"] + self.chunks[chunk[1:]]
         word = chunk.rstrip(b".,")
         if len(word) < len(chunk) and _ends_in_letter(word.decode()):
-            return self.words[word] + self.words[chunk[len(word) :]]
-        return self.words[chunk]
+            return self.chunks[word] + self.chunks[chunk[len(word) :]]
+        return self.encode_one(chunk)
 
     def _cut(self, data: bytes) -> list[bytes]:
         if not self.keep_space:
@@ -89,7 +89,6 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> bytes:
         ids = b"".join(map(self.chunks.__getitem__, self._cut((text or "").encode())))
         self.chunks.trim()
-        self.words.trim()
         return ids
 
 
@@ -103,16 +102,21 @@ def byte_symbols() -> list[str]:
 # One piece in either vocabulary, in normal form, whose lower case has one form.
 _PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
-_LOADED: dict[tuple, ChunkEncoder] = {}
+_LOADED: dict[tuple, object] = {}
 
 
-def library_encoder(path: str, keep_space: bool) -> ChunkEncoder:
-    """An encoder over a tokenizer file, one per worker process.
+def forget() -> None:
+    """Gives the memory back when a worker goes on to other work."""
+    _LOADED.clear()
+
+
+def library_encoder(path: str, keep_space: bool, room: int = ROOM) -> ChunkEncoder:
+    """An encoder over a tokenizer file, one per worker process and size of its memory.
 
     A word of plain letters goes straight to the library's model, as its one piece; anything
     else takes the library's whole way.
     """
-    if (path, keep_space) not in _LOADED:
+    if (path, keep_space, room) not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -130,5 +134,5 @@ def library_encoder(path: str, keep_space: bool) -> ChunkEncoder:
                 return array("I", [t.id for t in model.tokenize(piece.decode("latin-1").translate(symbols))]).tobytes()
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-        _LOADED[path, keep_space] = ChunkEncoder(encode_one, keep_space)
-    return _LOADED[path, keep_space]
+        _LOADED[path, keep_space, room] = ChunkEncoder(encode_one, keep_space, room)
+    return _LOADED[path, keep_space, room]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -12,10 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.llm import chunk_encoder
 from siltworks.session import scratch_path
 
 # Bytes of results that a task gathers before it hands them on.
 BATCH_BYTES = 8_000_000
+# Bytes of a batch that are Python values at once.
+SLICE_BYTES = 4_000_000
 # Bits of a bitmap that keeps rows out of a shuffle: 2 MB, at most 512 rows of 4 KB.
 BITMAP_BITS = 1 << 24
 
@@ -53,15 +57,36 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
-def map_rows(df: DataFrame, make: Callable[[Iterator[dict[str, list]]], Iterator[tuple]], schema: str) -> DataFrame:
-    """Runs ``make`` once per partition: batches come as columns of Python values, results go as tuples."""
+def release(encodes: bool = False) -> None:
+    """Gives back what earlier tasks of this worker have left; ``encodes`` keeps its encoders."""
+    if not encodes:
+        chunk_encoder.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, few enough at once that their Python values take little memory."""
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def map_rows(
+    df: DataFrame, make: Callable[[Iterator[dict[str, list]]], Iterator[tuple]], schema: str, encodes: bool = False
+) -> DataFrame:
+    """Runs ``make`` once per partition: batches come as columns of Python values, results go as tuples.
+
+    ``encodes`` keeps the encoders that earlier tasks left in the worker; other work drops them.
+    """
     ship(df.sparkSession)
     fields = df.sparkSession.createDataFrame([], schema).schema.fields
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
     target = pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches)
+        release(encodes)
+        columns = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for whole in batches for b in slices(whole))
         held, size = [], 0
         for row in make(columns):
             held.append(row)
@@ -79,18 +104,6 @@ def _batch(rows: list[tuple], target: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), target.types)], schema=target)
 
 
-def groups_of(sizes: list[int], limit: int) -> Iterator[slice]:
-    """Consecutive slices whose sizes add up to about ``limit``; a larger item stands alone."""
-    start, total = 0, 0
-    for i, size in enumerate(sizes):
-        if total and total + size > limit:
-            yield slice(start, i)
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield slice(start, len(sizes))
-
-
 def bitmap_of(digests: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     """The bits of the 64-bit values in column ``digest``, at most ``bits / 32768`` rows of 4 KB."""
     bit = F.pmod("digest", F.lit(bits))

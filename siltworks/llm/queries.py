@@ -68,4 +68,4 @@ QUERIES = {
     )
 }
 
-SQL = {"op2_license_scan": license_scan.SQL, "op4_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL}
+SQL = {"op2_license_scan": license_scan.SQL, "op4_quality_rules": quality_rules.SQL, "op7_suffix_dedup": suffix_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL}

@@ -13,8 +13,8 @@ of equal size are merged before the next batch comes, so n batches leave about l
 
 Matches are then checked in full. Postings of equal context repeat as a whole. For hashes with
 several contexts the bytes of one posting per context are fetched and their windows compared
-byte by byte. A hash with over ``HOT`` contexts isn't gathered in one task: its windows are
-grouped by their own hashes instead, which finds the same.
+byte by byte. A hash with over ``HOT`` contexts isn't gathered in one task: blocks of windows, and
+the windows of blocks that repeat in part, are grouped by their own 128-bit hashes instead.
 
 Copies of one text are indexed once; a text of SPAN bytes or more that occurs twice is removed
 wholly. Null text counts as empty. Texts below SPAN bytes stay. Matches never cross documents.
@@ -24,6 +24,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bitmap_of, map_rows, maybe_in, ship, stored
+from siltworks.llm.common import bitmap_of, map_rows, maybe_in, release, ship, slices, stored
 
 SPAN, GRAM = 200, 64
 _WINDOW = SPAN - GRAM + 1  # grams in a window; fits a byte
 BATCHES, HOT = 3, 1000
+GRAIN = 16
+_PAIR = struct.Struct("<qq")
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -73,10 +76,6 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return h[at[first]].view(np.int64), at[first], first, last
 
 
-def _signed(value: int) -> int:
-    return value - ((value >> 63) << 64)
-
-
 def _open(place: int) -> tuple[int, int]:
     """First window of a posting and the number of further ones."""
     return (place >> 16) - (place >> 8 & 255), place & 255
@@ -87,9 +86,10 @@ def postings(texts: DataFrame) -> DataFrame:
     ship(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()
         names = ["key", "context", "t", "place"]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             held: list[tuple] = []
             for t, text in zip(batch["t"].to_pylist(), batch["text"].to_pylist()):
                 data = text.encode()
@@ -183,20 +183,58 @@ def _equal_windows(posted: DataFrame) -> DataFrame:
     return map_rows(dealt.select("key", "single", "t", "place", "data"), make, "t bigint, start bigint, stop bigint")
 
 
+def _hash(data: bytes) -> tuple[int, int]:
+    return _PAIR.unpack(xxhash.xxh3_128_digest(data))
+
+
+def _blocks(data: bytes, place: int) -> Iterator[tuple[int, bytes, bytes | None]]:
+    """(block, core, all) of a posting's windows, in blocks of GRAIN by the anchor's place in the window.
+
+    The core lies in every window of the block, so windows are equal only where cores are. If
+    the posting has the whole block, ``all`` is what its windows cover: where that repeats, each does.
+    """
+    most = place >> 8 & 255
+    least = most - (place & 255)
+    for k in range(least // GRAIN, most // GRAIN + 1):
+        at = most - GRAIN * k
+        whole = least <= GRAIN * k and GRAIN * (k + 1) - 1 <= most
+        yield k, data[at : at + SPAN - GRAIN + 1], data[at - GRAIN + 1 : at + SPAN] if whole else None
+
+
 def _grouped_windows(posted: DataFrame) -> DataFrame:
-    """The same for keys of any size: a row per window, grouped by key and hash of the window."""
+    """The same for keys of any size, by grouping hashes: of blocks of windows, then of the windows
+    of blocks whose core repeats while the whole does not."""
 
-    def make(batches: Iterator[dict]) -> Iterator[tuple]:
+    def blocks(batches: Iterator[dict]) -> Iterator[tuple]:
         for batch in batches:
             for key, single, t, place, data in zip(*(batch[c] for c in ("key", "single", "t", "place", "data"))):
-                first, _ = _open(place)
-                for i, window in enumerate(_windows(data, place)):
-                    yield key, _signed(xxhash.xxh64_intdigest(window, 1)), _signed(xxhash.xxh64_intdigest(window, 2)), single, t, first + i
+                for k, core, whole in _blocks(data, place):
+                    u, v = _hash(whole) if whole else (None, None)
+                    yield key, k, _hash(core)[0], u, v, single, t, place
 
-    rows = map_rows(posted.select("key", "single", "t", "place", "data"), make, "key bigint, h bigint, g bigint, single boolean, t bigint, start bigint")
-    rows = stored(rows, "suffix-windows")
-    twice = rows.groupBy("key", "h", "g").count().filter("count > 1").drop("count")
-    return rows.filter("single").join(twice, ["key", "h", "g"], "left_semi").select("t", "start", (F.col("start") + SPAN).alias("stop"))
+    def windows(batches: Iterator[dict]) -> Iterator[tuple]:
+        for batch in batches:
+            for key, k, single, t, place, data in zip(*(batch[c] for c in ("key", "k", "single", "t", "place", "data"))):
+                first, more = _open(place)
+                most = place >> 8 & 255
+                for i in range(max(0, most - GRAIN * (k + 1) + 1), min(more, most - GRAIN * k) + 1):
+                    h, g = _hash(data[i : i + SPAN])
+                    yield key, h, g, single, t, first + i
+
+    listed = ["key", "single", "t", "place", "data"]
+    rows = stored(map_rows(posted.select(listed), blocks, "key bigint, k int, c bigint, u bigint, v bigint, single boolean, t bigint, place bigint"), "suffix-blocks")
+    near = rows.join(rows.groupBy("key", "k", "c").count().filter("count > 1").drop("count"), ["key", "k", "c"], "left_semi")
+    same = near.filter("u IS NOT NULL").groupBy("key", "k", "u", "v").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "place")).alias("at"))
+    near = stored(near.join(same.filter("n > 1"), ["key", "k", "u", "v"], "left"), "suffix-near")
+    place = F.shiftright("place", 16) - GRAIN * F.col("k")
+    whole = near.filter("n IS NOT NULL AND single").select("t", (place - GRAIN + 1).alias("start"), (place + SPAN).alias("stop"))
+    # Blocks that repeat as a whole stand for each other: one of them meets the rest.
+    rest = near.filter("n IS NULL OR (t = at.t AND place = at.place)").select("key", "k", "t", "place")
+    data = rest.join(posted.select(listed), ["key", "t", "place"])
+    split = stored(map_rows(data.select("k", *listed), windows, "key bigint, h bigint, g bigint, single boolean, t bigint, start bigint"), "suffix-windows")
+    twice = split.groupBy("key", "h", "g").count().filter("count > 1").drop("count")
+    found = split.filter("single").join(twice, ["key", "h", "g"], "left_semi")
+    return whole.unionByName(found.select("t", "start", (F.col("start") + SPAN).alias("stop")))
 
 
 def _keyed(docs: DataFrame, seed: int) -> tuple[DataFrame, Column]:
@@ -241,11 +279,12 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
         posted = own if posted is None else posted.unionByName(own)
         found = matched if found is None else found.unionByName(matched)
     keys = stored(found.distinct(), "suffix-keys")
+    # Copies of a posting stay until the contexts are counted: a join with nothing behind it is one that Spark splits.
     near = maybe_in(posted.withColumnRenamed("key", "digest"), bitmap_of(keys.select(F.col("key").alias("digest"))))
     near = near.withColumnRenamed("digest", "key").join(keys, "key", "left_semi")
-    near = stored(near.dropDuplicates(["key", "context", "t", "place"]), "suffix-matches")
+    near = stored(near, "suffix-matches")
 
-    contexts = stored(near.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "place")).alias("at")), "suffix-contexts")
+    contexts = stored(near.distinct().groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "place")).alias("at")), "suffix-contexts")
     first = F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(F.lit(255))
     whole = near.join(contexts.filter("n > 1"), ["key", "context"], "left_semi").select(
         "t", first.alias("start"), (first + F.col("place").bitwiseAND(F.lit(255)) + SPAN).alias("stop")
@@ -256,8 +295,11 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
         "suffix-wanted",
     )
     data = stored(_fetch(keyed, wanted.drop("hot")).join(mixed, "key").withColumn("hot", F.col("kinds") > hot), "suffix-bytes")
-    spans = whole.unionByName(_equal_windows(data.filter("not hot"))).unionByName(_grouped_windows(data.filter("hot")))
-    return seed, copies, stored(spans, "suffix-spans")
+    # Written one by one, so that Spark splits a hot context in the join of its own job.
+    whole, compared, grouped = (
+        stored(spans, "suffix-spans") for spans in (whole, _equal_windows(data.filter("not hot")), _grouped_windows(data.filter("hot")))
+    )
+    return seed, copies, whole.unionByName(compared).unionByName(grouped)
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, bytes]:
@@ -292,7 +334,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> D
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sizes, runs, kept = [], [], []
             for text, found in zip(batch["data"].to_pylist(), batch["spans"].to_pylist()):
                 n, left = _cut(text, [(s["start"], s["stop"]) for s in json.loads(found or "[]")])
@@ -309,3 +351,32 @@ def query(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs).select(
         "own.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+SQL = f"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, h, unnest(range(0, len(h) // 2 - {SPAN - 1})) AS i FROM d WHERE len(h) >= {2 * SPAN}
+), k AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * SPAN})) AS m FROM w
+), r AS (
+  SELECT doc_id, i FROM k JOIN (SELECT m FROM k GROUP BY m HAVING count(*) > 1) USING (m)
+), g AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {SPAN} THEN 0 ELSE 1 END AS fresh FROM r
+), s AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM g
+), runs AS (
+  SELECT doc_id, run, min(i) AS a, max(i) + {SPAN} AS z FROM s GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, run, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY run), 0) AS f, a AS t FROM runs
+  UNION ALL
+  SELECT doc_id, max(run) + 1, max(z), any_value(len(h) // 2) FROM runs JOIN d USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, CAST(count(*) - 1 AS BIGINT) AS n_spans, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY run) AS rest
+  FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(len(h) // 2 - len(coalesce(rest, h)) // 2 AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

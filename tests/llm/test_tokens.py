@@ -46,7 +46,7 @@ def test_memory_is_bounded_and_forgets_safely():
     encoder = ChunkEncoder(lambda word: word, keep_space=False, room=3)
     for i in range(50):
         assert encoder.encode(f"a{i} b c a{i}, d{i % 4}") == f"a{i}bca{i},d{i % 4}".encode()
-        assert len(encoder.chunks) <= 8 and len(encoder.chunks.old) <= 8
+        assert len(encoder.chunks) <= 3 and len(encoder.chunks.old) <= 12
 
 
 def test_bpe_query(spark, messy, texts):
