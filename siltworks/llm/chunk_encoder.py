@@ -16,8 +16,9 @@ import unicodedata
 from array import array
 from collections.abc import Callable
 
-#: Entries of a generation. An entry takes about 170 bytes; a worker holds two generations.
-ROOM = 500_000
+#: Entries of a generation. An entry takes about 100 bytes besides what chunks share with words; a worker holds two
+#: generations of each.
+ROOM = 600_000
 
 # White space outside ASCII, as UTF-8. It may stand in one piece with ASCII white space.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -62,17 +63,17 @@ class ChunkEncoder:
     """
 
     def __init__(self, encode_one: Callable[[bytes], bytes], keep_space: bool, room: int = ROOM):
-        self.encode_one = encode_one
         self.keep_space = keep_space
-        self.chunks = Memory(self._new, room)
+        self.words = Memory(encode_one, room)
+        self.chunks = Memory(self._from_words, room)
 
-    def _new(self, chunk: bytes) -> bytes:
+    def _from_words(self, chunk: bytes) -> bytes:
         if chunk[:1] == b"\n" and len(chunk) > 1 and not chunk[1:2].isspace():  # a line end before a word is a piece
-            return self.chunks[b"\n"] + self.chunks[chunk[1:]]
+            return self.words[b"\n"] + self.chunks[chunk[1:]]
         word = chunk.rstrip(b".,")
         if len(word) < len(chunk) and _ends_in_letter(word.decode()):
-            return self.chunks[word] + self.chunks[chunk[len(word) :]]
-        return self.encode_one(chunk)
+            return self.words[word] + self.words[chunk[len(word) :]]
+        return self.words[chunk]
 
     def _cut(self, data: bytes) -> list[bytes]:
         if not self.keep_space:
@@ -89,6 +90,7 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> bytes:
         ids = b"".join(map(self.chunks.__getitem__, self._cut((text or "").encode())))
         self.chunks.trim()
+        self.words.trim()
         return ids
 
 
@@ -128,8 +130,12 @@ def library_encoder(path: str, keep_space: bool, room: int = ROOM) -> ChunkEncod
         symbols = dict(enumerate(byte_symbols()))
 
         def encode_one(data: bytes) -> bytes:
+            spaced = keep_space and data[:1] == b" "
+            if data[spaced:].isalpha():  # ASCII letters stand for themselves
+                piece = symbols[0x20] * spaced + (data.lower() if lower else data)[spaced:].decode()
+                return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
             text = data.decode()
-            if _PLAIN_WORD.fullmatch(text, int(keep_space and data[:1] == b" ")):
+            if _PLAIN_WORD.fullmatch(text, int(spaced)):
                 piece = text.lower().encode() if lower else data
                 return array("I", [t.id for t in model.tokenize(piece.decode("latin-1").translate(symbols))]).tobytes()
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from siltworks.llm.chunk_encoder import library_encoder
 from siltworks.llm.common import map_rows, stored
 
-BLOCK, PERCENTILE = 512, 90
+BLOCK, PERCENTILE = 2048, 90
 #: Ids after which a file ends, at the next end of a document.
 FILE_IDS = 1_000_000
 _MAGIC, _VERSION = b"PFOR", 1
@@ -49,8 +49,12 @@ def pack_block(values: np.ndarray) -> bytes:
     widths = np.sort(_bits(rest))
     width = int(widths[-(-len(rest) * PERCENTILE // 100) - 1])
     large = np.flatnonzero(_bits(rest) > width)
-    bits = ((rest[:, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
-    packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
+    octets = np.ascontiguousarray(rest, "<u4").view(np.uint8).reshape(-1, 4)
+    if width % 8 == 0:  # whole bytes: the low ones of each value as they are
+        packed = octets[:, : width // 8].tobytes()
+    else:
+        bits = np.unpackbits(octets, axis=1, bitorder="little")[:, :width]
+        packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
     high = (rest[large].astype(np.uint64) >> np.uint64(width)).astype("<u4")
     return _BLOCK_HEAD.pack(least, width, 0, len(large)) + packed + large.astype("<u2").tobytes() + high.tobytes()
 
@@ -60,15 +64,20 @@ def unpack_block(data: bytes, at: int, n: int) -> np.ndarray:
     least, width, _, exceptions = _BLOCK_HEAD.unpack_from(data, at)
     at += _BLOCK_HEAD.size
     size = -(-n * width // 8)
-    rest = np.zeros(n, dtype=np.uint64)
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little", count=n * width)
-        rest = bits.reshape(n, width) @ (np.uint64(1) << np.arange(width, dtype=np.uint64))
+    packed = np.frombuffer(data, np.uint8, size, at)
+    octets = np.zeros((n, 4), np.uint8)
+    if width % 8 == 0:
+        octets[:, : width // 8] = packed.reshape(n, -1) if width else 0
+    else:
+        bits = np.zeros((n, 32), np.uint8)
+        bits[:, :width] = np.unpackbits(packed, bitorder="little", count=n * width).reshape(n, width)
+        octets = np.packbits(bits, axis=1, bitorder="little")
+    rest = octets.view("<u4")[:, 0]
     at += size
     places = np.frombuffer(data, "<u2", exceptions, at)
     high = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
-    rest[places] |= high.astype(np.uint64) << np.uint64(width)
-    return (rest + np.uint64(least)).astype("<u4")
+    rest[places] |= (high.astype(np.uint64) << np.uint64(width)).astype("<u4")
+    return rest + np.uint32(least)
 
 
 def pack_file(documents: list[tuple[int | None, bytes]]) -> bytes:
@@ -116,7 +125,10 @@ class File:
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-blocks") -> DataFrame:
-    """Encodes the texts and writes them in ascending doc_id order: rows (part, file, doc_ids, data)."""
+    """Encodes the texts and writes them in ascending doc_id order: rows (part, file, before, n_docs, n_ids, doc_ids, data).
+
+    ``before`` counts the ids of the part's earlier files.
+    """
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ordered = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -127,12 +139,12 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
 
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
         encoder = library_encoder(tokenizer, keep_space=False)
-        held, size, number = [], 0, 0
+        held, size, number, before = [], 0, 0, 0
 
         def row() -> tuple:
             known = np.array([i is not None for i, _ in held])
             ids = np.array([i or 0 for i, _ in held], dtype="<i8")
-            return number, held[0][0], len(held), size, known.tobytes() + ids.tobytes(), pack_file(held)
+            return number, before, len(held), size, known.tobytes() + ids.tobytes(), pack_file(held)
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -140,20 +152,20 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
                 size += len(held[-1][1]) // 4
                 if size >= FILE_IDS:
                     yield row()
-                    held, size, number = [], 0, number + 1
+                    held, size, number, before = [], 0, number + 1, before + size
         if held:
             yield row()
 
-    files = map_rows(ordered, make, "file int, first_id bigint, n_docs bigint, n_ids bigint, doc_ids binary, data binary")
+    files = map_rows(ordered, make, "file int, before bigint, n_docs bigint, n_ids bigint, doc_ids binary, data binary", encodes=True)
     return stored(files.withColumn("part", F.spark_partition_id()), name)
 
 
 def read(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the files; start counts the ids of all files before."""
-    # One row per file: some hundreds of thousands at 100 TB, without their contents.
-    order = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("part", "file", "n_ids").withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
-    placed = files.join(starts.drop("n_ids"), ["part", "file"])
+    # A row per part, as many as the writer's partitions.
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = files.join(F.broadcast(parts.drop("n")), "part").withColumn("base", F.col("base") + F.col("before"))
 
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
         for batch in batches:
@@ -163,7 +175,10 @@ def read(files: DataFrame) -> DataFrame:
                 for doc_id, there, first, doc in zip(ids.tolist(), known.tolist(), file.firsts.tolist(), file.documents()):
                     yield doc_id if there else None, base + first, len(doc) // 4, doc
 
-    return map_rows(placed.select("base", "n_docs", "doc_ids", "data"), make, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    # Encoders stay in the workers, for the next files to be written.
+    return map_rows(
+        placed.select("base", "n_docs", "doc_ids", "data"), make, "doc_id bigint, start bigint, n_tokens bigint, ids binary", encodes=True
+    )
 
 
 def query(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
