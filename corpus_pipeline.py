@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from siltworks.llm import exact_dedup, packing, quality_rules, simhash, suffix_dedup  # noqa: E402
-from siltworks.llm.common import documents, stored, without  # noqa: E402
+from siltworks.llm.common import documents, one_per_group, stored, without  # noqa: E402
 from siltworks.llm.queries import BYTE_BPE  # noqa: E402
 
 
@@ -21,14 +21,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first of each group of equal texts."""
-    return without(docs, exact_dedup.dedupe(docs).filter(~F.col("kept")), "text")
+    """One row of each group of equal texts: of the rows with the smallest doc_id, or with none if no row
+    has one, the text with the least row key, and one of its repeats."""
+    return one_per_group(docs, exact_dedup.dedupe(docs).filter("NOT kept OR group_size > 1"), "text_sha256")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first of each component of near fingerprints."""
+    """One row of each component of near fingerprints, chosen in the same way: texts may share a doc_id."""
     found = simhash.near_duplicates(docs)
-    return without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "text")
+    return one_per_group(docs, found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "root")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

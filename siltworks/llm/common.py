@@ -134,3 +134,23 @@ def without(docs: DataFrame, rejected: DataFrame, *columns: str) -> DataFrame:
     tagged = docs.select(F.struct("*").alias("own"), row.alias("row"), F.xxhash64(F.col("doc_id"), row).alias("digest"))
     near = maybe_in(tagged, bitmap).join(rejected, F.col("own.doc_id").eqNullSafe(F.col("out_id")) & (F.col("row") == F.col("out_row")), "left_anti")
     return maybe_in(tagged, bitmap, wanted=False).select("own.*").union(near.select("own.*"))
+
+
+def one_per_group(docs: DataFrame, found: DataFrame, group: str) -> DataFrame:
+    """One row of ``docs`` for each ``group`` of found (doc_id, row, kept, group), a row per document; row is row_key("text").
+
+    Of a group's kept rows, which have one doc_id, the one with the least row key stays; of its
+    repeats, the least by all columns. Repeats are put together within each task first.
+    """
+    staying = found.filter("kept").groupBy("doc_id", "row", group).agg(F.count(F.lit(1)).alias("n"))
+    staying = stored(staying, "staying")
+    several = staying.groupBy(group).agg(F.min("row").alias("first"), F.sum("n").alias("total")).filter("total > 1").drop("total")
+    several = stored(staying.join(several, group), "several")
+    again = several.filter("row = first AND n > 1").select(F.col("doc_id").alias("again_id"), F.col("row").alias("again_row"))
+    out = found.filter("NOT kept").select("doc_id", "row").unionByName(several.filter("row <> first OR n > 1").select("doc_id", "row"))
+    bitmap = bitmap_of(again.select(F.xxhash64("again_id", "again_row").alias("digest")))
+    row = row_key("text")
+    tagged = docs.select(F.struct("*").alias("own"), row.alias("row"), F.xxhash64(F.col("doc_id"), row).alias("digest"))
+    least = maybe_in(tagged, bitmap).groupBy(F.col("own.doc_id").alias("doc_id"), "row").agg(F.min("own").alias("own"))
+    least = least.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("row") == F.col("again_row")), "left_semi")
+    return without(docs, out, "text").union(least.select("own.*"))

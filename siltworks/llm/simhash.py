@@ -275,13 +275,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, unit_rows: int = UNIT_R
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, row, fp, component_id), one row per document."""
+    """(doc_id, row, fp, component_id, root), one row per document; root tells components apart, component_id need not:
+    texts that share a doc_id may lie in several."""
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), max_bits), "simhash-components").withColumnsRenamed({"node": "fp"})
     placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = placed.join(placed.groupBy("root").agg(F.min("first").alias("component_id")), "root")
-    return prints.join(named.select("fp", "component_id"), "fp")
+    return prints.join(named.select("fp", "component_id", "root"), "fp")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """The pipeline stage by stage against brute force over a small table."""
 
+import random
 import re
+from collections import Counter
 
 import corpus_pipeline
 from siltworks.llm.common import stored
@@ -49,3 +51,31 @@ def test_run_is_the_stages(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(rows.columns)
     assert rows.count() > 0
+
+
+def long_text(seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(300))
+
+
+def test_repeated_rows_come_out_once(spark):
+    """Rows read in twice, copies without an id, texts that share an id, and near texts under one id."""
+    a, b, c, d, e, f = map(long_text, range(6))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a, "x"), (None, b, "x"), (None, b, "x"), (None, b.replace(" ", "\n", 2), "x")]
+    rows += [(3, c, "x"), (3, c.replace(" ", "  ", 1), "x"), (4, d, "x"), (4, e, "x"), (5, f, "x"), (5, f + " end", "x"), (6, f + " ends", "x")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, ""), "test-stage")
+        found = docs.collect()
+        if name == "exact dedup":
+            assert Counter(r["doc_id"] for r in found) == {1: 1, None: 1, 3: 1, 4: 2, 5: 2, 6: 1}
+            assert {r["source"] for r in found if r["doc_id"] == 1} == {"x"}
+    assert Counter(r["doc_id"] for r in found) == {1: 1, None: 1, 3: 1, 4: 2, 5: 1}
+    words = {t.split()[0]: t.split() for t in (a, b, c, d, e, f)}
+    assert all(r["text"].split()[:300] == words.pop(r["text"].split()[0]) for r in found) and not words
+
+
+def test_near_stage_alone_keeps_one_row_of_repeats(spark):
+    text = long_text(9)
+    docs = spark.createDataFrame([(7, text), (7, text), (8, text + " end"), (None, text)], "doc_id bigint, text string")
+    assert [tuple(r) for r in corpus_pipeline.near(spark, docs, "").collect()] == [(7, text)]
