@@ -8,8 +8,9 @@ near, the text is flagged as ambiguous.
 
 Features are counts of hashed byte pairs and triples over the whole text, in lower case with
 anything but letters as space. Classifiers are fitted on the driver from a sample of about
-``PER_LANGUAGE`` distinct texts of each of the ``LANGUAGES`` most frequent languages, chosen by
-hash; only their feature vectors travel. All texts are judged.
+``PER_LANGUAGE`` texts of every language, chosen by hash; only their feature vectors travel. If
+that makes over ``TOTAL`` texts, all languages get fewer, at least about ``LEAST`` each and never
+none. All texts are judged.
 
 A null text or one without a letter is ``und``. Null languages are not learned. Without any
 learned language all texts are ``und``, and with one that one is given. Equal texts get equal
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import map_rows
 
-PER_LANGUAGE, LANGUAGES = 300, 64
+PER_LANGUAGE, TOTAL, LEAST = 300, 19_200, 4
 WIDTH = 4096
 #: Difference of mean weighted loss below which two languages are too near to tell.
 MARGIN = 0.05
@@ -57,9 +58,11 @@ def codewords(n: int) -> np.ndarray:
         code = random.choice([-1, 1], size=(n, 15 * int(np.ceil(np.log2(n))))).astype(np.float32)
         code = np.unique(code * code[0], axis=1)
         code = code[:, (code != code[0]).any(axis=0)]
-        apart = (code[:, None, :] != code[None, :, :]).sum(axis=2) + np.eye(n, dtype=int) * code.shape[1]
-        if apart.min() > distance:
-            best, distance = code, apart.min()
+        same = code @ code.T
+        np.fill_diagonal(same, -code.shape[1])
+        apart = (code.shape[1] - same.max()) / 2
+        if apart > distance:
+            best, distance = code, apart
     return best
 
 
@@ -87,7 +90,8 @@ class Model:
 def fit(languages: list[str], rows: list[tuple[str, np.ndarray]]) -> Model:
     """Logistic regression for every bit at once, by accelerated gradient descent on the whole sample."""
     code = codewords(len(languages)) if len(languages) > 1 else np.ones((len(languages), 0), np.float32)
-    of = np.array([languages.index(lang) for lang, _ in rows], dtype=np.int64)
+    number = {lang: i for i, lang in enumerate(languages)}
+    of = np.array([number[lang] for lang, _ in rows], dtype=np.int64)
     weights, bias = np.zeros((WIDTH, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     if not code.shape[1]:
         return Model(languages, code, weights, bias, code)
@@ -115,14 +119,15 @@ def held_out() -> Column:
 def train(docs: DataFrame) -> Model:
     """The model of the documents that may be learned from."""
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # At most LANGUAGES rows.
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    place = F.pmod(F.xxhash64("text", "doc_id"), F.lit(_STEPS))
+    # A row per language.
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("first")).collect()
     if not counts:
         return fit([], [])
-    cuts = [(r["lang"], min(_STEPS, PER_LANGUAGE * _STEPS // r["count"])) for r in counts]
+    each = max(LEAST, min(PER_LANGUAGE, TOTAL // len(counts)))
+    cuts = [(r["lang"], max(r["first"] + 1, min(_STEPS, each * _STEPS // r["count"]))) for r in counts]
     limits = docs.sparkSession.createDataFrame(cuts, "lang string, cut bigint")
-    name = F.xxhash64("text")
-    sample = known.select("lang", "text", name.alias("name"), F.pmod(F.xxhash64("text", "doc_id"), F.lit(_STEPS)).alias("place"))
+    sample = known.select("lang", "text", F.xxhash64("text").alias("name"), place.alias("place"))
     sample = sample.join(F.broadcast(limits), "lang").filter("place < cut").dropDuplicates(["lang", "name"])
 
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
@@ -131,7 +136,7 @@ def train(docs: DataFrame) -> Model:
                 if any(map(str.isalpha, text)):
                     yield lang, name, features(text).tobytes()
 
-    # About PER_LANGUAGE vectors of 16 KB per language.
+    # Vectors of 16 KB: about TOTAL, or LEAST per language where that is more.
     vectors = map_rows(sample.select("lang", "name", "text"), make, "lang string, name bigint, vector binary").collect()
     rows = [(r["lang"], np.frombuffer(r["vector"], np.float32)) for r in sorted(vectors, key=lambda r: (r["lang"], r["name"]))]
     return fit(sorted({lang for lang, _ in rows}), rows)

@@ -1,5 +1,7 @@
 """Language identification, licence scan and URL filter."""
 
+import itertools
+import random
 import re
 import zlib
 from collections import Counter
@@ -41,6 +43,26 @@ def test_undetermined_and_single_language(spark, messy):
     assert {r["lang_pred"] for r in language_id.identify(none).collect()} == {"und"}
 
 
+def own_words(rng, language):
+    """A text of words over three pairs of letters of its own."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    pairs = [letters[(7 * language + k) % 20] + "aeiou"[language // 20 % 5] + letters[(language + 3 * k) % 20] for k in range(3)]
+    return " ".join("".join(rng.choices(pairs, k=2)) for _ in range(40))
+
+
+def learnable():
+    return (i for i in itertools.count() if zlib.crc32(str(i).encode()) % 3 != 1)
+
+
+def test_every_language_is_learned(spark):
+    rng, ids = random.Random(2), learnable()
+    rows = [(next(ids), own_words(rng, n), f"l{n:02}") for n in range(70) for _ in range(12 if n < 64 else 6)]
+    found = language_id.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2)).collect()
+    known = {i: lang for i, _, lang in rows}
+    assert {r["lang_pred"] for r in found} == set(known.values())
+    assert np.mean([known[r["doc_id"]] == r["lang_pred"] for r in found]) > 0.95
+
+
 def plain_scan(text):
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
