@@ -1,12 +1,12 @@
-"""Repeated passages, by a logarithmic family of sparse suffix arrays.
+"""Repeated passages, by a logarithmic family of window-minimum indexes of hashes, in place of suffix arrays.
 
-Every byte that lies in a ``SPAN``-byte string which also starts elsewhere is removed. Of all
-suffixes only those at anchors are indexed: the anchor of a window of SPAN bytes is the place of
+Every byte that lies in a ``SPAN``-byte string which also starts elsewhere is removed. No
+suffix order is kept; only anchors are indexed, by hash: the anchor of a window of SPAN bytes is the place of
 its least ``GRAM``-byte hash, the first if several are equal. Equal windows have equal anchors,
 so windows are compared only where their anchors' hashes are equal. A posting is an anchor with
 the run of windows it stands for, and a hash of all bytes they cover (its context).
 
-Index: documents come in batches. A batch gets its own array: the distinct hashes of its
+Index: documents come in batches. A batch gets its own level: the distinct hashes of its
 anchors in order, with their number. It is merge-scanned (joined on the hash) against every
 level that exists; hashes found in both, or more than once in the batch, are matches. Two levels
 of equal size are merged before the next batch comes, so n batches leave about log n levels.
