@@ -156,7 +156,8 @@ class VersionedStore:
 
         ``expected`` gives the versions in force that they were made from. If any of these tables
         has changed since, or another writer takes the same place in the manifest, nothing is
-        published and ConflictError raised: the batch has to be applied again.
+        published and ConflictError raised: the batch has to be applied again. This is a check before
+        the write: of two writers that pass it at the same moment, one may be lost.
         """
         seq = (self._log().agg(F.max("seq").alias("seq")).first().seq or 0) + 1
         if expected is not None:
