@@ -7,10 +7,10 @@ does on that language in training (loss-weighted decoding). If the second langua
 near, the text is flagged as ambiguous.
 
 Features are counts of hashed byte pairs and triples over the whole text, in lower case with
-anything but letters as space. Classifiers are fitted on the driver from a sample of about
-``PER_LANGUAGE`` texts of every language, chosen by hash; only their feature vectors travel. If
-that makes over ``TOTAL`` texts, all languages get fewer, at least about ``LEAST`` each and never
-none. All texts are judged.
+anything but letters as space. Classifiers are fitted on the driver from a sample of every
+language: ``PER_LANGUAGE`` distinct texts with a letter, or all if there are fewer, those of
+least hash, whatever their copies; only their feature vectors travel. If that makes over
+``TOTAL`` texts, all languages get fewer, but ``LEAST`` each. All texts are judged.
 
 A null text or one without a letter is ``und``. Null languages are not learned. Without any
 learned language all texts are ``und``, and with one that one is given. Equal texts get equal
@@ -19,6 +19,7 @@ results. An empty table gives an empty result. Texts of any length are taken who
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import map_rows
+from siltworks.llm.common import map_rows, stored
 
 PER_LANGUAGE, TOTAL, LEAST = 300, 19_200, 4
 WIDTH = 4096
@@ -38,6 +39,10 @@ _ROUNDS, _DECAY, _STEPS = 150, 1e-4, 1 << 30
 _LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def features(text: str) -> np.ndarray:
     """Square roots of n-gram counts, as a vector of length one."""
     data = np.frombuffer(b" " + text.lower().encode().translate(_LETTERS) + b" ", np.uint8).astype(np.uint32)
@@ -76,7 +81,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous)."""
-        if not text or not self.languages or not any(map(str.isalpha, text)):
+        if not text or not self.languages or not has_letter(text):
             return "und", 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
@@ -119,24 +124,38 @@ def held_out() -> Column:
 def train(docs: DataFrame) -> Model:
     """The model of the documents that may be learned from."""
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    place = F.pmod(F.xxhash64("text", "doc_id"), F.lit(_STEPS))
+    known = known.select("lang", F.xxhash64("text").alias("name"), "text")
+
+    def usable(batches: Iterator[dict]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from ((lang, name) for lang, name, text in zip(batch["lang"], batch["name"], batch["text"]) if has_letter(text))
+
+    names = stored(map_rows(known, usable, "lang string, name bigint").distinct(), "language-texts")
+    place = F.pmod("name", F.lit(_STEPS))
     # A row per language.
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("first")).collect()
+    counts = names.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("first")).collect()
     if not counts:
         return fit([], [])
     each = max(LEAST, min(PER_LANGUAGE, TOTAL // len(counts)))
-    cuts = [(r["lang"], max(r["first"] + 1, min(_STEPS, each * _STEPS // r["count"]))) for r in counts]
+    # So many more that fewer than ``each`` are next to impossible.
+    wide = each + 6 * math.isqrt(each) + 20
+    cuts = [(r["lang"], max(r["first"] + 1, min(_STEPS, wide * _STEPS // r["count"]))) for r in counts]
     limits = docs.sparkSession.createDataFrame(cuts, "lang string, cut bigint")
-    sample = known.select("lang", "text", F.xxhash64("text").alias("name"), place.alias("place"))
-    sample = sample.join(F.broadcast(limits), "lang").filter("place < cut").dropDuplicates(["lang", "name"])
+    near: dict[str, list[tuple[int, int]]] = {}
+    for r in names.join(F.broadcast(limits), "lang").filter(place < F.col("cut")).select("lang", "name").collect():
+        near.setdefault(r["lang"], []).append((r["name"] % _STEPS, r["name"]))
+    chosen = [(lang, name) for lang, listed in near.items() for _, name in sorted(listed)[:each]]
+    # About TOTAL rows, or LEAST per language where that is more.
+    wanted = docs.sparkSession.createDataFrame(chosen, "lang string, name bigint")
+    sample = known.join(F.broadcast(wanted), ["lang", "name"], "left_semi").dropDuplicates(["lang", "name"])
 
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
         for batch in batches:
             for lang, name, text in zip(batch["lang"], batch["name"], batch["text"]):
-                if any(map(str.isalpha, text)):
+                if has_letter(text):
                     yield lang, name, features(text).tobytes()
 
-    # Vectors of 16 KB: about TOTAL, or LEAST per language where that is more.
+    # As many vectors of 16 KB.
     vectors = map_rows(sample.select("lang", "name", "text"), make, "lang string, name bigint, vector binary").collect()
     rows = [(r["lang"], np.frombuffer(r["vector"], np.float32)) for r in sorted(vectors, key=lambda r: (r["lang"], r["name"]))]
     return fit(sorted({lang for lang, _ in rows}), rows)

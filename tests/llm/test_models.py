@@ -63,6 +63,18 @@ def test_every_language_is_learned(spark):
     assert np.mean([known[r["doc_id"]] == r["lang_pred"] for r in found]) > 0.95
 
 
+def test_copies_and_texts_without_letters_take_no_place(spark, monkeypatch):
+    """The fit sees the same number of distinct texts beside thousands of copies or of texts without a letter."""
+    seen = Counter()
+    fit = language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda languages, rows: seen.update(lang for lang, _ in rows) or fit(languages, rows))
+    rng, ids = random.Random(4), learnable()
+    rows = [(next(ids), own_words(rng, n), lang) for n, lang in enumerate(("copied", "letterless", "plain")) for _ in range(320)]
+    rows += [(next(ids), rows[0][1], "copied") for _ in range(20_000)] + [(next(ids), f"{i} 42", "letterless") for i in range(20_000)]
+    language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2))
+    assert seen == {"copied": 300, "letterless": 300, "plain": 300}
+
+
 def plain_scan(text):
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
