@@ -1,6 +1,8 @@
 """Licence notices in documents: phrases, and an exact set-similarity join with templates.
 
-A text block is a run of ``BLOCK`` words that starts at a multiple of ``STEP`` words. A block
+A text block is a run of ``BLOCK`` words that starts at a multiple of ``STEP`` words; where a
+template has over ``STEP`` words, of twice its words at multiples of them, so that every wording
+lies wholly in some block. A block
 matches a template if it holds at least ``THRESHOLD`` of the template's distinct words. All
 matching blocks are found, by the filters of a set-similarity join:
 
@@ -81,6 +83,8 @@ def matches(rows: DataFrame, templates: list[tuple[str, str]], threshold: float
     """(doc_id, row, template, label, block, score) of every block that meets the threshold, for rows (doc_id, row, words)."""
     spark = rows.sparkSession
     sets = [(label, set(text.split())) for label, text in templates]
+    step = max([STEP, *[len(text.split()) for _, text in templates]])
+    size = BLOCK if step == STEP else 2 * step
     order = frequency_order(rows, sorted(set().union(*[s for _, s in sets])))
     rank = {w: i for i, w in enumerate(order)}
     index = []
@@ -92,9 +96,9 @@ def matches(rows: DataFrame, templates: list[tuple[str, str]], threshold: float
     known = F.array(*[F.lit(w) for w in order])
 
     hits = rows.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word")).filter(F.col("word").isin(sorted({i[-1] for i in index})))
-    block = F.floor(F.col("at") / STEP).cast("int")
-    opened = hits.withColumn("block", F.explode(F.array(*[block - k for k in range(BLOCK // STEP)]))).filter("block >= 0")
-    sized = opened.withColumn("tokens", F.array_distinct(F.slice("words", F.col("block") * STEP + 1, BLOCK))).drop("words")
+    block = F.floor(F.col("at") / step).cast("int")
+    opened = hits.withColumn("block", F.explode(F.array(*[block - k for k in range(size // step)]))).filter("block >= 0")
+    sized = opened.withColumn("tokens", F.array_distinct(F.slice("words", F.col("block") * step + 1, size))).drop("words")
     # As many rows as the templates' prefixes have words.
     pairs = sized.join(F.broadcast(prefixes), "word").filter(F.size("tokens") >= F.col("need"))
     shared = pairs.withColumn("first", F.get(F.array_intersect("listed", "tokens"), F.lit(0))).filter(F.col("first") == F.col("word"))

@@ -109,6 +109,15 @@ def test_wrapped_and_mixed_notices(spark):
     assert found[0][5] == "mit" and found[3][5] == "proprietary"
 
 
+def test_long_templates_match_wherever_they_lie(spark):
+    """Longer than a step, across blocks, and of more distinct words than a fixed block holds."""
+    templates = [("short", "all rights reserved")] + [(f"t{n}", " ".join(f"w{n}x{i}" for i in range(n))) for n in (40, 90)]
+    lines = ["filler " * lead + wording for lead in (0, 20, 45, 77) for _, wording in templates]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs, templates).collect()}
+    assert found == {i: (templates[i % 3][0], 1.0) for i in range(len(lines))}
+
+
 def test_url_parts_and_rules(spark):
     rows = op6_url_filter(spark, SMALL).collect()
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
