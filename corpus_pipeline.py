@@ -33,13 +33,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages. What is left of a character goes as well, and texts
-    of which no word is left. A null text comes out empty."""
-    found = suffix_dedup.remove_repeats(docs)
+    """Documents without their repeated passages. What a cut leaves of a character goes as well, and
+    texts of which no word is left. A null text comes out empty."""
+    found = suffix_dedup.remove_repeats(docs, with_left=True)
     cut = F.col("n_spans") > 0
-    left = F.col("kept").cast("string")
-    text = F.when(F.is_valid_utf8(left), left).otherwise(F.regexp_replace(F.make_valid_utf8(left), "�", ""))
-    found = found.withColumn("text", text).filter(~cut | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    found = found.withColumn("text", F.col("left")).filter(~cut | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("text"), "n_chars": F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("own.n_chars"))}
     return found.select(*[changed[c].alias(c) if c in changed else F.col("own").getField(c).alias(c) for c in docs.columns])
 

@@ -302,8 +302,8 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
     return seed, copies, whole.unionByName(compared).unionByName(grouped)
 
 
-def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, bytes]:
-    """Number of maximal runs covered by the spans, and the bytes outside them."""
+def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, list[bytes]]:
+    """Number of maximal runs covered by the spans, and the pieces outside them."""
     runs, at, kept = 0, 0, []
     end = None
     for start, stop in sorted(spans):
@@ -312,11 +312,14 @@ def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, bytes]:
             kept.append(data[at:start])
         at = end = max(stop, end or 0)
     kept.append(data[at:])
-    return runs, b"".join(kept)
+    return runs, kept
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> DataFrame:
-    """(own, n_bytes, n_spans, kept): each row of ``docs`` as a struct, and its remaining bytes."""
+def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT, with_left: bool = False) -> DataFrame:
+    """(own, n_bytes, n_spans, kept): each row of ``docs`` as a struct, and its remaining bytes.
+
+    ``with_left`` adds ``left``: the same as text, without the parts of characters at the ends of each piece.
+    """
     seed, copies, spans = repeated_spans(docs, batches, hot)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("own"), F.xxhash64(F.lit(seed), text).alias("digest"), text.alias("text"))
@@ -327,7 +330,8 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> D
     bitmap = bitmap_of(changes.select(F.col("t").alias("digest")))
     data = F.encode("text", "utf-8")
     same = maybe_in(rows, bitmap, wanted=False).select(
-        "own", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_spans"), data.alias("kept")
+        "own", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_spans"), data.alias("kept"),
+        *([F.col("text").alias("left")] if with_left else []),
     )
     near = maybe_in(rows, bitmap).withColumnRenamed("digest", "t").join(changes, "t", "left")
     near = near.select("own", data.alias("data"), F.to_json("spans").alias("spans"))
@@ -335,14 +339,19 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            sizes, runs, kept = [], [], []
+            sizes, runs, kept, left = [], [], [], []
             for text, found in zip(batch["data"].to_pylist(), batch["spans"].to_pylist()):
-                n, left = _cut(text, [(s["start"], s["stop"]) for s in json.loads(found or "[]")])
+                n, pieces = _cut(text, [(s["start"], s["stop"]) for s in json.loads(found or "[]")])
                 sizes.append(len(text))
                 runs.append(n)
-                kept.append(left)
+                kept.append(b"".join(pieces))
+                if with_left:
+                    left.append("".join(p.decode(errors="ignore") for p in pieces))
             columns = [batch["own"], pa.array(sizes, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["own", "n_bytes", "n_spans", "kept"])
+            names = ["own", "n_bytes", "n_spans", "kept"]
+            if with_left:
+                columns, names = [*columns, pa.array(left, pa.string())], [*names, "left"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return same.unionByName(near.mapInArrow(run, same.schema))
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from siltworks.llm.common import stored
 
 from test_dedup import covered, plain_counts
@@ -79,3 +80,14 @@ def test_near_stage_alone_keeps_one_row_of_repeats(spark):
     text = long_text(9)
     docs = spark.createDataFrame([(7, text), (7, text), (8, text + " end"), (None, text)], "doc_id bigint, text string")
     assert [tuple(r) for r in corpus_pipeline.near(spark, docs, "").collect()] == [(7, text)]
+
+
+def test_cuts_inside_characters_leave_genuine_replacement_characters(spark):
+    """A passage that begins and ends inside characters: their parts go and make no new one; U+FFFD elsewhere stays."""
+    shared = "\u0082" + "passage " * 40 + "\u3042"
+    first = "one \ufffd two \u3042" + shared[1:] + " end"
+    second = "three \u3142" + shared[1:-1] + "\u3043 more \ufffd"
+    docs = spark.createDataFrame([(1, first), (2, second)], "doc_id bigint, text string").withColumn("n_chars", F.length("text").cast("bigint"))
+    found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.passages(spark, docs, "").collect()}
+    assert found[1][0] == "one \ufffd two  end" and found[2][0] == "three  more \ufffd"
+    assert all(n == len(text) for text, n in found.values())
