@@ -7,12 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from siltworks.session import local_session  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", 8, {"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
-
-
-def as_tuples(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda t: tuple((v is None, str(v)) for v in t))

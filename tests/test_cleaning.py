@@ -4,7 +4,7 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import as_tuples
+from sorted_rows import as_tuples
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

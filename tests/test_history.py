@@ -2,7 +2,7 @@
 
 from datetime import datetime, timezone
 
-from conftest import as_tuples
+from sorted_rows import as_tuples
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

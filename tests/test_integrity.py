@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import as_tuples
+from sorted_rows import as_tuples
 from pyspark.sql import functions as F
 
 from siltworks.functions import normalised_name

@@ -3,7 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
-from conftest import as_tuples
+from sorted_rows import as_tuples
 from pyspark.sql import functions as F
 
 from siltworks.operators import model

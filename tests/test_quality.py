@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import as_tuples
+from sorted_rows import as_tuples
 from pyspark.sql import functions as F
 
 from siltworks.operators import profiling, quality

@@ -10,7 +10,7 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from conftest import as_tuples
+from sorted_rows import as_tuples
 
 from siltworks.operators.quality import validity_rule
 from siltworks.plans.exploration import exploratory_profile
