@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import bpe, exact_dedup, language_id, license_scan, packing, quality_rules, simhash, suffix_dedup, token_blocks, url_filter
+from siltworks.llm import (
+    bpe,
+    centroids,
+    decontamination,
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_blocks,
+    url_filter,
+    vector_codes,
+)
 from siltworks.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +66,18 @@ def op10_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.query(documents(spark, folder), WORD_BPE, end_id=2)
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.query(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.query(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.query(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,7 +91,18 @@ QUERIES = {
         op8_exact_dedup,
         op9_packing,
         op10_token_blocks,
+        op11_centroids,
+        op12_vector_codes,
+        op13_decontamination,
     )
 }
 
-SQL = {"op2_license_scan": license_scan.SQL, "op4_quality_rules": quality_rules.SQL, "op7_suffix_dedup": suffix_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL}
+SQL = {
+    "op2_license_scan": license_scan.SQL,
+    "op4_quality_rules": quality_rules.SQL,
+    "op7_suffix_dedup": suffix_dedup.SQL,
+    "op8_exact_dedup": exact_dedup.SQL,
+    "op11_centroids": centroids.SQL,
+    "op12_vector_codes": vector_codes.SQL,
+    "op13_decontamination": decontamination.SQL,
+}
