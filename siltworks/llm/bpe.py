@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+import uuid
 from array import array
 from collections.abc import Iterator
 
@@ -101,25 +102,27 @@ class WordBpe:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
-def loaded(path: str) -> tuple[WordBpe, ChunkEncoder]:
-    """The coder of a file, and its memory of chunks; one per worker process."""
-    if (path, "own") not in _LOADED:
+def loaded(path: str, run: str) -> tuple[WordBpe, ChunkEncoder]:
+    """The coder of a file, and its memory of chunks; one per worker process and run."""
+    if (run, path) not in _LOADED:
         coder = WordBpe(path)
-        _LOADED[path, "own"] = coder, ChunkEncoder(lambda word: array("I", coder.encode_text(word.decode())).tobytes(), keep_space=False)
-    return _LOADED[path, "own"]
+        _LOADED[run, path] = coder, ChunkEncoder(lambda word: array("I", coder.encode_text(word.decode())).tobytes(), keep_space=False)
+    return _LOADED[run, path]
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids, decoded): ids as little-endian unsigned 32-bit integers, and the text they decode to."""
 
+    run = uuid.uuid4().hex
+
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
-        coder, chunks = loaded(tokenizer)
+        coder, chunks = loaded(tokenizer, run)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = chunks.encode(text)
                 yield doc_id, ids, coder.decode(array("I", ids).tolist())
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id bigint, ids binary, decoded string", encodes=True)
+    return map_rows(docs.select("doc_id", "text"), make, "doc_id bigint, ids binary, decoded string", run)
 
 
 def query(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -4,8 +4,11 @@ Both public vocabularies split a text before they merge, and no piece goes on ov
 of a run of white space. A text is therefore the concatenation of its chunks, each a run of
 white space and the non-space after it, and equal chunks have equal ids. Full stops and commas
 after a Latin letter are pieces of their own, so a chunk that is not known yet is cut there once
-more. The memory has two generations of bounded size: what was used lately is carried over,
-the rest goes.
+more. The memory has two generations bounded in bytes: what was used lately is carried over, the
+rest goes; chunks of over ``LONG`` bytes are encoded each time and never kept. It lives as long as
+one run of a query: workers that go on to another start anew.
+
+Long texts are encoded in pieces of about ``PIECE`` bytes, cut where a single space follows an ASCII letter or digit.
 """
 
 from __future__ import annotations
@@ -14,14 +17,22 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-#: Entries of a generation. An entry takes about 100 bytes besides what chunks share with words; a worker holds two
-#: generations of each.
-ROOM = 600_000
+#: Bytes of a generation, counted as keys, ids and ``ENTRY``; a worker holds two generations of chunks and two of words.
+ROOM = 64_000_000
+#: Bytes that an entry takes besides its key and ids: two objects and a place in the table.
+ENTRY = 170
+#: Bytes of the longest chunk that is kept.
+LONG = 64
+PIECE = 1_000_000
 
 # White space outside ASCII, as UTF-8. It may stand in one piece with ASCII white space.
-_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+# White space in some versions of Unicode and not in others: texts with it are not cut.
+_DOUBTFUL = "\u180e".encode()
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WIDE_CHUNK = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 # Without these, every space and line end starts a run of its own, and a zero byte can mark it.
 _NOT_SINGLE = (b"\0", b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b" \n", b"\n ", b"\n\n")
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+")
@@ -34,25 +45,42 @@ def _ends_in_letter(word: str) -> bool:
 
 
 class Memory(dict):
-    """Key -> ids, made at first use. Two generations of ``room`` entries: what is used goes on."""
+    """Key -> ids, made at first use. Two generations of ``room`` bytes: what is used goes on."""
 
     def __init__(self, make: Callable[[bytes], bytes], room: int):
         super().__init__()
         self.make = make
         self.room = room
+        self.size = 0
         self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, key: bytes) -> bytes:
+        if len(key) > LONG:
+            return self.make(key)
         ids = self.old.get(key)
         if ids is None:
             ids = self.make(key)
+        if self.size > self.room:
+            self.old = dict(self)
+            self.clear()
+            self.size = 0
         self[key] = ids
+        self.size += len(key) + len(ids) + ENTRY
         return ids
 
-    def trim(self) -> None:
-        if len(self) > self.room:
-            self.old = dict(self)
-            self.clear()
+
+# A run of white space that is one space, and begins where a run does.
+_SAFE_CUT = re.compile(rb"(?<=[0-9A-Za-z]) ")
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """A long text in pieces that begin at a run of white space; one piece if that is nowhere certain."""
+    at = 0
+    while at < len(data):
+        found = _SAFE_CUT.search(data, at + PIECE) if len(data) - at > PIECE and _DOUBTFUL not in data else None
+        end = found.start() if found else len(data)
+        yield data[at:end]
+        at = end
 
 
 class ChunkEncoder:
@@ -68,8 +96,8 @@ class ChunkEncoder:
         self.chunks = Memory(self._from_words, room)
 
     def _from_words(self, chunk: bytes) -> bytes:
-        if chunk[:1] == b"\n" and len(chunk) > 1 and not chunk[1:2].isspace():  # a line end before a word is a piece
-            return self.words[b"\n"] + self.chunks[chunk[1:]]
+        if chunk[:1] == b"\n" and len(chunk) > 1 and not chunk[1:2].isspace() and not _WIDE_SPACE.match(chunk, 1) and _DOUBTFUL not in chunk:
+            return self.words[b"\n"] + self.chunks[chunk[1:]]  # a line end right before a word is a piece
         word = chunk.rstrip(b".,")
         if len(word) < len(chunk) and _ends_in_letter(word.decode()):
             return self.words[word] + self.words[chunk[len(word) :]]
@@ -78,8 +106,11 @@ class ChunkEncoder:
     def _cut(self, data: bytes) -> list[bytes]:
         if not self.keep_space:
             return data.split()
-        if not data.isascii() and _WIDE_SPACE.search(data):
-            return [data]
+        if not data.isascii():
+            if _DOUBTFUL in data:
+                return [data]
+            if _WIDE_SPACE.search(data):
+                return [c.encode() for c in _WIDE_CHUNK.findall(data.decode())]
         if not any(mark in data for mark in _NOT_SINGLE):
             chunks = data.replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")
             return chunks if chunks[0] else chunks[1:]
@@ -88,10 +119,10 @@ class ChunkEncoder:
         return chunks + [data[end:]] if end < len(data) else chunks
 
     def encode(self, text: str | None) -> bytes:
-        ids = b"".join(map(self.chunks.__getitem__, self._cut((text or "").encode())))
-        self.chunks.trim()
-        self.words.trim()
-        return ids
+        data = (text or "").encode()
+        if len(data) <= PIECE:
+            return b"".join(map(self.chunks.__getitem__, self._cut(data)))
+        return b"".join(b"".join(map(self.chunks.__getitem__, self._cut(piece))) for piece in _pieces(data))
 
 
 def byte_symbols() -> list[str]:
@@ -107,18 +138,19 @@ _PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _LOADED: dict[tuple, object] = {}
 
 
-def forget() -> None:
-    """Gives the memory back when a worker goes on to other work."""
-    _LOADED.clear()
+def forget(run: str | None = None) -> None:
+    """Gives the memory back when a worker goes on to other work than the named run."""
+    for key in [k for k in _LOADED if k[0] != run]:
+        del _LOADED[key]
 
 
-def library_encoder(path: str, keep_space: bool, room: int = ROOM) -> ChunkEncoder:
-    """An encoder over a tokenizer file, one per worker process and size of its memory.
+def library_encoder(path: str, keep_space: bool, room: int = ROOM, run: str | None = None) -> ChunkEncoder:
+    """An encoder over a tokenizer file, one per worker process and run.
 
     A word of plain letters goes straight to the library's model, as its one piece; anything
     else takes the library's whole way.
     """
-    if (path, keep_space, room) not in _LOADED:
+    if (run, path, keep_space, room) not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -140,5 +172,5 @@ def library_encoder(path: str, keep_space: bool, room: int = ROOM) -> ChunkEncod
                 return array("I", [t.id for t in model.tokenize(piece.decode("latin-1").translate(symbols))]).tobytes()
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-        _LOADED[path, keep_space, room] = ChunkEncoder(encode_one, keep_space, room)
-    return _LOADED[path, keep_space, room]
+        _LOADED[run, path, keep_space, room] = ChunkEncoder(encode_one, keep_space, room)
+    return _LOADED[run, path, keep_space, room]

@@ -57,10 +57,9 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
-def release(encodes: bool = False) -> None:
-    """Gives back what earlier tasks of this worker have left; ``encodes`` keeps its encoders."""
-    if not encodes:
-        chunk_encoder.forget()
+def release(run: str | None = None) -> None:
+    """Gives back what earlier tasks of this worker have left, but for the encoders of the named run."""
+    chunk_encoder.forget(run)
     gc.collect()
     pa.default_memory_pool().release_unused()
 
@@ -73,11 +72,11 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def map_rows(
-    df: DataFrame, make: Callable[[Iterator[dict[str, list]]], Iterator[tuple]], schema: str, encodes: bool = False
+    df: DataFrame, make: Callable[[Iterator[dict[str, list]]], Iterator[tuple]], schema: str, run_id: str | None = None
 ) -> DataFrame:
     """Runs ``make`` once per partition: batches come as columns of Python values, results go as tuples.
 
-    ``encodes`` keeps the encoders that earlier tasks left in the worker; other work drops them.
+    ``run_id`` names the run whose encoders earlier tasks may have left in the worker; all others are dropped.
     """
     ship(df.sparkSession)
     fields = df.sparkSession.createDataFrame([], schema).schema.fields
@@ -85,7 +84,7 @@ def map_rows(
     target = pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release(encodes)
+        release(run_id)
         columns = ({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for whole in batches for b in slices(whole))
         held, size = [], 0
         for row in make(columns):

@@ -15,6 +15,7 @@ empty table gives no piece. A very long document closes its block and only enlar
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,11 +74,13 @@ def place(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int,
 def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = ROOM) -> DataFrame:
     """One row per piece, with its ids; ``sequence_id`` and ``offset`` say where it lies.
 
-    ``room`` bounds the encoder's memory: less of it costs time and changes no result.
+    ``room`` bounds the encoder's memory in bytes: less of it costs time and changes no result.
     """
 
+    run = uuid.uuid4().hex
+
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
-        encoder = library_encoder(tokenizer, keep_space=True, room=room)
+        encoder = library_encoder(tokenizer, keep_space=True, room=room, run=run)
         end = end_id.to_bytes(4, "little")
         task, done = TaskContext.get().partitionId() << 40, 0
         held, size = [], 0
@@ -99,7 +102,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = ROOM) -> Data
         if held:
             yield from block()
 
-    return map_rows(docs.select("doc_id", "text"), make, PIECES, encodes=True)
+    return map_rows(docs.select("doc_id", "text"), make, PIECES, run)
 
 
 def query(docs: DataFrame, tokenizer: str, end_id: int, room: int = ROOM) -> DataFrame:

@@ -21,6 +21,7 @@ rows are written as often as they come; an empty table gives an empty result.
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,10 +136,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
         .repartitionByRange(int(parts), F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     )
-    end = np.uint32(end_id).tobytes()
+    end, run = np.uint32(end_id).tobytes(), uuid.uuid4().hex
 
     def make(batches: Iterator[dict]) -> Iterator[tuple]:
-        encoder = library_encoder(tokenizer, keep_space=False)
+        encoder = library_encoder(tokenizer, keep_space=False, run=run)
         held, size, number, before = [], 0, 0, 0
 
         def row() -> tuple:
@@ -156,7 +157,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
         if held:
             yield row()
 
-    files = map_rows(ordered, make, "file int, before bigint, n_docs bigint, n_ids bigint, doc_ids binary, data binary", encodes=True)
+    files = map_rows(ordered, make, "file int, before bigint, n_docs bigint, n_ids bigint, doc_ids binary, data binary", run)
     return stored(files.withColumn("part", F.spark_partition_id()), name)
 
 
@@ -175,10 +176,7 @@ def read(files: DataFrame) -> DataFrame:
                 for doc_id, there, first, doc in zip(ids.tolist(), known.tolist(), file.firsts.tolist(), file.documents()):
                     yield doc_id if there else None, base + first, len(doc) // 4, doc
 
-    # Encoders stay in the workers, for the next files to be written.
-    return map_rows(
-        placed.select("base", "n_docs", "doc_ids", "data"), make, "doc_id bigint, start bigint, n_tokens bigint, ids binary", encodes=True
-    )
+    return map_rows(placed.select("base", "n_docs", "doc_ids", "data"), make, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def query(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:

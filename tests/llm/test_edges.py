@@ -12,7 +12,7 @@ def test_empty_tables(spark, empty, name):
     assert QUERIES[name](spark, empty).count() == 0
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op6_url_filter", "op9_packing")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op6_url_filter", "op9_packing", "op11_centroids", "op12_vector_codes")])
 def test_one_row_per_document(spark, messy, texts, name):
     rows = QUERIES[name](spark, messy).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(i for i, _ in texts)

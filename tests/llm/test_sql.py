@@ -8,7 +8,8 @@ from siltworks.llm.queries import QUERIES, SQL
 
 def compare(spark, folder, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet(['{folder}/documents.parquet'])" if not folder.startswith("/tmp") else f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    for table in ("documents", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
     wanted = con.execute(SQL[name])
     columns = [c[0] for c in wanted.description]
     found = QUERIES[name](spark, folder)

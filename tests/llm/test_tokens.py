@@ -1,6 +1,7 @@
 """BPE, token files and packing against the public library."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from siltworks.llm import bpe, packing, token_blocks
+from siltworks.llm import bpe, chunk_encoder, packing, token_blocks
 from siltworks.llm.chunk_encoder import ChunkEncoder, library_encoder
 from siltworks.llm.queries import BYTE_BPE, WORD_BPE, op5_bpe, op9_packing, op10_token_blocks
 
@@ -42,11 +43,52 @@ def test_chunks_equal_whole_texts(strings, path, keep_space):
         assert ids_of(encoder.encode(s)) == library.encode(s, add_special_tokens=False).ids
 
 
+SPACES = [" ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u3000"]
+
+
+@pytest.mark.parametrize("path, keep_space", [(WORD_BPE, False), (BYTE_BPE, True)])
+def test_all_pairs_and_triples_of_white_space(path, keep_space):
+    """At the start, in the middle and at the end of a text, before and after letters, stops and digits."""
+    library, encoder = Tokenizer.from_file(path), library_encoder(path, keep_space)
+    for n in (1, 2, 3):
+        for spaces in itertools.product(SPACES, repeat=n):
+            run = "".join(spaces)
+            for text in (run, f"{run}x", f"x{run}", f"ab.{run}x {run}9,", f"\n{run}x{run}\n{run}"):
+                assert ids_of(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_long_texts_go_in_pieces(monkeypatch, strings):
+    """With pieces of a few bytes every safe cut is taken; ids stay those of the whole text."""
+    monkeypatch.setattr(chunk_encoder, "PIECE", 5)
+    for path, keep_space in ((WORD_BPE, False), (BYTE_BPE, True)):
+        library, encoder = Tokenizer.from_file(path), chunk_encoder.library_encoder(path, keep_space, run="pieces")
+        for s in [*strings[:1500], "a  b \n c d\xa0 e f " * 50, "日本語" * 100, "x" * 50]:
+            assert ids_of(encoder.encode(s)) == library.encode(s, add_special_tokens=False).ids
+    chunk_encoder.forget()
+
+
 def test_memory_is_bounded_and_forgets_safely():
-    encoder = ChunkEncoder(lambda word: word, keep_space=False, room=3)
+    encoder = ChunkEncoder(lambda word: word, keep_space=False, room=3 * chunk_encoder.ENTRY)
     for i in range(50):
         assert encoder.encode(f"a{i} b c a{i}, d{i % 4}") == f"a{i}bca{i},d{i % 4}".encode()
-        assert len(encoder.chunks) <= 3 and len(encoder.chunks.old) <= 12
+        assert len(encoder.chunks) <= 4 and len(encoder.chunks.old) <= 4
+
+
+def test_long_chunks_are_not_kept():
+    encoder = ChunkEncoder(lambda word: word, keep_space=True)
+    for i in range(200):
+        encoder.encode(f"{'日本語' * 300}{i}\xa0{'é' * 500}")
+    kept = [encoder.chunks, encoder.words]
+    assert sum(len(k) + len(v) for m in kept for k, v in m.items()) < 100_000
+
+
+def test_a_worker_starts_anew_with_every_run():
+    first = chunk_encoder.library_encoder(WORD_BPE, False, run="a")
+    first.encode("some words")
+    chunk_encoder.forget("a")
+    assert chunk_encoder.library_encoder(WORD_BPE, False, run="a") is first
+    chunk_encoder.forget("b")
+    assert not chunk_encoder._LOADED
 
 
 def test_bpe_query(spark, messy, texts):
