@@ -7,9 +7,11 @@ by key before any join; Spark combines those counts on the map side.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltworks.functions import NOT_PRINTABLE_ASCII, all_of, any_of, is_blank, normalised_name
 
@@ -119,33 +121,90 @@ def fk_orphan_count(
     )
 
 
+@dataclass(frozen=True, eq=False)
+class Link:
+    """A column of a child that must find its value in a column of a parent."""
+
+    child: DataFrame
+    column: str
+    parent: DataFrame
+    key: str
+    normalise: Callable | None = None
+
+    @property
+    def kind(self) -> T.DataType:
+        """The type in which both sides are compared, as Spark would choose it."""
+        types = [self.child.schema[self.column].dataType, self.parent.schema[self.key].dataType]
+        if types[0] == types[1]:
+            return types[0]
+        both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("both")
+        return self.child.sparkSession.range(0).select(both).schema["both"].dataType
+
+    def child_value(self) -> Column:
+        compared = F.when(F.col(self.column) != "", self.normalise(self.column)) if self.normalise else F.col(self.column)
+        return compared.cast(self.kind).cast("string")
+
+    def parent_value(self) -> Column:
+        compared = self.normalise(self.key) if self.normalise else F.col(self.key)
+        return compared.cast(self.kind).cast("string")
+
+
+def orphan_counts(links: list[Link]) -> DataFrame:
+    """A row per link, numbered as listed: child rows, and those whose value no parent has.
+
+    A child is read once, however many links it has: its values are stacked as (link, value) and counted, on
+    the map side first, so a hot value costs no more than any other. The counts of all children meet the
+    values of all parents, stacked alike, in one join. A parent column that serves several links is read once.
+    """
+    children: dict[int, list[int]] = {}
+    parents: dict[tuple, int] = {}
+    wanted, of = [], []
+    for number, link in enumerate(links):
+        children.setdefault(id(link.child), []).append(number)
+        same = (id(link.parent), link.key, link.normalise, link.kind.simpleString())
+        if same not in parents:
+            parents[same] = len(parents)
+            wanted.append(link.parent.select(F.lit(parents[same]).alias("parent"), link.parent_value().alias("wanted")).distinct())
+        of.append(parents[same])
+    stacked = []
+    for numbers in children.values():
+        cells = [F.struct(F.lit(n).alias("link"), F.lit(of[n]).alias("of"), links[n].child_value().alias("value")) for n in numbers]
+        stacked.append(links[numbers[0]].child.select(F.inline(F.array(*cells))))
+    counts = union_all([rows.groupBy("link", "of", "value").agg(F.count(F.lit(1)).alias("_rows")) for rows in stacked])
+    found = union_all(wanted).withColumn("_found", F.lit(True))
+    met = counts.join(found, (F.col("of") == F.col("parent")) & (F.col("value") == F.col("wanted")), "left")
+    orphan = F.col("value").isNotNull() & F.col("_found").isNull()
+    sums = met.groupBy("link").agg(F.sum("_rows").alias("child_rows"), F.sum(F.when(orphan, F.col("_rows")).otherwise(0)).alias("orphan_rows"))
+    spark = links[0].child.sparkSession
+    # As many rows as links; one whose child is empty has no counts.
+    return spark.range(len(links)).select(F.col("id").cast("int").alias("number")).join(sums, F.col("number") == F.col("link"), "left").select(
+        "number", F.coalesce("child_rows", F.lit(0)).alias("child_rows"), F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows")
+    )
+
+
 def relationship_check(
     relations: list[tuple[str, str, str, str]],
     tables: dict[str, DataFrame],
-    parents: dict[str, DataFrame] | None = None,
+    parents: dict[str | tuple[str, str, str, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Check every catalogued relation: one row each with child rows and orphan rows.
 
     A relation is (parent, parent column, child, child column). ``parents`` may give other
-    frames for the parent side, such as a batch together with what is already in memory.
-    Country names are compared whatever their case and surrounding spaces.
+    frames for the parent side, such as a batch together with what is already in memory, by
+    table or for one relation. Every child is read once. Country names are compared whatever
+    their case and surrounding spaces.
     """
-    checked = []
-    for parent, parent_column, child, child_column in relations:
-        parent_df = (parents or tables)[parent]
-        normalise = normalised_name if parent_column == "country_name" else None
-        count = fk_orphan_count(tables[child], child_column, parent_df, parent_column, normalise)
-        checked.append(
-            count.select(
-                F.lit(parent).alias("parent_entity"),
-                F.lit(parent_column).alias("parent_column"),
-                F.lit(child).alias("child_entity"),
-                F.lit(child_column).alias("child_column"),
-                "child_rows",
-                "orphan_rows",
-            )
-        )
-    return union_all(checked)
+    given = parents or tables
+    links = [
+        Link(tables[r[2]], r[3], given[r] if r in given else given[r[0]], r[1], normalised_name if r[1] == "country_name" else None)
+        for r in relations
+    ]
+    spark = links[0].child.sparkSession
+    named = spark.createDataFrame(
+        [(n, *relation) for n, relation in enumerate(relations)],
+        "number int, parent_entity string, parent_column string, child_entity string, child_column string",
+    )
+    return named.join(orphan_counts(links), "number").drop("number")
 
 
 def unmatched_values_report(

@@ -50,7 +50,12 @@ def build_dim_product(
         "product_id",
         "product_key",
     )
-    linked = (
+    return stamp(link_products(numbered, dim_category, dim_supplier), load_ts)
+
+
+def link_products(numbered: DataFrame, dim_category: DataFrame, dim_supplier: DataFrame) -> DataFrame:
+    """Products that have their own key, with those of their category and supplier."""
+    return (
         numbered.join(dim_category.select("category_id", "category_key"), "category_id", "left")
         .join(dim_supplier.select("supplier_id", "supplier_key"), "supplier_id", "left")
         .select(
@@ -62,7 +67,6 @@ def build_dim_product(
             F.col("is_discontinued").alias("discontinued"),
         )
     )
-    return stamp(linked, load_ts)
 
 
 def sales_lines(order_details: DataFrame, orders: DataFrame) -> DataFrame:
@@ -85,7 +89,7 @@ def sales_lines(order_details: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-_FACT_COLUMNS = [
+FACT_COLUMNS = [
     "fact_key",
     "product_key",
     "customer_key",
@@ -134,7 +138,7 @@ def build_fact(
         .withColumn("fact_key", F.concat_ws("-", "order_id", "product_id"))
         .withColumn("total_amount", line_amount("unit_price", "quantity", "discount"))
     )
-    return stamp(fact.select(*_FACT_COLUMNS), load_ts)
+    return stamp(fact.select(*FACT_COLUMNS), load_ts)
 
 
 def dropped_lines(
@@ -205,31 +209,44 @@ def resolve_country(dim: DataFrame, dim_country: DataFrame, column: str = "count
     return dim.select(*kept).join(names, normalised_name(column) == F.col("_country"), "left").select(*kept, "country_key")
 
 
-def sales_by_employee(
-    fact: DataFrame, dim_employee: DataFrame, dim_time: DataFrame, distinct_orders: bool = False
-) -> DataFrame:
-    """Revenue, lines, mean line value and units per seller, year and quarter.
+def seller_sums(fact: DataFrame, dim_time: DataFrame, sign: int = 1) -> DataFrame:
+    """Sums of the fact per seller key, year and quarter, which can be added to those of other rows.
 
-    ``total_orders`` counts order lines, the published meaning. The fact is summed per seller key
-    and quarter before seller attributes are joined: a seller with a large share of the lines is
-    combined on the map side, and only sums meet the seller dimension.
-    ``distinct_orders`` adds the number of distinct orders under its own name.
+    ``sign`` -1 gives what has to be taken off when the rows go. The fact is summed before anything else
+    is joined: a seller with a large share of the lines is combined on the map side.
     """
-    revenue, lines = F.sum("total_amount"), F.count(F.lit(1))
-    measures = [
-        revenue.cast("decimal(18,2)").alias("total_revenue"),
-        lines.alias("total_orders"),
-        F.sum("quantity").cast("long").alias("total_units_sold"),
-    ]
-    if distinct_orders:
-        measures.append(F.count_distinct(F.substring_index("fact_key", "-", 1)).alias("distinct_orders"))
-    sums = (
-        fact.join(dim_time.select("date_key", "year", "quarter"), "date_key")
+    measures = fact.select("date_key", "employee_key", "quantity", "total_amount")
+    return (
+        measures.join(dim_time.select("date_key", "year", "quarter"), "date_key")
         .groupBy("employee_key", "year", "quarter")
-        .agg(*measures)
+        .agg(
+            (F.sum("total_amount") * F.lit(sign)).cast("decimal(28,2)").alias("revenue"),
+            (F.count(F.lit(1)) * F.lit(sign)).alias("lines"),
+            (F.sum("quantity").cast("long") * F.lit(sign)).alias("units"),
+        )
+    )
+
+
+def sales_from_sums(sums: DataFrame, dim_employee: DataFrame) -> DataFrame:
+    """Revenue, lines, mean line value and units per seller, year and quarter, from any number of partial sums.
+
+    Groups whose lines have all gone have no row.
+    """
+    totals = (
+        sums.groupBy("employee_key", "year", "quarter")
+        .agg(
+            F.sum("revenue").cast("decimal(18,2)").alias("total_revenue"),
+            F.sum("lines").alias("total_orders"),
+            F.sum("units").alias("total_units_sold"),
+        )
+        .filter("total_orders > 0")
     )
+    return _with_sellers(totals, dim_employee)
+
+
+def _with_sellers(totals: DataFrame, dim_employee: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     mean = (F.col("total_revenue") / F.col("total_orders").cast("decimal(20,0)")).cast("decimal(18,2)")
-    return sums.join(dim_employee.select("employee_key", "full_name", "country"), "employee_key").select(
+    return totals.join(dim_employee.select("employee_key", "full_name", "country"), "employee_key").select(
         "employee_key",
         "full_name",
         "country",
@@ -239,5 +256,29 @@ def sales_by_employee(
         "total_orders",
         mean.alias("average_order_value"),
         "total_units_sold",
-        *(["distinct_orders"] if distinct_orders else []),
+        *more,
+    )
+
+
+def sales_by_employee(
+    fact: DataFrame, dim_employee: DataFrame, dim_time: DataFrame, distinct_orders: bool = False
+) -> DataFrame:
+    """Revenue, lines, mean line value and units per seller, year and quarter.
+
+    ``total_orders`` counts order lines, the published meaning. The fact is summed per seller key
+    and quarter before seller attributes are joined, so only sums meet the seller dimension.
+    ``distinct_orders`` adds the number of distinct orders under its own name, which can't be had from partial sums.
+    """
+    if not distinct_orders:
+        return sales_from_sums(seller_sums(fact, dim_time), dim_employee)
+    totals = (
+        fact.join(dim_time.select("date_key", "year", "quarter"), "date_key")
+        .groupBy("employee_key", "year", "quarter")
+        .agg(
+            F.sum("total_amount").cast("decimal(18,2)").alias("total_revenue"),
+            F.count(F.lit(1)).alias("total_orders"),
+            F.sum("quantity").cast("long").alias("total_units_sold"),
+            F.count_distinct(F.substring_index("fact_key", "-", 1)).alias("distinct_orders"),
+        )
     )
+    return _with_sellers(totals, dim_employee, ("distinct_orders",))

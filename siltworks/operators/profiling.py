@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,71 +101,155 @@ def bottom_rows(
     return kept.orderBy(F.asc(value), tie_breaker).limit(k).select(*columns)
 
 
-def _detected_type(column: str, data_type: T.DataType):
+# Columns that one aggregate lays out; a grouping set is a bit of a long.
+COLUMNS_AT_ONCE = 60
+_TEXT_FORMATS = {"integer": SIGNED_INTEGER, "decimal": SIGNED_NUMBER, "timestamp": TIMESTAMP_TEXT}
+_PROFILE = ["row_count", "null_count", "distinct_count", "min_value", "max_value", "avg_length", "max_length", "detected_type"]
+
+
+def _detected_type(value: Column, data_type: T.DataType, mine: Column) -> Column:
     """The narrowest format all values of a text column have; the type's own name otherwise."""
     if not isinstance(data_type, T.StringType):
         return F.lit(data_type.simpleString())
-    value = F.col(column)
-    formats = {"integer": SIGNED_INTEGER, "decimal": SIGNED_NUMBER, "timestamp": TIMESTAMP_TEXT}
-    detected = F.when(F.count(value) == 0, F.lit(None).cast("string"))
-    for name, pattern in formats.items():
-        detected = detected.when(F.count_if(~value.rlike(pattern)) == 0, F.lit(name))
+    there = mine & value.isNotNull()
+    detected = F.when(F.count_if(there) == 0, F.lit(None).cast("string"))
+    for name, pattern in _TEXT_FORMATS.items():
+        detected = detected.when(F.count_if(there & ~value.rlike(pattern)) == 0, F.lit(name))
     return detected.otherwise(F.lit("text"))
 
 
+def _mean(total: Column, n: Column) -> Column:
+    """total / n to four places, rounded half up in whole numbers."""
+    doubled, above = (n * 2).cast("decimal(20,0)"), (total * 20000 + n).cast("decimal(38,0)")
+    whole = ((above - F.pmod(above, doubled)) / doubled).cast("decimal(20,0)")
+    return F.when(n > 0, (whole / 10000).cast("decimal(12,4)"))
+
+
+def _per_column(df: DataFrame) -> DataFrame:
+    """(column_name and the measures of _PROFILE), a row per column, from one scan.
+
+    Rows are counted by the values of each column alone, a grouping set per column, on the map
+    side first: what is shuffled are distinct values, and what the second aggregate reads are these with their counts.
+    """
+    columns = df.schema.fields
+    names = [f"_v{i}" for i in range(len(columns))]
+    plain = df.select(*[F.col(f"`{f.name}`").alias(n) for f, n in zip(columns, names)])
+    values = plain.groupingSets([[n] for n in names], *names).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    measures, per_column = [], []
+    for i, (f, name) in enumerate(zip(columns, names)):
+        value = F.col(name)
+        mine = F.col("_set") == ((1 << len(names)) - 1) ^ (1 << (len(names) - 1 - i))
+        there = mine & value.isNotNull()
+        length = F.length(value.cast("string"))
+        n = F.coalesce(F.sum(F.when(there, F.col("_n"))), F.lit(0))
+        stats = {
+            "row_count": F.coalesce(F.sum(F.when(mine, F.col("_n"))), F.lit(0)),
+            "null_count": F.coalesce(F.sum(F.when(mine & value.isNull(), F.col("_n"))), F.lit(0)),
+            "distinct_count": F.count_if(there),
+            "min_value": F.min(value).cast("string"),
+            "max_value": F.max(value).cast("string"),
+            "avg_length": _mean(F.sum(F.when(there, length.cast("bigint") * F.col("_n"))), n),
+            "max_length": F.max(F.when(there, length)),
+            "detected_type": _detected_type(value, f.dataType, mine),
+        }
+        measures += [measure.alias(f"_{i}_{measured}") for measured, measure in stats.items()]
+        per_column.append(F.struct(F.lit(f.name).alias("column_name"), *[F.col(f"_{i}_{m}").alias(m) for m in stats]))
+    return values.agg(*measures).select(F.inline(F.array(*per_column)))
+
+
 def profile_table(
     df: DataFrame, table: str, approximate: bool = False, executed_at: datetime | None = None
 ) -> DataFrame:
-    """One row per column: counts, least and greatest value, lengths, detected type.
+    """One row per column: counts, least and greatest value, lengths, detected type, all exact and from one scan.
 
-    The simple statistics of all columns come from one aggregate. Exact distinct counts read
-    each column on its own, which a columnar file allows, and remove repeats in two steps, the
-    first on the map side: counting them all in one aggregate would multiply every row by the
-    number of columns. ``approximate`` uses sketches in the first scan instead.
+    ``approximate`` takes distinct counts from sketches, so that no value is shuffled at all (``sketches`` has their error).
+    """
+    if approximate:
+        profile = profile_of(sketches(df, table)).select("column_name", *_PROFILE)
+    else:
+        parts = [df.columns[i : i + COLUMNS_AT_ONCE] for i in range(0, len(df.columns), COLUMNS_AT_ONCE)]
+        profile = union_all([_per_column(df.select(*[F.col(f"`{c}`") for c in part])) for part in parts])
+    columns = [F.lit(table).alias("table_name"), "column_name", *_PROFILE]
+    if executed_at is not None:
+        columns.append(F.lit(executed_at).alias("executed_at"))
+    return profile.select(*columns)
+
+
+# Profiles that can be united
+
+# Logarithm of the slots of a distinct sketch: a relative standard error of 1.04 / sqrt(2 ** 12), 1.6 %.
+DISTINCT_BITS = 12
+# Size of a quantile sketch: ranks are off by at most 1.65 % of the rows with 99 % certainty.
+QUANTILE_SIZE = 200
+
+
+def _as_number(value: Column, number: bool) -> Column:
+    """A number as it compares, whatever its type: as a decimal, or as a double if it is too large for that."""
+    exact = value.try_cast("decimal(38,10)") if number else F.lit(None).cast("decimal(38,10)")
+    rough = F.when(exact.isNull(), value.cast("double")) if number else F.lit(None).cast("double")
+    return F.when(value.isNotNull() & F.lit(number), F.struct(rough.alias("rough"), exact.alias("exact")))
+
+
+def sketches(df: DataFrame, table: str, batch: str | None = None) -> DataFrame:
+    """What has to be kept of a batch so that profiles of many batches can be united: a row per column.
+
+    Counts, extremes and lengths are exact. Distinct values are kept as a HyperLogLog sketch of ``DISTINCT_BITS``, values of
+    numeric columns as a quantile sketch of ``QUANTILE_SIZE``: some kilobytes a column, whatever the rows. One scan,
+    partial results merged on the map side.
     """
     measures, per_column = [], []
     for i, f in enumerate(df.schema.fields):
-        text = F.col(f.name).cast("string")
+        value = F.col(f"`{f.name}`")
+        text = value.cast("string")
+        length = F.length(text).cast("bigint")
+        number = isinstance(f.dataType, T.NumericType)
+        formats = [F.count_if(~value.rlike(p)) for p in _TEXT_FORMATS.values()] if isinstance(f.dataType, T.StringType) else []
+        # Extremes of numbers are kept as numbers, so that they compare as such when they are united.
         stats = {
-            "null_count": F.count_if(F.col(f.name).isNull()),
-            "min_value": F.min(f.name).cast("string"),
-            "max_value": F.max(f.name).cast("string"),
-            "avg_length": F.avg(F.length(text).cast("decimal(12,0)")).cast("decimal(12,4)"),
-            "max_length": F.max(F.length(text)),
-            "detected_type": _detected_type(f.name, f.dataType),
+            "row_count": F.count(F.lit(1)),
+            "null_count": F.count_if(value.isNull()),
+            "distinct_sketch": F.hll_sketch_agg(text, DISTINCT_BITS),
+            "quantile_sketch": F.kll_sketch_agg_double(value.cast("double"), F.lit(QUANTILE_SIZE)) if number else F.lit(None).cast("binary"),
+            "least_number": F.min(_as_number(value, number)),
+            "greatest_number": F.max(_as_number(value, number)),
+            "min_value": F.min(value).cast("string"),
+            "max_value": F.max(value).cast("string"),
+            "total_length": F.sum(length),
+            "max_length": F.max(length).cast("int"),
+            "not_in_format": F.array(*formats) if formats else F.lit(None).cast("array<bigint>"),
         }
-        if approximate:
-            stats["distinct_count"] = F.approx_count_distinct(f.name)
-        measures += [measure.alias(f"_{i}_{name}") for name, measure in stats.items()]
-        per_column.append(
-            F.struct(F.lit(f.name).alias("column_name"), *[F.col(f"_{i}_{name}").alias(name) for name in stats])
-        )
-    profile = df.agg(F.count(F.lit(1)).alias("row_count"), *measures).select(
-        "row_count", F.inline(F.array(*per_column))
-    )
-    if not approximate:
-        profile = profile.join(_distinct_counts(df), "column_name")
-    columns = [
-        F.lit(table).alias("table_name"),
-        "column_name",
-        "row_count",
-        "null_count",
-        "distinct_count",
-        "min_value",
-        "max_value",
-        "avg_length",
-        "max_length",
-        "detected_type",
-    ]
-    if executed_at is not None:
-        columns.append(F.lit(executed_at).alias("executed_at"))
-    return profile.select(*columns)
+        measures += [measure.alias(f"_{i}_{measured}") for measured, measure in stats.items()]
+        cells = [F.col(f"_{i}_{m}").alias(m) for m in stats]
+        per_column.append(F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), *cells))
+    rows = df.agg(*measures).select(F.inline(F.array(*per_column)))
+    return rows.select(F.lit(table).alias("table_name"), F.lit(batch).cast("string").alias("batch"), "*")
 
 
-def _distinct_counts(df: DataFrame) -> DataFrame:
-    return union_all(
-        [
-            df.agg(F.count_distinct(c).alias("distinct_count")).select(F.lit(c).alias("column_name"), "distinct_count")
-            for c in df.columns
-        ]
+def profile_of(stored: DataFrame) -> DataFrame:
+    """Profile per table and column of all batches whose sketches are given; no batch is read again.
+
+    Minimum and maximum of numbers compare as numbers, other types by their text.
+    Adds ``median`` of numeric columns, by its rank within the error of the sketch.
+    """
+    there = F.col("row_count") > F.col("null_count")
+    number = F.max("least_number").isNotNull()
+    rows, nulls = F.sum("row_count"), F.sum("null_count")
+    quantiles = F.kll_merge_agg_double(F.when(there, F.col("quantile_sketch")))
+    formats = list(_TEXT_FORMATS)
+    misses = [F.sum(F.coalesce(F.get("not_in_format", F.lit(k)), F.lit(0))) for k in range(len(formats))]
+    detected = F.when(F.max("data_type") != "string", F.max("data_type")).when(rows == nulls, F.lit(None).cast("string"))
+    for name, missing in zip(formats, misses):
+        detected = detected.when(missing == 0, F.lit(name))
+    grouped = stored.groupBy("table_name", "column_name").agg(
+        rows.alias("row_count"),
+        nulls.alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_count"),
+        F.when(number, F.min_by("min_value", "least_number")).otherwise(F.min("min_value")).alias("min_value"),
+        F.when(number, F.max_by("max_value", "greatest_number")).otherwise(F.max("max_value")).alias("max_value"),
+        _mean(F.sum("total_length"), rows - nulls).alias("avg_length"),
+        F.max("max_length").alias("max_length"),
+        detected.otherwise(F.lit("text")).alias("detected_type"),
+        F.when(number, quantiles).alias("_quantiles"),
     )
+    median = F.when(F.col("_quantiles").isNotNull(), F.kll_sketch_get_quantile_double("_quantiles", F.lit(0.5)))
+    return grouped.select("table_name", "column_name", *_PROFILE, median.alias("median"))

@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators.integrity import fk_orphan_count, union_all
+from siltworks.operators.integrity import Link, orphan_counts, union_all
 from siltworks.sources.staging import rows
 from siltworks.sources.tables import VersionedStore
 
@@ -209,8 +209,8 @@ def run_quality_checks(
 ) -> DataFrame:
     """Evaluate the rules of one table: rows evaluated, rows failed, percentage, verdict.
 
-    All conditions share a single aggregate over the table. A parent rule aggregates its column
-    by value before looking for parents. An empty table fails nothing.
+    All conditions share a single aggregate over the table, and so do the columns of all parent
+    rules, which are counted by value before parents are looked for. An empty table fails nothing.
     """
     df = tables[table]
     chosen = [r for r in rules if r.table == table]
@@ -230,13 +230,13 @@ def run_quality_checks(
 
     entries = [entry(None, F.lit(None))] + [entry(r, F.col(f"_failed_{i}")) for i, r in enumerate(conditions)]
     measured = [counts.select(F.col("_total"), F.inline(F.array(*entries)))]
+    linked = [r for r in chosen if r.parent]
+    if linked:
+        orphans = orphan_counts([Link(df, r.column, tables[r.parent], r.parent_key) for r in linked])
+        listed = F.array(*[entry(r, F.col("orphan_rows")) for r in linked])
+        measured.append(orphans.select(F.col("child_rows").alias("_total"), F.inline(F.array(F.get(listed, F.col("number"))))))
     for r in chosen:
-        if r.parent:
-            orphans = fk_orphan_count(df, r.column, tables[r.parent], r.parent_key)
-            measured.append(
-                orphans.select(F.col("child_rows").alias("_total"), F.inline(F.array(entry(r, F.col("orphan_rows")))))
-            )
-        elif r.unique:
+        if r.unique:
             values = df.filter(F.col(r.column).isNotNull()).groupBy(r.column).agg(F.count(F.lit(1)).alias("_rows"))
             repeats = values.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("_repeats"))
             measured.append(
@@ -355,7 +355,7 @@ def publish_or_discard(
     """
     layout = partition_by or {}
     versions = {name: store.write(name, df, layout.get(name, ())) for name, df in candidates.items()}
-    written = {name: store.read(name, version) for name, version in versions.items()}
+    written = {name: store.read(version) for name, version in versions.items()}
     if critical_rejections(check(written), run_id).take(1):
         return False
     store.publish(versions)

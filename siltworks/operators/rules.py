@@ -315,6 +315,17 @@ def rule_failures(df: DataFrame, table: str, rules: list[FieldRule]) -> DataFram
     return counts.select(F.lit(table).alias("table_name"), F.col("_rows").alias("rows_checked"), F.inline(per_rule))
 
 
+def failure_measures(rules: list[FieldRule], among: Column) -> list[Column]:
+    """What to count while a table is written, so that ``counted_failures`` needs no scan: rows ``among`` which a rule is broken."""
+    return [F.count_if(among & r.broken).alias(f"_rule_{i}") for i, r in enumerate(rules)]
+
+
+def counted_failures(spark: SparkSession, table: str, rules: list[FieldRule], counts: dict[str, int]) -> DataFrame:
+    """``rule_failures`` from counts that the write of the table has gathered: ``rows``, and a measure per rule."""
+    found = [(table, counts["rows"], r.column, r.rule_type, r.issue, counts[f"_rule_{i}"]) for i, r in enumerate(rules)]
+    return rows(spark, found, "table_name string, rows_checked long, column_name string, rule_type string, issue_desc string, failures long")
+
+
 def validation_status(failures: DataFrame) -> DataFrame:
     """Errors and status per table: OK without any error, WARNING otherwise."""
     total = F.sum("failures")

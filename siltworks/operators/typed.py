@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import any_of, flag_to_int, hex_to_binary, null_token
 from siltworks.schemas import ENTITIES, NUMBER_TYPE, Entity
+from siltworks.sources.staging import ACCEPTED, REJECTED
+from siltworks.sources.tables import split_by_verdict
 
 _SIZED = re.compile(r"(text|clip)\((\d+)\)")
 
@@ -55,20 +57,35 @@ def typed_columns(entity: str) -> list[TypedColumn]:
     return [TypedColumn(spec, c) for c in spec.columns]
 
 
-def to_typed(df: DataFrame, entity: str, mode: str = "strict"):
-    """Cast a staging table to its typed shape.
+def to_typed(df: DataFrame, entity: str) -> DataFrame:
+    """Cast a staging table to its typed shape; the first text that cannot be cast fails the job, as an ANSI cast does."""
+    return df.select(*[c.strict.alias(c.name) for c in typed_columns(entity)])
 
-    ``strict`` fails the job at the first text that cannot be cast, as an ANSI cast does.
-    ``quarantine`` returns ``(typed rows, rejected rows)``: a row with any uncastable text is
-    kept as text, with the names of the failing columns, and is not loaded.
+
+def judged(df: DataFrame, entity: str) -> DataFrame:
+    """Every row with its typed columns, its ``verdict``, and, if it is rejected, its text and the failing columns.
+
+    Each field is cast once, to a struct of its value and whether the text could not take the type.
     """
     columns = typed_columns(entity)
-    if mode == "strict":
-        return df.select(*[c.strict.alias(c.name) for c in columns])
-    if mode != "quarantine":
-        raise ValueError(f"unknown mode {mode!r}")
-    any_failed = any_of([c.failed for c in columns])
-    good = df.filter(~any_failed).select(*[c.lenient.alias(c.name) for c in columns])
-    names = F.array_compact(F.array(*[F.when(c.failed, F.lit(c.name)) for c in columns]))
-    rejected = df.filter(any_failed).select(*df.columns, names.alias("failed_columns"))
-    return good, rejected
+    cast = [F.struct(c.lenient.alias("value"), F.col(c.source).alias("text"), c.failed.alias("failed")).alias(f"_{i}") for i, c in enumerate(columns)]
+    failed = [F.col(f"_{i}.failed") for i in range(len(columns))]
+    rejected = any_of(failed)
+    names = F.array_compact(F.array(*[F.when(f, F.lit(c.name)) for f, c in zip(failed, columns)]))
+    text = F.struct(*[F.col(f"_{i}.text").alias(c.source) for i, c in enumerate(columns)])
+    return df.select(*cast).select(
+        *[F.when(~rejected, F.col(f"_{i}.value")).alias(c.name) for i, c in enumerate(columns)],
+        F.when(rejected, text).alias("_text"),
+        F.when(rejected, names).alias("_failed_columns"),
+        F.when(rejected, REJECTED).otherwise(ACCEPTED).alias("verdict"),
+    )
+
+
+def quarantine(df: DataFrame, entity: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejected rows), written to ``path`` in one pass over the staging table, a folder each.
+
+    A row with any uncastable text is kept as text, with the names of the failing columns, and is not loaded.
+    """
+    stored = split_by_verdict(judged(df, entity), path)
+    good = stored.filter(F.col("verdict") == ACCEPTED).select(*[c.name for c in typed_columns(entity)])
+    return good, stored.filter(F.col("verdict") == REJECTED).select("_text.*", F.col("_failed_columns").alias("failed_columns"))

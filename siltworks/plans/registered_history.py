@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltworks.operators import appended
 from siltworks.operators import history as h
 from siltworks.plans.testbed import CHANGED, Catalogue, table
 from siltworks.session import scratch_path
+from siltworks.sources.tables import VersionedStore
 
 catalogue = Catalogue()
 
@@ -193,3 +197,90 @@ def lineitem_history(spark, folder) -> DataFrame:
             CHANGED,
         )
     )
+
+
+# Three batches in a row: the one above, another that changes large balances and those in debt, and
+# the first again, which turns debtors back and leaves the rest as it is.
+_SECOND = """SELECT c_custkey AS id, c_name AS name, nullif(c_mktsegment, 'MACHINERY') AS segment,
+    CAST(CAST(c_acctbal AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS balance FROM customer WHERE c_acctbal < 0 OR c_acctbal > 5000"""
+_DATES = ["2020-02-01", "2020-03-01", "2020-04-01"]
+
+
+def _stamp(day: str) -> datetime:
+    return datetime.fromisoformat(day).replace(tzinfo=timezone.utc)
+
+
+def _after(n: int) -> str:
+    """Common table expressions: the history h0 and what each of the first n batches makes of it."""
+    steps = [f"h0 AS ({_HISTORY})", f"b1 AS ({_BATCH})", f"b2 AS ({_SECOND})", "b3 AS (SELECT * FROM b1)"]
+    for k in range(1, n + 1):
+        same = _SAME.replace("h.", f"h{k - 1}.").replace("b.", f"b{k}.")
+        steps.append(
+            f"""h{k} AS (SELECT id, name, segment, balance, load_date, active AND NOT EXISTS (
+                SELECT 1 FROM b{k} WHERE b{k}.id = h{k - 1}.id AND NOT ({same})) AS active FROM h{k - 1}
+            UNION ALL SELECT id, name, segment, balance, DATE '{_DATES[k - 1]}', TRUE FROM b{k}
+            WHERE NOT EXISTS (SELECT 1 FROM h{k - 1} WHERE h{k - 1}.active AND {same}))"""
+        )
+    return "WITH " + ", ".join(steps)
+
+
+class _Appended:
+    """The customers' history as a stored table that batches append to."""
+
+    def __init__(self, spark, folder):
+        self.store = VersionedStore(spark, scratch_path(spark, "appended"))
+        first = _customer_batch(spark, folder)
+        second = table(spark, folder, "customer").filter("c_acctbal < 0 OR c_acctbal > 5000").selectExpr(
+            "c_custkey AS id",
+            "c_name AS name",
+            "nullif(c_mktsegment, 'MACHINERY') AS segment",
+            "CAST(CAST(c_acctbal AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS balance",
+        )
+        self.batches = [first, second, first]
+        self.version = self.store.write("customers", appended.as_base(_customer_history(spark, folder)))
+
+    def rows(self) -> DataFrame:
+        return self.store.read(self.version)
+
+    def apply(self, n: int) -> DataFrame:
+        """Append batch n (from 1); the rows it has written."""
+        number = len(self.version.folders)
+        current = appended.in_force(self.rows(), "id", plain=number == 1)
+        rows = appended.additions(current, self.batches[n - 1], "id", ATTRIBUTES, number, _stamp(_DATES[n - 1]))
+        written = self.store.write("customers", rows)
+        self.version = self.version.followed_by(written)
+        return self.store.read(written)
+
+    def compact(self) -> None:
+        self.version = self.store.write("customers", appended.as_base(appended.history(self.rows(), "id")))
+
+
+@catalogue.register(f"{_after(3)} SELECT id, name, segment, balance, load_date, active FROM h3")
+def history_by_additions(spark, folder) -> DataFrame:
+    """Three batches that only append, with a compaction after the second: every version, as a reader sees it."""
+    kept = _Appended(spark, folder)
+    kept.apply(1)
+    kept.apply(2)
+    kept.compact()
+    kept.apply(3)
+    return _dated(appended.history(kept.rows(), "id"))
+
+
+@catalogue.register(f"{_after(2)} SELECT id, name, segment, balance, load_date, active FROM h2 WHERE active")
+def in_force_by_additions(spark, folder) -> DataFrame:
+    """The versions in force after two batches, merged while they are read."""
+    kept = _Appended(spark, folder)
+    kept.apply(1)
+    kept.apply(2)
+    return _dated(appended.in_force(kept.rows(), "id"))
+
+
+@catalogue.register(
+    f"""{_after(2)}
+        SELECT CAST(1 AS BIGINT) AS batch, id, balance FROM h1 WHERE load_date = DATE '{_DATES[0]}'
+        UNION ALL SELECT 2, id, balance FROM h2 WHERE load_date = DATE '{_DATES[1]}'"""
+)
+def rows_that_batches_write(spark, folder) -> DataFrame:
+    """A batch writes the rows that are new or differ, and no others."""
+    kept = _Appended(spark, folder)
+    return kept.apply(1).unionByName(kept.apply(2)).selectExpr("_batch AS batch", "id", "balance")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltworks.functions import full_name, is_one
 from siltworks.operators import cleaning, rules
 from siltworks.operators.integrity import pk_duplicates, union_all
-from siltworks.operators.typed import to_typed
+from siltworks.operators.typed import quarantine, to_typed
 from siltworks.plans.testbed import (
     CHANGED,
     LOADED,
@@ -51,7 +51,61 @@ def staging_csv(spark, folder) -> DataFrame:
         F.when(F.col("l_linestatus") != "F", F.concat(F.lit("00"), F.col("l_tax").cast("decimal(4,2)").cast("string"))).alias("discount"),
     )
     source.write.option("header", True).csv(path)
-    return staging.read_staging_csv(spark, path, "order_details")
+    return staging.read_staging_csv(spark, path, "order_details", multi_line=False)
+
+
+# Regions of the warehouse as a text file by hand: descriptions with line breaks and quotes within quotes, and lines
+# with a field too many or too few.
+_WELL = "o_orderstatus <> 'P' AND o_orderpriority NOT LIKE '4%'"
+_MANY, _FEW = "o_orderstatus = 'P'", "o_orderstatus <> 'P' AND o_orderpriority LIKE '4%'"
+
+
+def _region_lines(spark, folder) -> str:
+    path = scratch_path(spark, "malformed-csv")
+    broken = F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('\nsays ""'), F.col("o_orderstatus"), F.lit('"", so"'))
+    line = (
+        F.when(F.expr(_MANY), F.concat_ws(",", "o_orderkey", "o_orderpriority", F.lit("surplus")))
+        .when(F.expr(_FEW), F.col("o_orderkey").cast("string"))
+        .otherwise(F.concat_ws(",", "o_orderkey", F.when(F.col("o_orderpriority").like("1%"), broken).otherwise(F.col("o_orderpriority"))))
+    )
+    # The text writer puts a line end after each value; there is no header line, so none is skipped.
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+def _staged_regions(spark, folder) -> tuple[DataFrame, DataFrame]:
+    return staging.stage_csv(spark, _region_lines(spark, folder), "regions", scratch_path(spark, "staged"), header=False)
+
+
+@catalogue.register(
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS region_id,
+               CASE WHEN o_orderpriority LIKE '1%' THEN o_orderpriority || chr(10) || 'says "' || o_orderstatus || '", so' ELSE o_orderpriority END AS region_description
+        FROM orders WHERE {_WELL}"""
+)
+def staged_lines(spark, folder) -> DataFrame:
+    """Well-formed lines of a file, line breaks within quotes included."""
+    return _staged_regions(spark, folder)[0]
+
+
+@catalogue.register(
+    f"""SELECT CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',surplus' AS line FROM orders WHERE {_MANY}
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE {_FEW}"""
+)
+def rejected_lines(spark, folder) -> DataFrame:
+    """Lines with a field too many or too few, kept apart with their text."""
+    return _staged_regions(spark, folder)[1]
+
+
+@catalogue.register(
+    f"""SELECT CAST(count(*) FILTER ({_WELL}) AS BIGINT) AS rows, CAST(count(*) FILTER (NOT ({_WELL})) AS BIGINT) AS rejected,
+               CAST(count(*) FILTER ({_WELL} AND o_orderpriority LIKE '1%') AS BIGINT) AS with_line_break FROM orders"""
+)
+def counts_while_staging(spark, folder) -> DataFrame:
+    """Counts gathered by the write that stages a file: no scan of their own."""
+    told = Observation()
+    line_break = F.count_if(F.contains("region_description", F.lit("\n"))).alias("with_line_break")
+    staging.stage_csv(spark, _region_lines(spark, folder), "regions", scratch_path(spark, "staged"), True, told, line_break, header=False)
+    return spark.createDataFrame([told.get], "rows long, rejected long, with_line_break long")
 
 
 @catalogue.register(
@@ -76,6 +130,10 @@ _BAD_LINE = (
 )
 
 
+def _quarantined(spark, folder) -> tuple[DataFrame, DataFrame]:
+    return quarantine(TXT_ORDER_DETAILS.frame(spark, folder), "order_details", scratch_path(spark, "quarantine"))
+
+
 @catalogue.register(
     f"""WITH t AS ({TXT_ORDER_DETAILS.sql})
         SELECT CAST(order_id AS INTEGER) AS order_id, CAST(product_id AS INTEGER) AS product_id,
@@ -84,7 +142,7 @@ _BAD_LINE = (
         FROM t WHERE NOT ({_BAD_LINE})"""
 )
 def typed_load_accepted(spark, folder) -> DataFrame:
-    return to_typed(TXT_ORDER_DETAILS.frame(spark, folder), "order_details", mode="quarantine")[0]
+    return _quarantined(spark, folder)[0]
 
 
 @catalogue.register(
@@ -95,7 +153,7 @@ def typed_load_accepted(spark, folder) -> DataFrame:
         FROM t WHERE {_BAD_LINE}"""
 )
 def typed_load_rejected(spark, folder) -> DataFrame:
-    rejected = to_typed(TXT_ORDER_DETAILS.frame(spark, folder), "order_details", mode="quarantine")[1]
+    rejected = _quarantined(spark, folder)[1]
     return rejected.withColumn("failed_columns", F.array_join("failed_columns", ","))
 
 

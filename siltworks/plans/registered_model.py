@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators import catalog, cleaning, model
 from siltworks.operators.integrity import union_all
+from siltworks.operators.quality import RESULT_SCHEMA
 from siltworks.plans import views
 from siltworks.plans.rebuild import rebuild_model, sales_by_employee_view
 from siltworks.plans.registered_checks import supplied_nations
@@ -23,6 +26,7 @@ from siltworks.plans.testbed import (
     Catalogue,
     table,
 )
+from siltworks.plans.warehouse import Warehouse
 from siltworks.session import scratch_path
 
 catalogue = Catalogue()
@@ -358,3 +362,85 @@ def update_where(spark, folder) -> DataFrame:
         customers, F.col("c_acctbal") > 9000, "c_mktsegment", "PRIORITY", F.col("c_mktsegment") == "PRIORITY"
     )
     return listed.select("c_custkey", "c_mktsegment")
+
+
+# A warehouse that three batches bring to its last state. At first it lacks customers in debt, sellers in
+# debt, large products, orders in process and dear lines; urgent orders name a customer that nobody knows, returned lines
+# have one piece too many. The batches bring or correct these, and take the customer from finished orders of low priority.
+_UNIQUE_LINES = """SELECT l_orderkey AS order_id, l_partkey AS product_id, max(l_suppkey) AS employee_id,
+    max(CAST(l_extendedprice AS DECIMAL(10,2))) AS unit_price, max(CAST(l_quantity AS INTEGER)) AS quantity,
+    max(CAST(l_discount AS DECIMAL(4,2))) AS discount, max(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2"""
+_NOBODY = "-1"
+_LAST_ORDERS = f"""SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus = 'F' AND o_orderpriority LIKE '5%' THEN {_NOBODY} ELSE o_custkey END AS customer_id,
+    CAST(o_orderdate AS DATE) AS order_date FROM orders"""
+_LAST_SALES = f"""SELECT CAST(d.order_id AS VARCHAR) || '-' || CAST(d.product_id AS VARCHAR) AS fact_key, d.product_id, o.customer_id, d.employee_id,
+    CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS date_key, d.quantity, d.unit_price, d.discount,
+    CAST(CAST(d.unit_price * d.quantity AS DECIMAL(18,2)) * (1 - d.discount) AS DECIMAL(12,2)) AS total_amount
+    FROM ({_UNIQUE_LINES}) d JOIN ({_LAST_ORDERS}) o ON d.order_id = o.order_id WHERE o.customer_id <> {_NOBODY}"""
+_BATCH_DAYS = [datetime(2020, 2, d, tzinfo=timezone.utc) for d in (1, 2, 3)]
+
+
+def _first_state_and_batches(spark, folder) -> tuple[dict[str, DataFrame], list[dict[str, DataFrame]]]:
+    memory = memory_tables(spark, folder)
+    orders = table(spark, folder, "orders")
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")).agg(
+        F.max("l_suppkey").alias("employee_id"),
+        F.max(F.col("l_extendedprice").cast("decimal(10,2)")).alias("unit_price"),
+        F.max(F.col("l_quantity").cast("int")).alias("quantity"),
+        F.max(F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+        F.max("l_returnflag").alias("flag"),
+    )
+    lines = _kept(spark)("unique-lines", lines)
+    columns = [c for c in lines.columns if c != "flag"]
+    returned, dear = F.col("flag") == "R", (F.col("flag") != "R") & (F.col("unit_price") > 50_000)
+    one_more = (F.col("quantity") + returned.cast("int")).alias("quantity")
+
+    def heads(condition: str, customer: str) -> DataFrame:
+        return orders.filter(condition).selectExpr("o_orderkey AS order_id", f"{customer} AS customer_id", "CAST(o_orderdate AS DATE) AS order_date")
+
+    known = f"CASE WHEN o_orderpriority LIKE '1%' THEN CAST({_NOBODY} AS BIGINT) ELSE o_custkey END"
+    low = "o_orderstatus = 'F' AND o_orderpriority LIKE '5%'"
+    first = {
+        **memory,
+        "customers": memory["customers"].filter("region IS NOT NULL"),
+        "employees": memory["employees"].filter("last_name IS NOT NULL"),
+        "products": memory["products"].filter("discontinued IS NOT NULL"),
+        "orders": heads("o_orderstatus <> 'P'", known),
+        "order_details": lines.filter(~dear).select(*[one_more if c == "quantity" else c for c in columns]),
+    }
+    batches = [
+        {"customers": memory["customers"].filter("region IS NULL"), "orders": heads("o_orderstatus = 'P'", "o_custkey")},
+        {
+            "products": memory["products"].filter("discontinued IS NULL"),
+            "employees": memory["employees"].filter("last_name IS NULL"),
+            "order_details": lines.filter(dear | returned).select(*columns),
+        },
+        {"orders": heads(f"o_orderpriority LIKE '1%' AND NOT ({low})", "o_custkey").unionByName(heads(low, f"CAST({_NOBODY} AS BIGINT)"))},
+    ]
+    return first, batches
+
+
+def _maintained(spark, folder) -> Warehouse:
+    first, batches = _first_state_and_batches(spark, folder)
+    warehouse = Warehouse(spark, scratch_path(spark, "maintained"))
+    warehouse.load_memory(first, spark.createDataFrame([], RESULT_SCHEMA), LOADED, LOADED)
+    warehouse.rebuild(LOADED, START, DAYS)
+    for n, batch in enumerate(batches):
+        warehouse.apply_batch(batch, n + 2, _BATCH_DAYS[n], _BATCH_DAYS[n])
+    return warehouse
+
+
+@catalogue.register(_LAST_SALES)
+def model_after_batches(spark, folder) -> DataFrame:
+    """The fact after three batches kept up by affected keys, under business ids: what a full rebuild gives."""
+    warehouse = _maintained(spark, folder)
+    fact = warehouse.model("fact_table").drop("year", "load_date")
+    for dim, key_id in (("product", "product_id"), ("customer", "customer_id"), ("employee", "employee_id")):
+        fact = fact.join(warehouse.model(f"dim_{dim}").select(f"{dim}_key", key_id), f"{dim}_key").drop(f"{dim}_key")
+    return fact
+
+
+@catalogue.register(f"SELECT * EXCLUDE (employee_key) FROM ({_by_seller(_LAST_SALES)})")
+def sales_after_batches(spark, folder) -> DataFrame:
+    """The data product from the stored sums of the fact and the changes that three batches have appended."""
+    return _maintained(spark, folder).sales_by_employee().drop("employee_key")

@@ -1,20 +1,18 @@
-"""Parquet tables: batch folders, full refresh, append, and versions listed in a manifest."""
+"""Parquet tables: batch folders, full refresh, append, and published versions."""
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Folders over which a history spreads its rows in force. More folders make a small batch touch less.
-BUCKETS = 64
-
-MANIFEST_SCHEMA = "seq long, table string, version string, schema string, folders array<string>"
+POINTER_SCHEMA = "table string, folders array<string>, schema string, number long"
 
 
 def stamp(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
@@ -49,135 +47,104 @@ def reset_staging(df: DataFrame, root: str, entity: str, batch_id: str) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucket(keys: list[str], buckets: int = BUCKETS) -> Column:
-    """The bucket of a key."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def split_by_verdict(df: DataFrame, path: str) -> DataFrame:
+    """Rows with a text column ``verdict``, written once, a folder per verdict; read back, a filter on it opens its folder only."""
+    df.write.mode("overwrite").partitionBy("verdict").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class ConflictError(RuntimeError):
     """Another writer has published in the meantime."""
 
 
-class VersionedStore:
-    """Tables whose readers see only published versions.
+@dataclass(frozen=True)
+class Version:
+    """The folders that make up a table, oldest first, and the columns of its rows.
+
+    The first folder is the base; later ones hold rows that batches have added (``operators.appended``).
+    """
+
+    folders: tuple[str, ...]
+    schema: str
+
+    def followed_by(self, added: Version) -> Version:
+        return Version(self.folders + added.folders, self.schema)
 
-    Each write goes to a new folder. Publishing adds one numbered folder to the manifest, a small
-    file that names the folders of every table concerned; Spark's commit protocol makes that file
-    appear whole or not at all. A batch that fails or is rejected leaves all tables as they were, and
-    tables published together change together.
 
-    A version may consist of several folders: a history keeps the folders that a batch does not
-    touch from version to version, so that it never rewrites them.
+class VersionedStore:
+    """Tables whose readers see only published versions: write, point, read.
+
+    Each write goes to a new folder. Publishing writes one small pointer file that lists the folders of
+    all tables, under the next number; Spark's commit makes it appear whole or not at all, and
+    the highest number is in force. A batch that fails or is rejected leaves all tables as they were,
+    and tables published together change together.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self._manifest = f"{root}/manifest"
-        self._schemas: dict[str, T.StructType] = {}
-        self._folders: dict[str, list[str]] = {}
+        self._pointers = f"{root}/pointer"
 
-    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = (), rebalance: bool = False) -> str:
+    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = (), rebalance: bool = False) -> Version:
         """Store a candidate version; it is not visible to readers yet.
 
         ``rebalance`` first gathers the rows of a partition into evenly sized tasks, large
         partitions into several, instead of a small file per task and partition.
         """
-        version = f"v-{uuid.uuid4().hex}"
+        folder = f"{table}/{uuid.uuid4().hex}"
         rows = df.hint("rebalance", *partition_by) if rebalance else df
         writer = rows.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{table}/version={version}")
-        self._schemas[version] = df.schema
-        self._folders[version] = [f"version={version}"]
-        return version
-
-    def write_history(
-        self, table: str, rows: DataFrame, keys: list[str], previous: str | None = None, touched: list[int] | None = None
-    ) -> str:
-        """Store the rows a batch closed or left in force.
-
-        Rows in force lie in folders by hash of their key, closed rows in a folder per batch.
-        With ``previous`` the rows are those of the ``touched`` buckets only: all other folders
-        of that version, and its closed rows, become part of the new version as they are.
-        """
-        part = F.when(F.col("active"), bucket(keys).cast("string")).otherwise(F.lit("closed"))
-        version = self.write(table, rows.withColumn("_part", part), ("_part",))
-        self._schemas[version] = rows.schema
-        folder = f"{self.root}/{table}/version={version}"
-        # A row per folder, one more than buckets at most; only folder names are read.
-        written = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_part", T.StringType())])).parquet(folder)
-        new = sorted(r._part for r in written.select("_part").distinct().collect())
-        replaced = {str(b) for b in touched or []}
-        kept = [f for f in self._folders[previous] if f.rpartition("_part=")[2] not in replaced] if previous else []
-        self._folders[version] = kept + [f"version={version}/_part={p}" for p in new]
-        return version
-
-    def read_buckets(self, table: str, version: str, buckets: list[int]) -> DataFrame:
-        """Rows in force of some buckets; the other folders are not read."""
-        wanted = {str(b) for b in buckets}
-        return self._read(table, version, [f for f in self._folders[version] if f.rpartition("_part=")[2] in wanted])
-
-    def read(self, table: str, version: str) -> DataFrame:
-        """A version under its recorded schema, so that an empty one can be read as well."""
-        return self._read(table, version, self._folders[version])
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{folder}")
+        return Version((folder,), df.schema.json())
 
-    def _read(self, table: str, version: str, folders: list[str]) -> DataFrame:
-        schema, folder = self._schemas[version], f"{self.root}/{table}"
-        if not folders:
+    def read(self, version: Version) -> DataFrame:
+        """A version under its recorded schema, so that an empty one can be read as well."""
+        schema = T.StructType.fromJson(json.loads(version.schema))
+        if not version.folders:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", folder)
-        return reader.parquet(*[f"{folder}/{f}" for f in folders]).select(*schema.names)
-
-    def compact(self, table: str, keys: list[str]) -> None:
-        """Write a history anew, its closed rows in one folder instead of one per batch."""
-        now = self.published()
-        version = self.write_history(table, self.read(table, now[table]), keys)
-        self.publish({table: version}, now)
-
-    def published(self) -> dict[str, str]:
-        """Version in force per table. The manifest has one row per table and publication."""
-        entry = F.struct("version", "schema", "folders")
-        latest = self._log().groupBy("table").agg(F.max_by(entry, "seq").alias("entry")).collect()
-        for row in latest:
-            self._schemas.setdefault(row.entry.version, T.StructType.fromJson(json.loads(row.entry.schema)))
-            self._folders.setdefault(row.entry.version, list(row.entry.folders))
-        return {row.table: row.entry.version for row in latest}
-
-    def _log(self) -> DataFrame:
+        # Folders are read one by one in the plan, as only the base may be partitioned.
+        frames = [self.spark.read.schema(schema).parquet(f"{self.root}/{f}").select(*schema.names) for f in version.folders[:1]]
+        if added := version.folders[1:]:
+            frames.append(self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in added]).select(*schema.names))
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    def published(self) -> dict[str, Version]:
+        """Version in force per table."""
+        return self._last()[1]
+
+    def _last(self) -> tuple[int, dict[str, Version]]:
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest)
+            pointers = self.spark.read.schema(POINTER_SCHEMA).parquet(self._pointers)
+            number = pointers.agg(F.max("number")).first()[0] or 0
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+            return 0, {}
+        rows = pointers.filter(F.col("number") == number).collect()  # a row per table
+        return number, {r.table: Version(tuple(r.folders), r.schema) for r in rows}
 
-    def publish(self, versions: dict[str, str], expected: dict[str, str] | None = None) -> None:
-        """Put the versions in force, all in one step.
+    def publish(self, versions: dict[str, Version], expected: dict[str, Version] | None = None) -> None:
+        """Put the versions in force, all in one step; other tables keep theirs.
 
         ``expected`` gives the versions in force that they were made from. If any of these tables
-        has changed since, or another writer takes the same place in the manifest, nothing is
+        has changed since, or another writer takes the same number, nothing is
         published and ConflictError raised: the batch has to be applied again. This is a check before
         the write: of two writers that pass it at the same moment, one may be lost.
         """
-        seq = (self._log().agg(F.max("seq").alias("seq")).first().seq or 0) + 1
-        if expected is not None:
-            now = self.published()
-            moved = [t for t in versions if now.get(t) != expected.get(t)]
-            if moved:
-                raise ConflictError(f"changed by another writer: {', '.join(sorted(moved))}")
-        entries = [
-            (seq, table, version, self._schemas[version].json(), self._folders[version])
-            for table, version in versions.items()
-        ]
-        rows = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
+        number, now = self._last()
+        moved = [t for t in versions if expected is not None and now.get(t) != expected.get(t)]
+        if moved:
+            raise ConflictError(f"changed by another writer: {', '.join(sorted(moved))}")
+        rows = [(table, list(v.folders), v.schema) for table, v in {**now, **versions}.items()]
+        pointer = self.spark.createDataFrame(rows, POINTER_SCHEMA.removesuffix(", number long"))
         try:
-            rows.drop("seq").coalesce(1).write.mode("errorifexists").parquet(f"{self._manifest}/seq={seq}")
+            pointer.coalesce(1).write.mode("errorifexists").parquet(f"{self._pointers}/number={number + 1}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
-            raise ConflictError(f"another writer published as number {seq}") from error
+            raise ConflictError(f"another writer published as number {number + 1}") from error
 
     def current(self, table: str) -> DataFrame | None:
         """The published version, or None before the first publication."""
         version = self.published().get(table)
-        return self.read(table, version) if version else None
+        return self.read(version) if version else None

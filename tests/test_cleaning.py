@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltworks import functions as fn
 from siltworks.operators import cleaning
-from siltworks.operators.typed import to_typed
+from siltworks.operators.typed import quarantine, to_typed
 from siltworks.plans.warehouse import patch_countries
 from siltworks.schemas import ENTITIES
 from siltworks.session import shared_folder
@@ -66,7 +66,7 @@ def test_strict_hex_and_cast_fail_the_job(spark):
         to_typed(too_long, "employee_territories").collect()
 
 
-def test_quarantine_splits_rows_and_names_columns(spark):
+def test_quarantine_splits_rows_and_names_columns(spark, tmp_path):
     columns = list(ENTITIES["products"].columns)
     rows = [
         ("1", "ok", "NULL", "2", "box", "NULL", "-3", "0", "1", "TRUE"),
@@ -75,7 +75,7 @@ def test_quarantine_splits_rows_and_names_columns(spark):
         (None, None, None, None, None, None, None, None, None, None),
     ]
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
-    good, rejected = to_typed(df, "products", mode="quarantine")
+    good, rejected = quarantine(df, "products", str(tmp_path / "q"))
     assert as_tuples(good, "product_id", "supplier_id", "unit_price", "units_in_stock", "discontinued") == [
         (1, None, None, -3, 1),
         (None, None, None, None, None),

@@ -101,3 +101,26 @@ def test_insert_if_absent_and_update(spark):
     assert as_tuples(catalog.insert_if_absent(result, rows, ["entity", "col"]), "col") == [("c1",), ("c2",)]
     updated, listed = catalog.update_and_list(result, F.col("col") == "c2", "note", "seen", F.col("note") == "seen")
     assert updated.count() == 2 and as_tuples(listed, "col") == [("c2",)]
+
+
+def test_all_links_of_a_child_from_one_scan(spark, tmp_path):
+    rows = [(1, "a", 1.0), (1, "A ", None), (2, None, 3.0), (None, "", 9.0), (7, "zz", 9.0)]
+    spark.createDataFrame(rows, "x int, t string, d double").write.parquet(str(tmp_path / "c"))
+    child = spark.read.parquet(str(tmp_path / "c"))
+    numbers = spark.createDataFrame([(1,), (2,), (2,)], "k bigint")
+    names = spark.createDataFrame([("A",), ("b",)], "name string")
+    empty = spark.createDataFrame([], "k int")
+    links = [
+        integrity.Link(child, "x", numbers, "k"),
+        integrity.Link(child, "t", names, "name", integrity.normalised_name),
+        integrity.Link(child, "d", numbers, "k"),
+        integrity.Link(child, "x", empty, "k"),
+        integrity.Link(empty, "k", numbers, "k"),
+    ]
+    found = integrity.orphan_counts(links)
+    assert as_tuples(found, "number", "child_rows", "orphan_rows") == [(0, 5, 1), (1, 5, 1), (2, 5, 3), (3, 5, 4), (4, 0, 0)]
+    for link, row in zip(links, sorted(found.collect())):
+        one = integrity.fk_orphan_count(link.child, link.column, link.parent, link.key, link.normalise).first()
+        assert (one.child_rows, one.orphan_rows) == (row.child_rows, row.orphan_rows)
+    plan = integrity.orphan_counts(links)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

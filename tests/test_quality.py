@@ -163,6 +163,45 @@ def test_profile(spark):
     assert as_tuples(profiling.profile_table(df, "t", approximate=True), *columns) == expected
 
 
+def test_profile_reads_the_table_once(spark, tmp_path):
+    spark.range(10).selectExpr("id", "id % 3 AS k", "string(id) AS t").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for approximate in (False, True):
+        plan = profiling.profile_table(df, "t", approximate)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+
+
+def test_profile_of_odd_columns(spark):
+    """No rows, nulls only, more columns than one aggregate lays out, names with dots."""
+    empty = profiling.profile_table(spark.createDataFrame([], "a int, `b.c` string"), "t")
+    assert as_tuples(empty, "column_name", "row_count", "distinct_count", "min_value") == [("a", 0, 0, None), ("b.c", 0, 0, None)]
+    nulls = profiling.profile_table(spark.createDataFrame([(None, 1.5), (None, -0.5)], "a string, d double"), "t")
+    assert as_tuples(nulls, "column_name", "null_count", "avg_length", "min_value", "detected_type") == [
+        ("a", 2, None, None, None),
+        ("d", 0, Decimal("3.5000"), "-0.5", "double"),
+    ]
+    wide = spark.range(3).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(130)])
+    found = {r.column_name: (r.distinct_count, r.max_value) for r in profiling.profile_table(wide, "t").collect()}
+    assert len(found) == 130 and found["c0"] == (1, "0") and found["c129"] == (3, "258")
+
+
+def test_sketches_of_batches_are_united(spark):
+    whole = spark.range(30_000).selectExpr("id % 7000 AS k", "string(id % 3 * 5) AS t", "CAST(id AS DOUBLE) - 15000 AS x", "CAST(NULL AS INT) AS n")
+    bounds = [(-15000, -10000), (-10000, 4000), (4000, 15000)]
+    parts = [profiling.sketches(whole.filter((F.col("x") >= a) & (F.col("x") < b)), "w", str(a)) for a, b in bounds]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    exact = {r.column_name: r for r in profiling.profile_table(whole, "w").collect()}
+    for r in profiling.profile_of(stored).collect():
+        e = exact[r.column_name]
+        assert (r.row_count, r.null_count, r.min_value, r.max_value, r.avg_length, r.max_length, r.detected_type) == (
+            e.row_count, e.null_count, e.min_value, e.max_value, e.avg_length, e.max_length, e.detected_type,
+        )
+        assert abs(r.distinct_count - e.distinct_count) <= 0.05 * e.distinct_count
+        if r.column_name == "x":
+            assert abs(r.median) <= 0.0165 * 30_000
+        assert r.column_name != "t" or r.median is None
+
+
 def test_ranges_groups_and_extremes(spark):
     df = spark.createDataFrame([("1", "5"), ("2", "10.5"), ("3", "x"), ("4", None), ("5", "0"), ("6", "5")], "id string, v string")
     assert tuple(profiling.numeric_range(df, "v").first()) == (Decimal("0.0000"), Decimal("10.5000"), Decimal("5.1250"))

@@ -34,3 +34,11 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 270
+
+
+def test_other_queries_stay_when_a_library_is_missing(monkeypatch):
+    """Without a library that only the subpackage for training data needs, that subpackage alone is left out."""
+    for name in [m for m in sys.modules if m.startswith("siltworks.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    assert set(driver.queries()) == set(all_queries()) and set(driver.oracle_sql()) == set(all_sql())

@@ -183,11 +183,11 @@ def test_same_batch_again_and_closed_versions_in_place(updated):
     before = as_tuples(warehouse.memory("customers"), "customer_id", "address", "active", "load_date")
     assert warehouse.apply_batch(typed, 3, LATER, LATER)
     assert as_tuples(warehouse.memory("customers"), "customer_id", "address", "active", "load_date") == before
-    folders = warehouse.store._folders[warehouse.store.published()["dwm_customers"]]
-    closed = [f for f in folders if f.endswith("_part=closed")]
-    assert len(closed) == 1 and len(folders) == len(set(f.split("/")[1] for f in folders)) > 3
-    # CARL3 is in no batch: unless it shares a folder with one that is, its folder is the first one.
-    assert len({f.split("/")[0] for f in folders}) >= 2
+    folders = warehouse.store.published()["dwm_customers"].folders
+    # The base, and what the second batch has changed; the same batch again changes nothing, so it adds nothing.
+    assert len(folders) == 2
+    added = warehouse.spark.read.parquet(f"{warehouse.store.root}/{folders[1]}")
+    assert as_tuples(added, "customer_id", "_batch") == [("ANNA1", 1), ("DORA4", 1)]
 
 
 def test_rejected_and_repeated_batches_publish_nothing(updated):
@@ -287,14 +287,125 @@ def test_every_entity_of_a_batch_is_taken_and_counted(small, spark):
     assert spark.table("enr_dim_employees").count() == 3
 
 
-def test_untouched_folders_stay(small):
+def test_a_batch_adds_a_folder_and_compaction_makes_one(small):
     warehouse, apply = small
-    before = set(warehouse.store._folders[warehouse.store.published()["dwm_products"]])
-    assert apply({"products": SECOND["products"]})
-    after = set(warehouse.store._folders[warehouse.store.published()["dwm_products"]])
-    assert len(before - after) == 1 and len(after - before) == 2  # the folder of the key, and the closed version
-    warehouse.store.compact("dwm_products", ["product_id"])
-    assert warehouse.memory("products").count() == 4
+    assert apply(SECOND)
+    first = warehouse.store.published()
+    for n, price in enumerate(("13.50", "14.50")):
+        assert apply({"products": [f"2,Hammer,7,2,each,{price},3,0,1,0"]}, 10 + n)
+    now = warehouse.store.published()
+    assert now["dwm_products"].folders[:2] == first["dwm_products"].folders and len(now["dwm_products"].folders) == 4
+    # A price is no attribute of the model, so nothing of it is written.
+    assert {t for t in now if now[t] != first.get(t)} == {"dwm_products"}
+    before = {t: as_tuples(warehouse._read(t, v), *warehouse._read(t, v).columns) for t, v in now.items()}
+    versions = as_tuples(warehouse.memory("products"), "product_id", "unit_price", "active")
+    assert len([v for v in versions if v[0] == 2]) == 4 and sum(v[2] for v in versions) == 3
+    assert warehouse.compact(2) == ["dwm_customers", "dwm_order_details", "dwm_orders", "dwm_products"]
+    after = warehouse.store.published()
+    assert all(len(v.folders) == 1 for v in after.values())
+    assert {t: as_tuples(warehouse._read(t, v), *warehouse._read(t, v).columns) for t, v in after.items()} == before
+    assert as_tuples(warehouse.memory("products"), "product_id", "unit_price", "active") == versions
+    assert apply({"products": ["2,Hammer,7,2,each,15.00,3,0,1,0"]}, 20)
+    assert as_tuples(warehouse.memory_tables()["products"].filter("product_id = 2"), "unit_price") == [(Decimal("15.00"),)]
+
+
+def model_as_seen(warehouse):
+    """The model under business ids, whatever its surrogate keys."""
+    fact = warehouse.model("fact_table").drop("year", "load_date")
+    for dim, key in (("product", "product_id"), ("customer", "customer_id"), ("employee", "employee_id")):
+        fact = fact.join(warehouse.model(f"dim_{dim}").select(f"{dim}_key", key), f"{dim}_key").drop(f"{dim}_key")
+    products = warehouse.model("dim_product").drop("load_date", "product_key")
+    for dim in ("category", "supplier"):
+        products = products.join(warehouse.model(f"dim_{dim}").select(f"{dim}_key", f"{dim}_id"), f"{dim}_key", "left").drop(f"{dim}_key")
+    seen = {"fact": fact, "product": products, "sales": warehouse.sales_by_employee().drop("employee_key")}
+    for dim in ("category", "supplier", "customer", "employee"):
+        seen[dim] = warehouse.model(f"dim_{dim}").drop("load_date", f"{dim}_key")
+    return {name: as_tuples(df, *sorted(df.columns)) for name, df in seen.items()}
+
+
+def order_line(order, customer, employee, day):
+    return f"{order},{customer},{employee},{day} 00:00:00.000,NULL,NULL,1,4.50,s,a,c,NULL,1,UK"
+
+
+def test_a_maintained_model_equals_a_rebuilt_one(small):
+    """Batches that create, change and lose rows of every kind: the model is what a rebuild makes."""
+    warehouse, apply = small
+    person = "{},{},{},Rep,Mx.,1980-01-02 00:00:00.000,1999-02-03 00:00:00.000,a,Leeds,NULL,L1,UK,1,11,0x01,n,2,p"
+    assert apply(SECOND)
+    batches = [
+        # A customer that an order waited for; products of an unknown category and supplier; orders that change their day, seller
+        # and customer, one of them to a customer that nobody knows, one to a seller that nobody knows.
+        {
+            "customers": ["NOONE,Noone,Nil,Owner,1 Road,Leeds,NULL,1,UK,1,NULL"],
+            "products": ["4,Saw,8,3,each,9.00,1,0,1,0", "5,Axe,8,3,each,8.00,1,0,1,0"],
+            "orders": [order_line(10, "BERT2", 2, "1999-07-01"), order_line(12, "LOST9", 2, "1998-05-01"), order_line(13, "CARL3", 9, "1998-08-01")],
+            "order_details": ["13,5,8.00,1,0"],
+        },
+        # The category, supplier and seller that others waited for, another name for a seller, a new and a changed line.
+        {
+            "categories": ["3,Blades,x,0x44"],
+            "suppliers": ["8,Steel plc,Joe,Owner,x,Leeds,NULL,L2,UK,4,NULL,NULL"],
+            "employees": [person.format(9, "Ash", "Ida"), person.format(1, "Lee", "Kimberley")],
+            "order_details": ["10,4,9.00,2,0", "10,1,4.00,12,0.1"],
+        },
+        # An order comes back, one lies outside the calendar, one loses its customer; a product changes its category.
+        {
+            "orders": [order_line(12, "DORA4", 1, "1998-05-02"), order_line(14, "ANNA1", 1, "1990-01-01"), order_line(11, "GONE0", 1, "1998-01-06")],
+            "order_details": ["14,1,4.00,1,0", "12,3,3.50,4,0.15"],
+            "products": ["1,Best tea,7,3,box,4.00,10,0,5,1"],
+        },
+    ]
+    for n, batch in enumerate(batches):
+        before = warehouse.store.published()["dim_time"]
+        assert apply(batch, 10 + n)
+        assert warehouse.store.published()["dim_time"] == before  # not rebuilt
+    maintained = model_as_seen(warehouse)
+    assert [r[2] for r in maintained["fact"]] and len(warehouse.store.published()["fact_table"].folders) > 3
+    assert {r[0] for r in as_tuples(warehouse.model("dim_customer"), "customer_key")} == set(range(1, 6))
+    warehouse.rebuild(LATER)
+    assert model_as_seen(warehouse) == maintained
+    assert warehouse.store.published()["fact_table"].folders[1:] == ()
+
+
+def test_fact_rows_written_are_those_that_change(small):
+    warehouse, apply = small
+    assert apply(SECOND)
+    assert apply({"orders": [order_line(12, "NOBODY", 2, "1998-05-01")], "order_details": ["10,1,4.00,11,0.1", "10,2,13.00,1,0"]}, 3)
+    folders = warehouse.store.published()["fact_table"].folders
+    rows = warehouse.spark.read.parquet(f"{warehouse.store.root}/{folders[1]}")
+    assert as_tuples(rows, "fact_key", "_gone") == [("10-1", False), ("12-3", True)]
+    sums = warehouse.store.published()["sales_sums"].folders
+    changes = warehouse.spark.read.parquet(f"{warehouse.store.root}/{sums[1]}")
+    assert as_tuples(changes, "quarter", "revenue", "lines", "units") == [
+        ("Q1", Decimal("3.60"), 0, 1),
+        ("Q2", Decimal("-8.93"), -1, -3),
+    ]
+    assert len(as_tuples(warehouse.sales_by_employee(), "full_name")) == 1
+
+
+def test_malformed_lines_are_kept_apart_and_counted(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    lines = ['1,"North\n""far"", cold"', "2,South,surplus", "3", "4,East", '5,"a,b"', ""]
+    text = warehouse.stage("1", write_files(tmp_path, {"regions": lines, "shippers": ["1,Fast,11"]}))
+    assert as_tuples(text["regions"], "region_id", "region_description") == [("1", 'North\n"far", cold'), ("4", "East"), ("5", "a,b")]
+    assert as_tuples(warehouse.rejected_lines("1"), "table_name", "line") == [("txt_regions", "2,South,surplus"), ("txt_regions", "3")]
+    assert as_tuples(warehouse.staged_counts(), "table_name", "row_count", "rejected_lines") == [("txt_regions", 3, 2), ("txt_shippers", 1, 0)]
+    # A row per line, where it is known to hold: the same fields, and pieces of a broken line don't fit.
+    plain = read_staging_csv(spark, str(tmp_path / "regions.csv"), "regions", multi_line=False)
+    assert ("4", "East") in as_tuples(plain, "region_id", "region_description")
+
+
+def test_status_from_the_counts_of_the_write(loaded, spark, tmp_path):
+    warehouse, text, _, _ = loaded
+    counted = as_tuples(warehouse.validation_status(text), "table_name", "rows_checked", "errors", "status")
+    again = {e: df.select("*") for e, df in text.items()}  # frames of which nothing is known: scanned
+    assert as_tuples(warehouse.validation_status(again), "table_name", "rows_checked", "errors", "status") == counted
+    for rows in warehouse._counts.values():
+        assert set(rows[1]) >= {"rows", "rejected"}
+    broken = Warehouse(spark, str(tmp_path / "x"))
+    with pytest.raises(Exception):
+        broken.stage("1", {"regions": str(tmp_path / "missing.csv")})
+    assert broken._counts == {}
 
 
 def test_a_stored_threshold_decides(small, spark):
