@@ -1,8 +1,7 @@
 """Licence notices in documents: phrases, and an exact set-similarity join with templates.
 
-A text block is a run of ``BLOCK`` words that starts at a multiple of ``STEP`` words; where a
-template has over ``STEP`` words, of twice its words at multiples of them, so that every wording
-lies wholly in some block. A block
+Every template has text blocks of its own length: runs of twice its words, ``BLOCK`` at least, that start
+at every half of that, so that every wording lies wholly in some block and other templates make no difference. A block
 matches a template if it holds at least ``THRESHOLD`` of the template's distinct words. All
 matching blocks are found, by the filters of a set-similarity join:
 
@@ -44,8 +43,70 @@ TEMPLATES = [
     ("cc", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("proprietary", "all rights reserved"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
+        "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+        "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to "
+        "the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the software the software is provided as is without warranty of any kind express or implied including but not limited to the "
+        "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders "
+        "be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the "
+        "above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all "
+        "warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author "
+        "be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+        "performance of this software",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions "
+        "are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+        "documentation and or other materials provided with the distribution this software is provided by the copyright holders and "
+        "contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and "
+        "fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct "
+        "indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or "
+        "services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+        "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+        "possibility of such damage",
+    ),
+    (
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may "
+        "obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+        "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express "
+        "or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published "
+        "by the free software foundation either version 3 of the license or at your option any later version this program is distributed in "
+        "the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a "
+        "particular purpose see the gnu general public license for more details you should have received a copy of the gnu general public "
+        "license along with this program",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages "
+        "arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this software must not "
+        "be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in "
+        "the product documentation would be appreciated but is not required 2 altered source versions must be plainly marked as such and must "
+        "not be misrepresented as being the original software 3 this notice may not be removed or altered from any source distribution",
+    ),
 ]
-BLOCK, STEP, THRESHOLD = 64, 32, 0.8
+BLOCK, THRESHOLD = 64, 0.8
+
+
+def step_of(wording: str) -> int:
+    """Words from one block of a template to the next; a block is twice as long."""
+    return max(BLOCK // 2, len(wording.split()))
 
 
 def words_of(text: Column) -> Column:
@@ -82,25 +143,25 @@ def frequency_order(rows: DataFrame, vocabulary: list[str]) -> list[str]:
 def matches(rows: DataFrame, templates: list[tuple[str, str]], threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, row, template, label, block, score) of every block that meets the threshold, for rows (doc_id, row, words)."""
     spark = rows.sparkSession
-    sets = [(label, set(text.split())) for label, text in templates]
-    step = max([STEP, *[len(text.split()) for _, text in templates]])
-    size = BLOCK if step == STEP else 2 * step
-    order = frequency_order(rows, sorted(set().union(*[s for _, s in sets])))
+    sets = [(label, set(text.split()), step_of(text)) for label, text in templates]
+    order = frequency_order(rows, sorted(set().union(*[s for _, s, _ in sets])))
     rank = {w: i for i, w in enumerate(order)}
     index = []
-    for number, (label, tokens) in enumerate(sets):
+    for number, (label, tokens, step) in enumerate(sets):
         listed = sorted(tokens, key=rank.__getitem__)
         need = next(k for k in range(1, len(listed) + 1) if k / len(listed) >= threshold)
-        index += [(number, label, listed, need, p, listed[p]) for p in range(len(listed) - need + 1)]
-    prefixes = spark.createDataFrame(index, "template int, label string, listed array<string>, need int, p int, word string")
+        index += [(number, label, listed, need, p, listed[p], step) for p in range(len(listed) - need + 1)]
+    prefixes = spark.createDataFrame(index, "template int, label string, listed array<string>, need int, p int, word string, step int")
+    steps = spark.createDataFrame(sorted({(i[5], i[6]) for i in index}), "word string, step int")
     known = F.array(*[F.lit(w) for w in order])
 
-    hits = rows.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word")).filter(F.col("word").isin(sorted({i[-1] for i in index})))
-    block = F.floor(F.col("at") / step).cast("int")
-    opened = hits.withColumn("block", F.explode(F.array(*[block - k for k in range(size // step)]))).filter("block >= 0")
-    sized = opened.withColumn("tokens", F.array_distinct(F.slice("words", F.col("block") * step + 1, size))).drop("words")
-    # As many rows as the templates' prefixes have words.
-    pairs = sized.join(F.broadcast(prefixes), "word").filter(F.size("tokens") >= F.col("need"))
+    hits = rows.select("doc_id", "row", "words", F.posexplode("words").alias("at", "word")).filter(F.col("word").isin(sorted({i[5] for i in index})))
+    # Both broadcast tables have as many rows as the templates' prefixes have words. Templates of one length share their blocks.
+    sided = hits.join(F.broadcast(steps), "word")
+    block = F.floor(F.col("at") / F.col("step")).cast("int")
+    opened = sided.withColumn("block", F.explode(F.array(block, block - 1))).filter("block >= 0")
+    sized = opened.withColumn("tokens", F.array_distinct(F.slice("words", F.col("block") * F.col("step") + 1, 2 * F.col("step")))).drop("words")
+    pairs = sized.join(F.broadcast(prefixes), ["word", "step"]).filter(F.size("tokens") >= F.col("need"))
     shared = pairs.withColumn("first", F.get(F.array_intersect("listed", "tokens"), F.lit(0))).filter(F.col("first") == F.col("word"))
     ordered = shared.withColumn("ordered", F.array_intersect(known, "tokens"))
     room = 1 + F.least(F.size("listed") - 1 - F.col("p"), F.size("ordered") - F.array_position("ordered", F.col("word")).cast("int"))
@@ -131,7 +192,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
 
 
 def _sql() -> str:
-    listed = ", ".join(f"('{label}', string_split('{text}', ' '))" for label, text in TEMPLATES)
+    listed = ", ".join(f"('{label}', string_split('{text}', ' '), {step_of(text)})" for label, text in TEMPLATES)
     phrases = " UNION ALL ".join(
         f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM u WHERE "
         + " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
@@ -149,12 +210,12 @@ WITH w AS (
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS own FROM p GROUP BY doc_id
 ), t AS (
-  SELECT label, list_distinct(tokens) AS tokens FROM (VALUES {listed}) AS v(label, tokens)
+  SELECT label, list_distinct(tokens) AS tokens, step FROM (VALUES {listed}) AS v(label, tokens, step)
 ), b AS (
-  SELECT doc_id, words[s + 1 : s + {BLOCK}] AS block
-  FROM (SELECT doc_id, words, unnest(range(0, len(words), {STEP})) AS s FROM w)
+  SELECT doc_id, step, words[s + 1 : s + 2 * step] AS block
+  FROM (SELECT doc_id, words, step, unnest(range(0, len(words), step)) AS s FROM w, (SELECT DISTINCT step FROM t))
 ), m AS (
-  SELECT doc_id, label, len(list_intersect(tokens, block)) / len(tokens) AS score FROM b, t
+  SELECT doc_id, label, len(list_intersect(tokens, block)) / len(tokens) AS score FROM b JOIN t USING (step)
   WHERE len(list_intersect(tokens, block)) / len(tokens) >= {THRESHOLD}
 ), best AS (
   SELECT doc_id, max(score) AS score, list(DISTINCT label) AS more FROM m GROUP BY doc_id
