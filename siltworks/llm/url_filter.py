@@ -2,10 +2,14 @@
 
 The rules label URLs; trees learn from the labelled ones what a blocked URL looks like and judge
 the others. Features are lexical: lengths, depth, digit ratio, entropy of the characters,
-parameters, and how often URLs of the same suffix (last part of the host) are blocked, shrunk
-towards the overall share. Suffix statistics are counted over all labelled URLs, less the URL's
-own label. The trees are fitted on a sample of about ``SAMPLE`` labelled URLs, chosen by hash;
-every URL is judged. Without labels of both kinds, the one kind there is decides; without any, allow.
+parameters of the query part, and how often URLs of the same registered suffix, and of the same parent host below it,
+are blocked, each shrunk towards the share of the next larger whole. These statistics are counted over
+all labelled URLs, less the URL's own label. The registered suffix is the last part of the host, or the last two
+where a country's two letters follow a part of at most three (``co.uk``); the parent host has one part more.
+
+The trees are fitted on a sample of distinct labelled URLs, chosen by hash: about ``SAMPLE / 2`` of either
+kind, all of a kind that has fewer. Every URL is judged. Without labels of both kinds, the one
+kind there is decides; without any, allow.
 
 A null URL, or one without ``://``, has an empty host and path, fits no rule and is judged by the
 trees. Equal rows get equal verdicts. An empty table gives an empty result. Very long URLs are taken whole.
@@ -34,7 +38,10 @@ RULES = [
 SAMPLE, TREES, DEPTH, SEED = 20_000, 10, 4, 42
 #: Labelled URLs that the overall block share stands for in a suffix's share.
 PRIOR = 20.0
-FEATURES = ["n_chars", "host_chars", "path_chars", "host_parts", "depth", "digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate"]
+FEATURES = [
+    "n_chars", "host_chars", "path_chars", "host_parts", "depth", "digit_ratio", "hyphens", "entropy", "parameters", "parameter_chars", "fragment",
+    "suffix_rate", "parent_rate",
+]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -72,6 +79,10 @@ def lexical(urls: DataFrame) -> DataFrame:
     times = F.transform(
         F.array_distinct(F.split("url", "")), lambda c: F.when(c == "", 0).otherwise(F.length("url") - F.length(F.replace("url", c, F.lit(""))))
     )
+    query = F.regexp_extract("url", r"^[^?#]*\?([^#]*)", 1)
+    parts = F.split("host", r"\.")
+    country = (F.length(F.element_at(parts, -1)) == 2) & (F.length(F.get(parts, F.size(parts) - 2)) <= 3)
+    wide = F.when((F.size(parts) > 2) & country, 2).otherwise(1)
     entropy = F.aggregate(times, F.lit(0.0), lambda total, n: total - F.when(n > 0, n / size * F.log2(n / size)).otherwise(0.0))
     return urls.withColumns(
         {
@@ -83,20 +94,38 @@ def lexical(urls: DataFrame) -> DataFrame:
             "digit_ratio": _count("url", "0-9") / size,
             "hyphens": _count("url", "-"),
             "entropy": entropy,
-            "parameters": _count("url", "&=") ,
+            "parameters": F.size(F.array_remove(F.split(query, "&"), "")).cast("double"),
+            "parameter_chars": F.length(query).cast("double"),
             "fragment": F.contains("url", F.lit("#")).cast("double"),
-            "suffix": F.substring_index("host", ".", -1),
+            "suffix": F.array_join(F.slice(parts, -wide, wide), "."),
+            "parent": F.array_join(F.slice(parts, -F.least(wide + 1, F.size(parts)), wide + 1), "."),
         }
     )
 
 
-def _with_suffix_rate(urls: DataFrame) -> DataFrame:
-    """Adds the share of blocked URLs among the other labelled ones of the suffix, shrunk."""
-    totals = urls.groupBy("suffix").agg(F.count("label").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
+def _with_rates(urls: DataFrame) -> DataFrame:
+    """Adds the shares of blocked URLs among the other labelled ones of the suffix and of the parent host, shrunk."""
     overall = urls.agg(F.avg("label")).first()[0] or 0.0  # one row
     own, mine = F.col("label").isNotNull().cast("int"), F.coalesce("label", F.lit(0))
-    rate = (F.col("blocked") - mine + overall * PRIOR) / (F.col("n") - own + PRIOR)
-    return urls.join(totals, "suffix").withColumn("suffix_rate", rate)
+    towards = F.lit(overall)
+    for name in ("suffix", "parent"):
+        totals = urls.groupBy(F.col(name).alias("of")).agg(F.count("label").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
+        # Written, so that a suffix of very many URLs is split by the join that follows.
+        totals = stored(totals, "url-rates")
+        rate = (F.col("blocked") - mine + towards * PRIOR) / (F.col("n") - own + PRIOR)
+        urls = urls.join(totals, F.col(name) == F.col("of")).withColumn(f"{name}_rate", rate).drop("of", "n", "blocked")
+        towards = F.col(f"{name}_rate")
+    return urls
+
+
+def training_sample(urls: DataFrame, sample: int) -> DataFrame:
+    """About ``sample / 2`` distinct labelled URLs of either kind, those of least hash; all of a kind that has fewer."""
+    labelled = urls.filter(F.col("label").isNotNull()).withColumn("place", F.pmod(F.xxhash64("url"), F.lit(1 << 30)))
+    counts = labelled.groupBy("label").agg(F.count_distinct(F.xxhash64("url")).alias("n")).collect()  # two rows
+    cut = F.lit(0)
+    for r in counts:
+        cut = F.when(F.col("label") == r["label"], F.lit(min(1 << 30, sample * (1 << 29) // r["n"]))).otherwise(cut)
+    return labelled.filter(F.col("place") < cut).dropDuplicates(["url"])
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
@@ -108,16 +137,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: i
     if len(kinds) < 2:
         only = "block" if 1 in kinds else "allow"
         return rows.select("page_id", "host", "path", "rule", F.coalesce("fixed", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    rated = _with_suffix_rate(rows)
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rated)
-    steps = 1 << 30
-    share = min(1.0, sample / sum(kinds.values()))
-    chosen = vectors.filter(F.col("label").isNotNull() & (F.pmod(F.xxhash64("url", "page_id"), F.lit(steps)) < int(share * steps)))
+    rated = stored(_with_rates(rows), "url-rated")
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
-    train = chosen.select("label", "features").coalesce(4)
-    if train.select("label").distinct().count() < 2:  # a rare kind fell out of the sample: take all of it
-        train = vectors.filter(F.col("label").isNotNull()).select("label", "features")
-    judged = trees.fit(train).transform(vectors)
+    train = stored(training_sample(rated, sample).select("label", *FEATURES), "url-sample")
+    judged = trees.fit(vectors.transform(train)).transform(vectors.transform(rated))
     return judged.select(
         "page_id",
         "host",
