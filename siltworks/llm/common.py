@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -20,8 +21,8 @@ from siltworks.session import scratch_path
 BATCH_BYTES = 8_000_000
 # Bytes of a batch that are Python values at once.
 SLICE_BYTES = 4_000_000
-# Bits of a bitmap that keeps rows out of a shuffle: 2 MB, at most 512 rows of 4 KB.
-BITMAP_BITS = 1 << 24
+# Least and most bits of a bitmap that keeps rows out of a shuffle: 2 and 32 MB.
+BITMAP_BITS, MOST_BITS = 1 << 24, 1 << 28
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,6 +53,21 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+# Bytes of a text that are words at once.
+PIECE_BYTES = 1_000_000
+_BETWEEN_WORDS = re.compile(rb"[ \t-\r]")
+
+
+def word_pieces(data: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes that end before white space, so that no word is cut."""
+    at = 0
+    while at < len(data):
+        found = _BETWEEN_WORDS.search(data, at + size) if len(data) - at > size else None
+        end = found.start() if found else len(data)
+        yield data[at:end]
+        at = end
+
+
 def row_key(*columns: str) -> Column:
     """64-bit hash of the named columns. With doc_id it tells rows apart whose decisions may differ."""
     return F.xxhash64(*[F.col(c) for c in columns])
@@ -103,21 +119,30 @@ def _batch(rows: list[tuple], target: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), target.types)], schema=target)
 
 
-def bitmap_of(digests: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
-    """The bits of the 64-bit values in column ``digest``, at most ``bits / 32768`` rows of 4 KB."""
-    bit = F.pmod("digest", F.lit(bits))
-    return digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
+class Bitmap:
+    """The bits of a table's 64-bit values in column ``digest``, which keep other rows out of a shuffle.
+
+    It has 16 bits for each value, but no fewer than ``BITMAP_BITS`` and no more than ``MOST_BITS``, 32 MB: rows of 4 KB that
+    can be broadcast whatever the table. Up to 16 million values it lets one row in sixteen through by chance; beyond that more, half of
+    all rows at 180 million values, with the same result.
+    """
+
+    def __init__(self, digests: DataFrame):
+        wanted = 16 * digests.count()
+        self.bits = min(MOST_BITS, max(BITMAP_BITS, 1 << (wanted - 1).bit_length() if wanted else 0))
+        bit = F.pmod("digest", F.lit(self.bits))
+        self.rows = digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
 
 
-def maybe_in(rows: DataFrame, bitmap: DataFrame, wanted: bool = True, bits: int = BITMAP_BITS) -> DataFrame:
+def maybe_in(rows: DataFrame, bitmap: Bitmap, wanted: bool = True) -> DataFrame:
     """Rows whose ``digest`` has its bit set, with some others by chance; or the rows whose bit is not set.
 
-    The bitmap is broadcast: its size is fixed. Nulls count as not set.
+    Nulls count as not set.
     """
-    bit = F.pmod("digest", F.lit(bits))
+    bit = F.pmod("digest", F.lit(bitmap.bits))
     byte = F.conv(F.hex(F.expr("substring(bitmap, cast(bit_place div 8 + 1 as int), 1)")), 16, 10).cast("int")
     joined = rows.withColumn("bucket", F.bitmap_bucket_number(bit)).withColumn("bit_place", F.bitmap_bit_position(bit))
-    joined = joined.join(F.broadcast(bitmap), "bucket", "left")
+    joined = joined.join(F.broadcast(bitmap.rows), "bucket", "left")
     is_set = F.coalesce(F.call_function("shiftright", byte, F.expr("cast(bit_place % 8 as int)")).bitwiseAND(F.lit(1)), F.lit(0))
     return joined.filter(is_set == F.lit(int(wanted))).drop("bucket", "bit_place", "bitmap")
 
@@ -128,7 +153,7 @@ def without(docs: DataFrame, rejected: DataFrame, *columns: str) -> DataFrame:
     Only rows that a bitmap can't rule out are shuffled for the exact comparison.
     """
     rejected = stored(rejected.select(F.col("doc_id").alias("out_id"), F.col("row").alias("out_row")).distinct(), "rejected")
-    bitmap = bitmap_of(rejected.select(F.xxhash64("out_id", "out_row").alias("digest")))
+    bitmap = Bitmap(rejected.select(F.xxhash64("out_id", "out_row").alias("digest")))
     row = row_key(*columns)
     tagged = docs.select(F.struct("*").alias("own"), row.alias("row"), F.xxhash64(F.col("doc_id"), row).alias("digest"))
     near = maybe_in(tagged, bitmap).join(rejected, F.col("own.doc_id").eqNullSafe(F.col("out_id")) & (F.col("row") == F.col("out_row")), "left_anti")
@@ -144,10 +169,10 @@ def one_per_group(docs: DataFrame, found: DataFrame, group: str) -> DataFrame:
     staying = found.filter("kept").groupBy("doc_id", "row", group).agg(F.count(F.lit(1)).alias("n"))
     staying = stored(staying, "staying")
     several = staying.groupBy(group).agg(F.min("row").alias("first"), F.sum("n").alias("total")).filter("total > 1").drop("total")
-    several = stored(staying.join(several, group), "several")
+    several = stored(staying.join(stored(several, "several-groups"), group), "several")
     again = several.filter("row = first AND n > 1").select(F.col("doc_id").alias("again_id"), F.col("row").alias("again_row"))
     out = found.filter("NOT kept").select("doc_id", "row").unionByName(several.filter("row <> first OR n > 1").select("doc_id", "row"))
-    bitmap = bitmap_of(again.select(F.xxhash64("again_id", "again_row").alias("digest")))
+    bitmap = Bitmap(again.select(F.xxhash64("again_id", "again_row").alias("digest")))
     row = row_key("text")
     tagged = docs.select(F.struct("*").alias("own"), row.alias("row"), F.xxhash64(F.col("doc_id"), row).alias("digest"))
     least = maybe_in(tagged, bitmap).groupBy(F.col("own.doc_id").alias("doc_id"), "row").agg(F.min("own").alias("own"))

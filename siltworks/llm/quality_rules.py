@@ -4,7 +4,7 @@ Each document gets its counts and two verdicts on itself: the base rules, which
 it, and warnings (many symbols, repeated lines, odd word lengths). A host, here the column
 ``source``, is judged by the share of its documents that fail a rule or a warning. Shares of
 small hosts are shrunk towards all hosts by a beta prior whose mean and strength come from the
-hosts themselves (method of moments). On a host whose shrunk share exceeds ``HOST_LIMIT`` a
+hosts themselves (method of moments, hosts weighted by their documents, the spread that chance alone makes taken off). On a host whose shrunk share exceeds ``HOST_LIMIT`` a
 warning rejects a document as well; elsewhere it doesn't. A clean document stays on any host.
 
 Null text counts as empty: no words, so it fails. Null source is a host like any other. Equal
@@ -14,14 +14,18 @@ Whole texts are counted, of any length.
 
 from __future__ import annotations
 
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from io import BytesIO
 from itertools import count
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import map_rows, row_key, stored
+from siltworks.llm.common import map_rows, row_key, stored, word_pieces
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -29,6 +33,8 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT = 20, 30
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 15
 HOST_LIMIT = 0.5
+#: Windows that are compared at once.
+WINDOWS = 1_000_000
 #: Bounds of the prior's strength, in documents.
 WEAKEST, STRONGEST = 1.0, 10_000.0
 
@@ -41,34 +47,65 @@ WARNING = (
 BASE = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words"
 
 
-def repeated_words(words: list[bytes]) -> int:
-    """Words that lie in a three-word window found twice or more, the first one included."""
-    n = len(words) - 2
+def repeated_in(ids: np.ndarray, kinds: int) -> int:
+    """Words, given by their numbers below ``kinds``, that lie in a three-word window found twice or more, the first one included.
+
+    Windows are compared ``WINDOWS`` or so at a time, those of equal remainder together, so a long text needs no more memory for it.
+    """
+    n = len(ids) - 2
     if n < 2:
         return 0
-    numbers = dict(zip(set(words), count()))
-    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    kinds = len(numbers)
     if kinds < 2_000_000:  # three numbers fit 63 bits
-        windows = (ids[:-2] * kinds + ids[1:-1]) * kinds + ids[2:]
+        windows = (ids[:-2] * np.int64(kinds) + ids[1:-1]) * kinds + ids[2:]
     else:
-        pairs = np.unique(ids[:-1] * kinds + ids[1:], return_inverse=True)[1]
+        pairs = np.unique(ids[:-1] * np.int64(kinds) + ids[1:], return_inverse=True)[1]
         windows = pairs[:-1] * kinds + ids[2:]
-    _, which, times = np.unique(windows, return_inverse=True, return_counts=True)
-    again = times[which] > 1
-    covered = np.zeros(len(words), bool)
-    for k in range(3):
-        covered[k : k + n] |= again
+    covered, passes = np.zeros(len(ids), bool), -(-n // WINDOWS)
+    for k in range(passes):
+        places = np.flatnonzero(windows % passes == k) if passes > 1 else np.arange(n)
+        some = windows[places]
+        order = np.argsort(some, kind="stable")
+        same = some[order][1:] == some[order][:-1]
+        again = np.zeros(len(some), bool)
+        again[order[1:][same]] = again[order[:-1][same]] = True
+        for step in range(3):
+            covered[places[again] + step] = True
     return int(covered.sum())
 
 
+def repeated_words(words: list[bytes]) -> int:
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return repeated_in(np.array([numbers[w] for w in words], np.int32), len(numbers))
+
+
+def duplicate_lines(data: bytes) -> tuple[int, int]:
+    """Lines with a word, and how many of them equal an earlier one.
+
+    Lines are told apart by a hash; only lines whose hash comes twice are kept and compared as they are.
+    """
+    hashes = array("Q", (xxhash.xxh64_intdigest(line) for line in _lines(data)))
+    seen, times = np.unique(np.frombuffer(hashes, np.uint64), return_counts=True) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    twice = set(seen[times > 1].tolist())
+    distinct = {line for line, h in zip(_lines(data), hashes) if h in twice} if twice else set()
+    return len(hashes), int(times[times > 1].sum()) - len(distinct)
+
+
+def _lines(data: bytes) -> Iterator[bytes]:
+    """Lines with a word, without their line end."""
+    return (line.removesuffix(b"\n") for line in BytesIO(data) if not line.isspace())
+
+
 def counts(text: str | None) -> tuple[int, int, int, int, int, int]:
     text = text or ""
     data = text.encode()
-    words = data.split()
-    lines = [line for line in data.split(b"\n") if line.strip()]
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
+    ids = array("i")
+    for piece in word_pieces(data):
+        ids.extend(map(numbers.__getitem__, piece.split()))
     word_chars = len(text) - sum(map(text.count, SPACE))
-    return len(words), word_chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words), len(lines)
+    n_lines, n_dup_lines = duplicate_lines(data)
+    words = np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32)
+    return len(ids), word_chars, sum(map(text.count, SYMBOLS)), n_dup_lines, repeated_in(words, len(numbers)), n_lines
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -85,15 +122,28 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
+def prior(hosts: int, documents: int, failed: int, squares: float, failed_squares: float) -> tuple[float, float]:
+    """Mean and strength of the beta prior from sums over hosts of 1, n, failed, n * n and failed * failed / n.
+
+    Shares of hosts spread by chance as well: that part, as large as it is on hosts that all fail alike,
+    is taken off before what is left is read as the hosts' own difference.
+    """
+    mean = failed / documents if documents else 0.0
+    chance = mean * (1 - mean)
+    spread = failed_squares - mean * failed - chance * (hosts - 1)
+    most = chance * (documents - squares / documents - (hosts - 1)) if documents else 0.0
+    if spread <= 0 or most <= 0:
+        return mean, STRONGEST
+    return mean, min(max(most / spread - 1, WEAKEST), STRONGEST)
+
+
 def host_rates(measured: DataFrame) -> DataFrame:
     """(source, n, failed, rate): the shrunk share of failing documents of every host."""
     hosts = measured.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.sum((F.col("base_failed") | F.col("warned")).cast("bigint")).alias("failed")
     )
-    share = F.col("failed") / F.col("n")
-    mean, spread = hosts.agg(F.avg(share), F.var_samp(share)).first()  # one row
-    mean, spread = mean or 0.0, spread or 0.0
-    strength = min(max(mean * (1 - mean) / spread - 1, WEAKEST), STRONGEST) if spread > 0 else STRONGEST
+    sums = hosts.agg(F.count(F.lit(1)), F.sum("n"), F.sum("failed"), F.sum(F.col("n") * F.col("n").cast("double")), F.sum(F.col("failed") * F.col("failed") / F.col("n")))
+    mean, strength = prior(*(v or 0 for v in sums.first()))  # one row
     rate = (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
     return hosts.withColumn("rate", rate)
 
@@ -144,10 +194,14 @@ WITH d AS (
 ), h AS (
   SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR warned) AS failed FROM j GROUP BY source
 ), p AS (
-  SELECT avg(failed / n) AS mean, coalesce(var_samp(failed / n), 0) AS spread FROM h
+  SELECT sum(failed) / sum(n) AS mean, sum(failed) / sum(n) * (1 - sum(failed) / sum(n)) AS chance, count(*) - 1 AS others,
+    sum(failed) AS failures, sum(n) AS documents, sum(CAST(n AS DOUBLE) * n) AS squares, sum(failed * failed / n) AS failed_squares
+  FROM h
+), q AS (
+  SELECT mean, failed_squares - mean * failures - chance * others AS spread, chance * (documents - squares / documents - others) AS most FROM p
 ), s AS (
-  SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, {WEAKEST}), {STRONGEST}) ELSE {STRONGEST} END AS strength
-  FROM p
+  SELECT mean, CASE WHEN spread > 0 AND most > 0 THEN least(greatest(most / spread - 1, {WEAKEST}), {STRONGEST}) ELSE {STRONGEST} END AS strength
+  FROM q
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR (warned AND (failed + mean * strength) / (n + strength) > {HOST_LIMIT})) AS kept
