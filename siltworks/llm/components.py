@@ -18,16 +18,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Edges (a, b) join two nodes, in either order and as often as they come. Each round links
     the larger neighbours of a node, then its smaller ones, to the least among them, until the
-    edges are stars. Minima are taken before the shuffle, and rounds are written tables.
+    edges are stars. Minima are taken before the shuffle and written before they are joined, so that Spark
+    can split the edges of a node that has very many. Rounds are written tables.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = stored(edges.select(high.alias("a"), low.alias("b")).filter("a > b").distinct(), name)
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), name)
+        large = stored(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(least, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), name)
         before, state = state, _state(edges)

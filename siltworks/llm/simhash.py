@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import map_rows, row_key, stored
+from siltworks.llm.common import map_rows, row_key, stored, word_pieces
 from siltworks.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -45,22 +45,30 @@ FOREST_ROWS, PAIRS = 200_000, 100_000
 _BIT = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.int64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
+def _bits(words: list[bytes], shingle: int) -> np.ndarray:
+    """How many hashes of the words' shingles have each bit set; at least one shingle."""
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     ends = np.cumsum(sizes) - 1
     starts = ends - sizes + 1
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist())]
+    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
     octets = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8).astype(np.int64)
     seen = np.bincount((octets + 256 * np.arange(8)).ravel(), minlength=2048).reshape(8, 256)
-    set_bits = (seen @ _BIT).ravel() * 2 > len(hashes)
-    return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
+    return (seen @ _BIT).ravel()
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint of a text, taken piece by piece: bits are counted as it goes on, and the last words of a piece open the next."""
+    set_bits, n, words = np.zeros(64, np.int64), 0, []
+    for piece in word_pieces((text or "").encode()):
+        words = words + piece.lower().split()
+        if len(words) >= shingle:
+            set_bits, n = set_bits + _bits(words, shingle), n + len(words) - shingle + 1
+            words = words[len(words) - shingle + 1 :]
+    if not n:
+        return xxhash.xxh64_intdigest(b" ".join(words), SEED) if words else 0
+    return int(np.packbits(set_bits * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -280,9 +288,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), max_bits), "simhash-components").withColumnsRenamed({"node": "fp"})
-    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = placed.join(placed.groupBy("root").agg(F.min("first").alias("component_id")), "root")
-    return prints.join(named.select("fp", "component_id", "root"), "fp")
+    placed = stored(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-placed")
+    # Written before they are joined, so that a root or a fingerprint of very many rows is split.
+    least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
+    named = stored(placed.join(least, "root").select("fp", "component_id", "root"), "simhash-named")
+    return prints.join(named, "fp")
 
 
 def query(docs: DataFrame) -> DataFrame:
