@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bitmap_of, maybe_in, stored
+from siltworks.llm.common import Bitmap, maybe_in, stored
 
 # Words of a window.
 N = 10
@@ -97,7 +97,7 @@ def occurrences(
         kept = met.filter((F.col("place") == -1) | (F.col("window").isNotNull() & (own == F.col("tokens"))))
         return stored(kept.select(*columns, "window"), "occurrences")
     marked = places.filter("place = -1").select(*columns, F.lit(None).cast("bigint").alias("window"))
-    near = maybe_in(places.filter("place >= 0"), bitmap_of(found.select("digest"))).select(*columns, "digest", own.alias("own"))
+    near = maybe_in(places.filter("place >= 0"), Bitmap(found.select("digest"))).select(*columns, "digest", own.alias("own"))
     met = near.join(listed, (F.col("digest") == F.col("window_digest")) & (F.col("own") == F.col("tokens")))
     return stored(marked.unionByName(met.drop("digest", "own", "window_digest", "tokens")), "occurrences")
 

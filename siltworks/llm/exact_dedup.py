@@ -10,7 +10,7 @@ Digests that any screen lets through are suspects. The texts of suspect rows mee
 buckets and are grouped by their bytes, after grouping within each task, so that a group of
 copies of any size sends one row per task. Digests decide nothing by themselves: a false
 positive or a collision leaves groups of one. To keep other texts where they are, rows are first
-tested against a bitmap of the suspects, of fixed size; a full bitmap lets all through and
+tested against a bitmap of the suspects, of bounded size; a full bitmap lets all through and
 changes no result.
 
 Null text counts as empty, and empty texts are equal. Of equal texts the rows with the smallest
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bitmap_of, maybe_in, row_key, ship, stored
+from siltworks.llm.common import Bitmap, maybe_in, row_key, ship, stored
 
 BATCHES = 3
 #: Digests in a shard of a filter, about.
@@ -175,7 +175,7 @@ def dedupe(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         "dedup-digests",
     )
     found = stored(suspects(rows, batches), "dedup-suspects")
-    near = maybe_in(text.withColumn("digest", digest), bitmap_of(found))
+    near = maybe_in(text.withColumn("digest", digest), Bitmap(found))
     equal = (
         near.groupBy("digest", "norm")
         .agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("size"))

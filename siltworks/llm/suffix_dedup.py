@@ -1,44 +1,50 @@
-"""Repeated passages, by a logarithmic family of window-minimum indexes of hashes, in place of suffix arrays.
+"""Repeated passages, by a logarithmic family of sparse suffix arrays.
 
-Every byte that lies in a ``SPAN``-byte string which also starts elsewhere is removed. No
-suffix order is kept; only anchors are indexed, by hash: the anchor of a window of SPAN bytes is the place of
-its least ``GRAM``-byte hash, the first if several are equal. Equal windows have equal anchors,
-so windows are compared only where their anchors' hashes are equal. A posting is an anchor with
+Every byte that lies in a ``SPAN``-byte string which also starts elsewhere is removed. The suffix arrays
+are sparse: they hold the suffixes that begin at anchors. The anchor of a window of SPAN bytes is the place of
+its least ``GRAM``-byte hash, the first if several are equal. Equal windows have their anchors at
+the same place in them, so a match of SPAN bytes holds equal suffixes of GRAM bytes at least, and is found from these. A posting is an anchor with
 the run of windows it stands for, and a hash of all bytes they cover (its context).
 
-Index: documents come in batches. A batch gets its own level: the distinct hashes of its
-anchors in order, with their number. It is merge-scanned (joined on the hash) against every
-level that exists; hashes found in both, or more than once in the batch, are matches. Two levels
-of equal size are merged before the next batch comes, so n batches leave about log n levels.
+Index: documents come in batches. A batch gets a level of its own: its suffixes, cut to GRAM bytes, in the order of their
+bytes, equal neighbours as one with their number. It is merge-scanned (a sort-merge join of tables bucketed and sorted
+by suffix, without a shuffle) against every level that exists; suffixes found in both, or more than once in the batch, are matches. Two levels
+of equal size are merged before the next batch comes, so n batches leave about log n levels. An
+index may be kept in a folder: a later call goes on with its levels and does not index earlier documents again.
 
-Matches are then checked in full. Postings of equal context repeat as a whole. For hashes with
+Matches are then checked in full. Postings of equal context repeat as a whole. For suffixes with
 several contexts the bytes of one posting per context are fetched and their windows compared
-byte by byte. A hash with over ``HOT`` contexts isn't gathered in one task: blocks of windows, and
-the windows of blocks that repeat in part, are grouped by their own 128-bit hashes instead.
+byte by byte. A suffix with over ``HOT`` contexts isn't gathered in one task: blocks of windows, and
+the windows of blocks that repeat in part, are grouped by their own 128-bit hashes instead. Contexts are told apart by
+64 bits of hash within a suffix that itself is named by 64 bits, 128 together, wherever they are grouped.
 
 Copies of one text are indexed once; a text of SPAN bytes or more that occurs twice is removed
 wholly. Null text counts as empty. Texts below SPAN bytes stay. Matches never cross documents.
-An empty table gives an empty result.
+An empty table gives an empty result. Texts are taken whole, long ones in pieces that overlap.
 """
 
 from __future__ import annotations
 
 import json
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import bitmap_of, map_rows, maybe_in, release, ship, slices, stored
+from siltworks.llm.common import Bitmap, map_rows, maybe_in, release, ship, slices, stored
+from siltworks.session import scratch_path
 
 SPAN, GRAM = 200, 64
 _WINDOW = SPAN - GRAM + 1  # grams in a window; fits a byte
 BATCHES, HOT = 3, 1000
 GRAIN = 16
+POSTINGS = "suffix binary, key bigint, context bigint, t bigint, place bigint"
 _PAIR = struct.Struct("<qq")
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -64,16 +70,27 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
+# Windows of a text that are looked at at once.
+WINDOWS = 1 << 18
+
+
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """(hash, place, first window, last window) of every anchor, in order."""
+    """(hash, place, first window, last window) of every anchor, in order; long texts go in pieces that overlap."""
     if len(data) < SPAN:
         return None
-    h = gram_hashes(np.frombuffer(data, np.uint8))
-    ranked = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
-    at = (sliding_least(ranked, _WINDOW) & _LOW).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    last = np.append(first[1:], len(at)) - 1
-    return h[at[first]].view(np.int64), at[first], first, last
+    octets, found = np.frombuffer(data, np.uint8), []
+    for begin in range(0, len(data) - SPAN + 1, WINDOWS):
+        h = gram_hashes(octets[begin : begin + WINDOWS + SPAN - 1])
+        ranked = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
+        at = (sliding_least(ranked, _WINDOW) & _LOW).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        last = np.append(first[1:], len(at)) - 1
+        found.append((h[at[first]].view(np.int64), at[first] + begin, first + begin, last + begin))
+    key, at, first, last = (np.concatenate(c) for c in zip(*found))
+    # A run of windows that goes on over the end of a piece is one.
+    opens = np.concatenate([[True], at[1:] != at[:-1]])
+    closes = np.append(opens[1:], True)
+    return key[opens], at[opens], first[opens], last[closes]
 
 
 def _open(place: int) -> tuple[int, int]:
@@ -82,13 +99,13 @@ def _open(place: int) -> tuple[int, int]:
 
 
 def postings(texts: DataFrame) -> DataFrame:
-    """(key, context, t, place) of every anchor in (t, text); a text is taken once per task."""
+    """(suffix, key, context, t, place) of every anchor in (t, text); key is a hash of the suffix. A text is taken once per task."""
     ship(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         seen: set[int] = set()
-        names = ["key", "context", "t", "place"]
+        names = ["suffix", "key", "context", "t", "place"]
         for batch in (part for whole in batches for part in slices(whole)):
             held: list[tuple] = []
             for t, text in zip(batch["t"].to_pylist(), batch["text"].to_pylist()):
@@ -100,33 +117,111 @@ def postings(texts: DataFrame) -> DataFrame:
                 key, at, first, last = found
                 spans = zip(first.tolist(), (last + SPAN).tolist())
                 context = np.array([xxhash.xxh64_intdigest(data[a:b]) for a, b in spans], np.uint64).view(np.int64)
-                held.append((key, context, np.full(len(key), t), (at << 16) | ((at - first) << 8) | (last - first)))
+                suffixes = pa.array([data[a : a + GRAM] for a in at.tolist()], pa.binary())
+                held.append((key, context, np.full(len(key), t), (at << 16) | ((at - first) << 8) | (last - first), suffixes))
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+                *columns, suffixes = zip(*held)
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(suffixes), *(pa.array(np.concatenate(c)) for c in columns)], names=names)
+
+    return texts.mapInArrow(run, POSTINGS)
 
-    return texts.mapInArrow(run, "key bigint, context bigint, t bigint, place bigint")
+
+def _named(spark: SparkSession, name: str) -> DataFrame:
+    """A table that knows its buckets. Its name is given up at once; the files, which lie elsewhere, stay."""
+    df = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return df
 
 
 class SuffixIndex:
-    """Levels of the index: (batches in it, table of (key, n))."""
+    """Levels of the index, (batches in it, sorted table of (suffix, key, n)), and the postings behind them.
+
+    With a ``folder``, in a place that all executors share, the index is noted there after every batch and can be opened again.
+    """
 
-    def __init__(self):
+    def __init__(self, folder: str | None = None, spark: SparkSession | None = None):
+        self.folder = folder
+        self.seed: int | None = None
         self.levels: list[tuple[int, DataFrame]] = []
+        self.postings: list[DataFrame] = []
+        self._paths: dict[int, str] = {}
+        self._notes = 0
+        if folder and spark:
+            self._open(spark)
+
+    def _path(self, spark: SparkSession, name: str) -> str:
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}" if self.folder else scratch_path(spark, f"llm-{name}")
+
+    def _write(self, array: DataFrame) -> DataFrame:
+        """A sorted level. It has as many buckets as the grouping before it has partitions, so its files need no shuffle."""
+        spark = array.sparkSession
+        buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), self._path(spark, "suffix-level")
+        name = f"llm_suffixes_{uuid.uuid4().hex}"
+        array.write.bucketBy(buckets, "suffix").sortBy("suffix").option("path", path).saveAsTable(name)
+        level = _named(spark, name)
+        self._paths[id(level)] = f"{buckets} {path}"
+        return level
 
     def add(self, posted: DataFrame) -> DataFrame:
-        """Takes a batch of postings in; keys that it shares with the index or holds twice."""
+        """Takes a batch of postings in; keys of suffixes that it shares with the index or holds twice."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, young), (_, old) = self.levels.pop(), self.levels.pop()
-            both = young.unionByName(old).groupBy("key").agg(F.sum("n").alias("n"))
-            self.levels.append((2 * size, stored(both.sortWithinPartitions("key"), "suffix-level")))
-        array = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        array = stored(array.sortWithinPartitions("key"), "suffix-level")
+            both = young.unionByName(old).groupBy("suffix").agg(F.min("key").alias("key"), F.sum("n").alias("n"))
+            self.levels.append((2 * size, self._write(both)))
+        array = self._write(posted.groupBy("suffix").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")))
         found = array.filter("n > 1").select("key")
         for _, level in self.levels:
-            found = found.unionByName(array.join(level.select("key"), "key", "left_semi").select("key"))
+            found = found.unionByName(array.join(level.select("suffix"), "suffix", "left_semi").select("key"))
         self.levels.append((1, array))
         return found
 
+    def take(self, texts: DataFrame) -> DataFrame:
+        """Indexes a batch of (t, text): its postings are stored, its array is added; matching keys as ``add`` gives them."""
+        path = self._path(texts.sparkSession, "suffix-postings")
+        posted = postings(texts)
+        posted.write.parquet(path)
+        posted = texts.sparkSession.read.schema(posted.schema).parquet(path)
+        self._paths[id(posted)] = path
+        found = self.add(posted)
+        self.postings.append(posted)
+        return found
+
+    def note(self) -> None:
+        """Writes down what the index consists of, for a later call."""
+        if self.folder:
+            rows = [("level", size, self._paths[id(level)]) for size, level in self.levels]
+            rows += [("postings", 0, self._paths[id(posted)]) for posted in self.postings] + [("seed", self.seed or 0, "")]
+            spark = SparkSession.active()
+            spark.createDataFrame(rows, "kind string, size int, path string").coalesce(1).write.parquet(f"{self.folder}/index/note={self._notes + 1}")
+            self._notes += 1
+
+    def _open(self, spark: SparkSession) -> None:
+        try:
+            notes = spark.read.parquet(f"{self.folder}/index")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        self._notes = notes.agg(F.max("note")).first()[0]
+        # A row per level, batch and index.
+        for r in sorted(notes.filter(F.col("note") == self._notes).collect(), key=lambda r: -r["size"]):
+            if r["kind"] == "seed":
+                self.seed = r["size"]
+            elif r["kind"] == "postings":
+                posted = spark.read.schema(POSTINGS).parquet(r["path"])
+                self._paths[id(posted)] = r["path"]
+                self.postings.append(posted)
+            else:
+                buckets, path = r["path"].split(" ", 1)
+                name = f"llm_suffixes_{uuid.uuid4().hex}"
+                spark.sql(
+                    f"CREATE TABLE {name} (suffix BINARY, key BIGINT, n BIGINT) USING parquet "
+                    f"CLUSTERED BY (suffix) SORTED BY (suffix) INTO {buckets} BUCKETS LOCATION '{path}'"
+                )
+                level = _named(spark, name)
+                self._paths[id(level)] = r["path"]
+                self.levels.append((r["size"], level))
+
 
 def _windows(data: bytes, place: int) -> list[bytes]:
     return [data[i : i + SPAN] for i in range((place & 255) + 1)]
@@ -242,22 +337,24 @@ def _keyed(docs: DataFrame, seed: int) -> tuple[DataFrame, Column]:
     return docs.select(F.xxhash64(F.lit(seed), text).alias("t"), text.alias("text")), text
 
 
-def _texts(docs: DataFrame) -> tuple[int, DataFrame]:
+def _texts(docs: DataFrame, fixed: int | None) -> tuple[int, DataFrame]:
     """A seed under which no two texts share a 64-bit name, and the texts that occur twice: (t, n, bytes)."""
-    seed = 0
+    seed = fixed or 0
     while True:
         keyed, text = _keyed(docs, seed)
         named = keyed.select("t", F.xxhash64(F.lit("other"), "text").alias("o"), F.octet_length("text").cast("bigint").alias("bytes"))
         copies = stored(named.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes"), F.min("o").alias("a"), F.max("o").alias("z")).filter("n > 1"), "suffix-copies")
         if copies.filter("a <> z").isEmpty():
             return seed, copies.select("t", "n", "bytes")
+        if fixed is not None:
+            raise ValueError("two texts share a name under the index's seed: index all documents anew")
         seed += 1
 
 
 def _fetch(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, single, t, place, data) for wanted (key, single, t, place): the bytes a posting stands for."""
     lists = wanted.groupBy("t").agg(F.collect_list(F.struct("key", "single", "place")).alias("wanted"))
-    near = maybe_in(keyed.withColumnRenamed("t", "digest"), bitmap_of(wanted.select(F.col("t").alias("digest"))))
+    near = maybe_in(keyed.withColumnRenamed("t", "digest"), Bitmap(wanted.select(F.col("t").alias("digest"))))
     once = near.select(F.col("digest").alias("t"), "text").join(lists, "t")
     ship(keyed.sparkSession)
     # Copies of a text yield the same rows, one for each: keep one.
@@ -267,20 +364,32 @@ def _fetch(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("w.key", "w.single", "t", "w.place", F.substr("data", first + 1, size).alias("data")).dropDuplicates(["key", "t", "place"])
 
 
-def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> tuple[int, DataFrame, DataFrame]:
-    """(seed of text names, texts that occur twice, (t, start, stop) of repeated strings in the others)."""
-    seed, copies = _texts(docs)
-    keyed, _ = _keyed(docs, seed)
-    index, posted, found = SuffixIndex(), None, None
+def repeated_spans(
+    docs: DataFrame, batches: int = BATCHES, hot: int = HOT, index: SuffixIndex | None = None, earlier: DataFrame | None = None
+) -> tuple[int, DataFrame, DataFrame]:
+    """(seed of text names, texts that occur twice, (t, start, stop) of repeated strings in the others).
+
+    ``earlier`` are the documents that the index holds already.
+    """
+    index = index or SuffixIndex()
+    texts = docs.select("text") if earlier is None else docs.select("text").unionByName(earlier.select("text"))
+    seed, copies = _texts(texts, index.seed)
+    index.seed = seed
+    keyed, new = _keyed(texts, seed)[0], _keyed(docs, seed)[0]
+    if earlier is not None:  # a text that is indexed already brings nothing new
+        new = new.join(stored(_keyed(earlier, seed)[0].select("t").distinct(), "suffix-known"), "t", "left_anti")
+    found = None
     for batch in range(batches):
-        own = stored(postings(keyed.filter(F.pmod(F.shiftright("t", 7), F.lit(batches)) == batch)), "suffix-postings")
         # Copies of a text in several tasks make matches of their own; they are made one below.
-        matched = index.add(own)
-        posted = own if posted is None else posted.unionByName(own)
+        matched = index.take(new.filter(F.pmod(F.shiftright("t", 7), F.lit(batches)) == batch))
         found = matched if found is None else found.unionByName(matched)
+    posted = index.postings[0].drop("suffix")
+    for other in index.postings[1:]:
+        posted = posted.unionByName(other.drop("suffix"))
+    index.note()
     keys = stored(found.distinct(), "suffix-keys")
     # Copies of a posting stay until the contexts are counted: a join with nothing behind it is one that Spark splits.
-    near = maybe_in(posted.withColumnRenamed("key", "digest"), bitmap_of(keys.select(F.col("key").alias("digest"))))
+    near = maybe_in(posted.withColumnRenamed("key", "digest"), Bitmap(keys.select(F.col("key").alias("digest"))))
     near = near.withColumnRenamed("digest", "key").join(keys, "key", "left_semi")
     near = stored(near, "suffix-matches")
 
@@ -289,7 +398,7 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES, hot: int = HOT) -> t
     whole = near.join(contexts.filter("n > 1"), ["key", "context"], "left_semi").select(
         "t", first.alias("start"), (first + F.col("place").bitwiseAND(F.lit(255)) + SPAN).alias("stop")
     )
-    mixed = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    mixed = stored(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "suffix-mixed")
     wanted = stored(
         contexts.join(mixed, "key").select("key", (F.col("n") == 1).alias("single"), "at.t", "at.place", (F.col("kinds") > hot).alias("hot")),
         "suffix-wanted",
@@ -315,19 +424,29 @@ def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, list[bytes]]:
     return runs, kept
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, hot: int = HOT, with_left: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    batches: int = BATCHES,
+    hot: int = HOT,
+    with_left: bool = False,
+    index: SuffixIndex | None = None,
+    earlier: DataFrame | None = None,
+) -> DataFrame:
     """(own, n_bytes, n_spans, kept): each row of ``docs`` as a struct, and its remaining bytes.
 
+    With an ``index`` and the ``earlier`` documents that it holds, strings that also start in those are removed as well;
+    earlier documents are not indexed again, and only the texts of theirs that match are read for their bytes.
+
     ``with_left`` adds ``left``: the same as text, without the parts of characters at the ends of each piece.
     """
-    seed, copies, spans = repeated_spans(docs, batches, hot)
+    seed, copies, spans = repeated_spans(docs, batches, hot, index, earlier)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("own"), F.xxhash64(F.lit(seed), text).alias("digest"), text.alias("text"))
     lists = spans.groupBy("t").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     twice = copies.filter(F.col("bytes") >= SPAN).select("t", "bytes")
     changes = twice.select("t", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("bytes").alias("stop"))).alias("spans"))
     changes = stored(lists.join(twice, "t", "left_anti").unionByName(changes), "suffix-changes")
-    bitmap = bitmap_of(changes.select(F.col("t").alias("digest")))
+    bitmap = Bitmap(changes.select(F.col("t").alias("digest")))
     data = F.encode("text", "utf-8")
     same = maybe_in(rows, bitmap, wanted=False).select(
         "own", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_spans"), data.alias("kept"),

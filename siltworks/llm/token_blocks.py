@@ -133,7 +133,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ordered = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(int(parts), F.col("doc_id").asc_nulls_first())
+        # The beginning of the text splits documents of one id, or of none; it sorts as the text does.
+        .repartitionByRange(int(parts), F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 64))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     )
     end, run = np.uint32(end_id).tobytes(), uuid.uuid4().hex

@@ -1,8 +1,11 @@
 """Exact and suffix-array deduplication, and quality rules, against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -67,12 +70,100 @@ def test_repeats(spark, messy, texts, batches, hot):
 def test_levels_merge_geometrically(spark):
     index = suffix_dedup.SuffixIndex()
     for i in range(7):
-        rows = [(k, 0, i, 0) for k in range(i, i + 3)]
-        found = index.add(spark.createDataFrame(rows, "key bigint, context bigint, t bigint, place bigint"))
+        rows = [(b"%03d" % k, k, 0, i, 0) for k in range(i, i + 3)]
+        found = index.add(spark.createDataFrame(rows, suffix_dedup.POSTINGS))
         assert sorted({r["key"] for r in found.collect()}) == ([] if not i else [k for k in range(i, i + 3) if k < i + 2])
     assert [size for size, _ in index.levels] == [4, 2, 1]
 
 
+def test_levels_are_scanned_side_by_side(spark):
+    """A new array meets a level bucket by bucket: their files are merged without an exchange."""
+    index = suffix_dedup.SuffixIndex()
+    for i in range(2):
+        rows = [(b"%05d" % k, k, 0, i, 0) for k in range(i, 300, 2)]
+        index.add(spark.createDataFrame(rows, suffix_dedup.POSTINGS))
+    (_, old), (_, new) = index.levels
+    plan = new.join(old.select("suffix").hint("merge"), "suffix", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_seven_batches_over_a_stored_index(spark, tmp_path):
+    """Each batch opens what the one before has left, and loses what it shares with itself or any earlier document."""
+    rng = random.Random(21)
+    passages = [" ".join(rng.choice(["stone", "river", "walk", "éa", "of", "the"]) + str(rng.randint(0, 99)) for _ in range(60)) for _ in range(6)]
+    made, known = 0, []
+    for batch in range(7):
+        rows = []
+        for _ in range(5):
+            own = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(5, 80)))
+            rows.append((made, own + " " + rng.choice(passages) + " " + own[:40] if rng.random() < 0.7 else own))
+            made += 1
+        if batch == 3:
+            rows += [(made, known[0][1]), (made + 1, None), (made + 2, known[2][1][3:])]
+            made += 3
+        docs, earlier = (spark.createDataFrame(r, "doc_id bigint, text string") if r else None for r in (rows, known))
+        index = suffix_dedup.SuffixIndex(str(tmp_path / "index"), spark)
+        assert sum(size for size, _ in index.levels) == batch and len(index.postings) == batch
+        found = suffix_dedup.remove_repeats(docs, 1, index=index, earlier=earlier).collect()
+        wanted = covered([*rows, *known])[: len(rows)]
+        assert Counter((r["own"]["doc_id"], r["n_bytes"], r["n_spans"], bytes(r["kept"])) for r in found) == Counter((i, *c) for (i, _), c in zip(rows, wanted))
+        known += rows
+    assert [size for size, _ in index.levels] == [4, 2, 1]
+
+
+def test_anchors_in_pieces_are_those_of_the_whole(texts, monkeypatch):
+    whole = [suffix_dedup.anchors((t or "").encode()) for _, t in texts]
+    for size in (1, 137, 300):
+        monkeypatch.setattr(suffix_dedup, "WINDOWS", size)
+        for (_, t), want in zip(texts, whole):
+            if t and len(t) < 5000:
+                got = suffix_dedup.anchors(t.encode())
+                assert (got is None) == (want is None) and (got is None or all((a == b).all() for a, b in zip(got, want)))
+
+
+_LONG = """
+import resource, sys
+from siltworks.llm import quality_rules, simhash, suffix_dedup
+from siltworks.llm.chunk_encoder import library_encoder
+import public_tokenizers, random
+rng = random.Random(1)
+words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(50_000)]
+text = "".join(rng.choice(words) + rng.choice("    \\n") for _ in range(5_000_000))
+assert len(text) > 29_000_000
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+{call}
+grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+print(round(grown), file=sys.stderr)
+assert grown < {limit}, grown
+"""
+
+
+@pytest.mark.parametrize(
+    "call, limit",
+    [
+        ("simhash.fingerprint(text)", 240),
+        ("quality_rules.counts(text)", 480),
+        ("suffix_dedup.anchors(text.encode())", 240),
+        ('library_encoder(public_tokenizers.path("byte_bpe_50k.json"), True).encode(text)', 480),
+    ],
+)
+def test_a_text_of_thirty_megabytes_takes_bounded_memory(call, limit):
+    """Peak growth in MB, for a text of 30 MB: some times the text, not tens of times."""
+    code = _LONG.format(call=call, limit=limit)
+    done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))), capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+
+
+def test_windows_of_equal_remainder_are_compared_together(monkeypatch):
+    rng = random.Random(6)
+    lists = [[rng.choice([b"a", b"b", b"c", b"dd"]) for _ in range(n)] for n in (0, 1, 2, 3, 4, 7, 30, 200)]
+    whole = [quality_rules.repeated_words(words) for words in lists]
+    for n, words in zip(whole, lists):
+        assert n == plain_counts(b" ".join(words).decode())[4]
+    monkeypatch.setattr(quality_rules, "WINDOWS", 3)
+    assert [quality_rules.repeated_words(words) for words in lists] == whole
+
+
 def test_anchors_are_the_same_in_equal_windows():
     rng = random.Random(3)
     shared = bytes(rng.choices(b"abc ", k=500))

@@ -1,6 +1,7 @@
 """Language identification, licence scan and URL filter."""
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -8,8 +9,10 @@ from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from siltworks.llm import language_id, license_scan, url_filter
+from siltworks.llm import language_id, license_scan, quality_rules, url_filter
 from siltworks.llm.queries import op2_license_scan, op3_language_id, op6_url_filter
 
 SMALL = "/root/testdata/sf0.01"
@@ -75,7 +78,7 @@ def test_copies_and_texts_without_letters_take_no_place(spark, monkeypatch):
     assert seen == {"copied": 300, "letterless": 300, "plain": 300}
 
 
-def plain_scan(text):
+def plain_scan(text, templates=license_scan.TEMPLATES):
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
     places, labels = [], set()
@@ -86,10 +89,11 @@ def plain_scan(text):
                 places.append(i)
                 labels.add(label)
     best, more = 0.0, set()
-    for label, wording in license_scan.TEMPLATES:
+    for label, wording in templates:
         tokens = set(wording.split())
-        for s in range(0, len(words), license_scan.STEP):
-            share = len(tokens & set(words[s : s + license_scan.BLOCK])) / len(tokens)
+        step = max(32, len(wording.split()))
+        for s in range(0, len(words), step):
+            share = len(tokens & set(words[s : s + 2 * step])) / len(tokens)
             if share >= license_scan.THRESHOLD:
                 best, more = max(best, share), more | {label}
     score = 1.0 if places else best
@@ -118,6 +122,137 @@ def test_long_templates_match_wherever_they_lie(spark):
     assert found == {i: (templates[i % 3][0], 1.0) for i in range(len(lines))}
 
 
+def test_a_long_template_changes_nothing_for_short_ones(spark):
+    """Words of a short template far apart are no notice, whatever templates stand beside it."""
+    apart = "all " + "filler " * 149 + "rights " + "filler " * 149 + "reserved"
+    docs = spark.createDataFrame([(0, apart)], "doc_id bigint, text string")
+    long = ("long", " ".join(f"w{i}" for i in range(1500)))
+    for templates in ([("proprietary", "all rights reserved")], [("proprietary", "all rights reserved"), long]):
+        assert [(r["labels"], r["score"]) for r in license_scan.scan(docs, templates).collect()] == [("", 0.0)]
+
+
+def test_full_texts_with_words_left_out(spark):
+    """Whole licences within other text, some words lost or changed; fewer than four fifths of the words are no match."""
+    rng = random.Random(12)
+    lines = []
+    for label, wording in license_scan.TEMPLATES:
+        words = wording.split()
+        for kept in (1.0, 0.9, 0.5):
+            some = [w if rng.random() < kept else "changed" for w in words]
+            lines.append("filler " * rng.randint(0, 200) + "\n".join(" ".join(some[i : i + 9]) for i in range(0, len(some), 9)) + ", filler" * 50)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in license_scan.scan(docs).collect()}
+    assert found == {i: plain_scan(t) for i, t in enumerate(lines)}
+    assert all(label in found[3 * n][5].split(",") for n, (label, _) in enumerate(license_scan.TEMPLATES))
+
+
+def plain_features(url, host, path):
+    query = url.split("#")[0].partition("?")[2]
+    shares = [url.count(c) / len(url) for c in set(url)]
+    parts = host.split(".")
+    wide = 2 if len(parts) > 2 and len(parts[-1]) == 2 and len(parts[-2]) <= 3 else 1
+    return {
+        "n_chars": len(url),
+        "host_chars": len(host),
+        "path_chars": len(path),
+        "host_parts": len(parts),
+        "depth": path.count("/"),
+        "digit_ratio": sum(c in "0123456789" for c in url) / max(1, len(url)),
+        "hyphens": url.count("-"),
+        "entropy": -sum(s * math.log2(s) for s in shares),
+        "parameters": len([p for p in query.split("&") if p]),
+        "parameter_chars": len(query),
+        "fragment": "#" in url,
+        "suffix": ".".join(parts[-wide:]),
+        "parent": ".".join(parts[-wide - 1 :]),
+    }
+
+
+def test_url_features_equal_plain_ones(spark):
+    urls = ["http://a.example.org/x/y?b=1&c=2&&d#e?f=1", "https://WWW.Shop.co.uk/a-b/1", "http://x.com?", "", None, "no scheme", "ftp://h/é?ü=ö", "http://1.2.3.4/", "http://news.bbc.uk/#a=b&c"]
+    rows = url_filter.lexical(url_filter.parsed(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"))).collect()
+    for r in rows:
+        for name, value in plain_features(r["url"], r["host"], r["path"]).items():
+            assert r[name] == (value if isinstance(value, str) else pytest.approx(float(value), abs=1e-12)), (name, r["url"])
+
+
+def test_rates_leave_the_own_label_out(spark):
+    rows = [(i, f"http://{'ab'[i % 2]}{i % 4}.x{i % 3}.net/{i}", label) for i, label in enumerate([1, 0, 1, 1, None, 0, 0, 1, None, 1, 0, 1])]
+    urls = url_filter.lexical(url_filter.parsed(spark.createDataFrame(rows, "page_id bigint, url string, label int")).join(spark.createDataFrame(rows, "id bigint, u string, label int").drop("u"), F.col("page_id") == F.col("id")))
+    labels = [label for _, _, label in rows if label is not None]
+    overall, k = sum(labels) / len(labels), url_filter.PRIOR
+    of = {i: (u.split("/")[2].split(".")[-1], ".".join(u.split("/")[2].split(".")[-2:])) for i, u, _ in rows}
+
+    def rate(i, place, towards):
+        same = [label for j, _, label in rows if j != i and label is not None and of[j][place] == of[i][place]]
+        return (sum(same) + towards * k) / (len(same) + k)
+
+    for r in url_filter._with_rates(urls).collect():
+        suffix = rate(r["page_id"], 0, overall)
+        assert r["suffix_rate"] == pytest.approx(suffix) and r["parent_rate"] == pytest.approx(rate(r["page_id"], 1, suffix))
+
+
+def test_a_rare_kind_is_sampled_whole(spark):
+    """Three blocked URLs among a hundred thousand: all three are learned from, and of the others no more than the bound says."""
+    urls = spark.range(100_000).selectExpr("id AS page_id", "concat('http://h', id % 50000, '.net/') AS url", "int(id IN (7, 70, 700)) AS label")
+    sample = url_filter.training_sample(urls, 2000).groupBy("label").count().collect()
+    found = {r["label"]: r["count"] for r in sample}
+    assert found[1] == 3 and 850 < found[0] < 1150
+    whole = url_filter.training_sample(urls.filter("page_id < 1000"), 20_000)
+    assert whole.count() == whole.select("url").distinct().count() == 1000
+
+
+def test_decoding_equals_plain_decoding():
+    """Loss-weighted decoding, the flag and the trust, word for word."""
+    rng = np.random.default_rng(8)
+    for n in (2, 3, 7):
+        names = [f"l{i}" for i in range(n)]
+        rows = [(names[i % n], language_id.features(own_words(random.Random(i), i % n))) for i in range(20 * n)]
+        model = language_id.fit(names, rows)
+        assert model.code.tolist() == language_id.codewords(n).tolist()
+        for i, name in enumerate(names):
+            mine = [x for lang, x in rows if lang == name]
+            right = [np.mean([model.code[i][b] * (x @ model.weights[:, b] + model.bias[b]) > 0 for x in mine]) for b in range(model.code.shape[1])]
+            trust = [max(r - 0.5, 1e-3) for r in right]
+            assert np.allclose(model.trust[i], np.array(trust) / sum(trust), atol=1e-5)
+        for k in range(30):
+            text = own_words(random.Random(1000 + k), k % n) + " " + own_words(random.Random(2000 + k), int(rng.integers(n)))
+            x = language_id.features(text)
+            losses = []
+            for i in range(n):
+                loss = 0.0
+                for b in range(model.code.shape[1]):
+                    says = float(x @ model.weights[:, b] + model.bias[b])
+                    loss += float(model.trust[i][b]) * math.log1p(math.exp(-float(model.code[i][b]) * says))
+                losses.append(loss)
+            order = sorted(range(n), key=lambda i: losses[i])
+            language, score, ambiguous = model.predict(text)
+            if losses[order[1]] - losses[order[0]] > 1e-5:
+                assert language == names[order[0]]
+            assert score == pytest.approx(1 / sum(math.exp(min(losses) - loss) for loss in losses), rel=1e-4)
+            if abs(losses[order[1]] - losses[order[0]] - language_id.MARGIN) > 1e-5:
+                assert ambiguous == (losses[order[1]] - losses[order[0]] < language_id.MARGIN)
+
+
+def test_prior_takes_chance_off():
+    """Hosts that differ by chance alone get a strong prior, hosts that differ really a weak one, whatever their sizes."""
+    rng = random.Random(3)
+
+    def strength(rate_of):
+        hosts = []
+        for h in range(400):
+            n = rng.choice([1, 1, 2, 5, 40])
+            rate = rate_of(h)
+            hosts.append((n, sum(rng.random() < rate for _ in range(n))))
+        sums = len(hosts), sum(n for n, _ in hosts), sum(f for _, f in hosts), float(sum(n * n for n, _ in hosts)), sum(f * f / n for n, f in hosts)
+        return quality_rules.prior(*sums)[1]
+
+    assert strength(lambda h: 0.3) > 50
+    assert strength(lambda h: 0.05 if h % 2 else 0.9) < 3
+    assert quality_rules.prior(0, 0, 0, 0.0, 0.0) == (0.0, quality_rules.STRONGEST)
+    assert quality_rules.prior(3, 9, 9, 27.0, 9.0)[1] == quality_rules.STRONGEST
+
+
 def test_url_parts_and_rules(spark):
     rows = op6_url_filter(spark, SMALL).collect()
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}

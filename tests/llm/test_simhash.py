@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 
 from siltworks.llm import simhash
+from siltworks.llm.common import word_pieces
 from siltworks.llm.components import components
 
 
@@ -47,6 +48,13 @@ def test_fingerprints(texts):
             assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
+def test_fingerprints_in_pieces_are_those_of_the_whole(texts, monkeypatch):
+    whole = [simhash.fingerprint(t) for _, t in texts]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(simhash, "word_pieces", lambda data, size=size: word_pieces(data, size))
+        assert [simhash.fingerprint(t) for _, t in texts] == whole
+
+
 def test_components_of_documents(spark, messy, texts):
     rows = simhash.near_duplicates(spark.read.parquet(f"{messy}/documents.parquet")).collect()
     prints = sorted({r["fp"] & (2**64 - 1) for r in rows})
