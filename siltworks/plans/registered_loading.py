@@ -108,6 +108,24 @@ def counts_while_staging(spark, folder) -> DataFrame:
     return spark.createDataFrame([told.get], "rows long, rejected long, with_line_break long")
 
 
+# Constant rows beside a table: codes of market segments, one of which no customer has.
+_SEGMENT_CODES = [("AUTOMOBILE", "A"), ("BUILDING", "B"), ("MACHINERY", "M"), ("NONE SUCH", "N")]
+
+
+@catalogue.register(
+    f"""SELECT v.code, CAST(count(c_custkey) AS BIGINT) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS balance
+        FROM (VALUES {", ".join(map(str, _SEGMENT_CODES))}) v(segment, code) LEFT JOIN customer ON c_mktsegment = v.segment GROUP BY v.code"""
+)
+def constant_rows(spark, folder) -> DataFrame:
+    """Inline rows as a table that others join; customers are summed before they meet it."""
+    codes = staging.rows(spark, _SEGMENT_CODES, "segment string, code string")
+    sums = table(spark, folder, "customer").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum(F.col("c_acctbal").cast("decimal(12,2)")).alias("balance")
+    )
+    joined = codes.join(sums, F.col("segment") == F.col("c_mktsegment"), "left")
+    return joined.select("code", F.coalesce("customers", F.lit(0)).alias("customers"), "balance")
+
+
 @catalogue.register(
     f"""WITH t AS ({_CLEAN_LINES})
         SELECT CAST(o AS INTEGER) AS order_id, CAST(p AS INTEGER) AS product_id, price AS unit_price,
