@@ -44,7 +44,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences. The encoder shares an executor's memory with what earlier stages have left there."""
-    return packing.query(docs, BYTE_BPE, end_id=0, room=16_000_000)
+    return packing.query(docs, BYTE_BPE, end_id=0, room=40_000_000)
 
 
 STAGES = [
