@@ -9,7 +9,7 @@ the run of windows it stands for, and a hash of all bytes they cover (its contex
 Index: documents come in batches. A batch gets a level of its own: its suffixes, cut to GRAM bytes, in the order of their
 bytes, equal neighbours as one with their number. It is merge-scanned (a sort-merge join of tables bucketed and sorted
 by suffix, without a shuffle) against every level that exists; suffixes found in both, or more than once in the batch, are matches. Two levels
-of equal size are merged before the next batch comes, so n batches leave about log n levels. An
+of equal size are merged in the same way before the next batch comes, so n batches leave about log n levels. An
 index may be kept in a folder: a later call goes on with its levels and does not index earlier documents again.
 
 Matches are then checked in full. Postings of equal context repeat as a whole. For suffixes with
@@ -153,11 +153,11 @@ class SuffixIndex:
         return f"{self.folder}/{name}-{uuid.uuid4().hex}" if self.folder else scratch_path(spark, f"llm-{name}")
 
     def _write(self, array: DataFrame) -> DataFrame:
-        """A sorted level. It has as many buckets as the grouping before it has partitions, so its files need no shuffle."""
+        """A sorted level. It has as many buckets as what comes before it has partitions, so its files need no shuffle."""
         spark = array.sparkSession
         buckets, path = int(spark.conf.get("spark.sql.shuffle.partitions")), self._path(spark, "suffix-level")
         name = f"llm_suffixes_{uuid.uuid4().hex}"
-        array.write.bucketBy(buckets, "suffix").sortBy("suffix").option("path", path).saveAsTable(name)
+        array.write.option("compression", "zstd").bucketBy(buckets, "suffix").sortBy("suffix").option("path", path).saveAsTable(name)
         level = _named(spark, name)
         self._paths[id(level)] = f"{buckets} {path}"
         return level
@@ -166,7 +166,9 @@ class SuffixIndex:
         """Takes a batch of postings in; keys of suffixes that it shares with the index or holds twice."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, young), (_, old) = self.levels.pop(), self.levels.pop()
-            both = young.unionByName(old).groupBy("suffix").agg(F.min("key").alias("key"), F.sum("n").alias("n"))
+            other = old.withColumnsRenamed({"key": "old_key", "n": "old_n"})
+            n = F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))
+            both = young.join(other.hint("merge"), "suffix", "full").select("suffix", F.coalesce("key", "old_key").alias("key"), n.alias("n"))
             self.levels.append((2 * size, self._write(both)))
         array = self._write(posted.groupBy("suffix").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")))
         found = array.filter("n > 1").select("key")
@@ -179,7 +181,7 @@ class SuffixIndex:
         """Indexes a batch of (t, text): its postings are stored, its array is added; matching keys as ``add`` gives them."""
         path = self._path(texts.sparkSession, "suffix-postings")
         posted = postings(texts)
-        posted.write.parquet(path)
+        posted.write.option("compression", "zstd").parquet(path)
         posted = texts.sparkSession.read.schema(posted.schema).parquet(path)
         self._paths[id(posted)] = path
         found = self.add(posted)
@@ -318,16 +320,18 @@ def _grouped_windows(posted: DataFrame) -> DataFrame:
 
     listed = ["key", "single", "t", "place", "data"]
     rows = stored(map_rows(posted.select(listed), blocks, "key bigint, k int, c bigint, u bigint, v bigint, single boolean, t bigint, place bigint"), "suffix-blocks")
-    near = rows.join(rows.groupBy("key", "k", "c").count().filter("count > 1").drop("count"), ["key", "k", "c"], "left_semi")
+    # What is counted is written before it is joined, so that Spark splits a block or window that very many postings have.
+    cores = stored(rows.groupBy("key", "k", "c").count().filter("count > 1").drop("count"), "suffix-cores")
+    near = stored(rows.join(cores, ["key", "k", "c"], "left_semi"), "suffix-blocks")
     same = near.filter("u IS NOT NULL").groupBy("key", "k", "u", "v").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "place")).alias("at"))
-    near = stored(near.join(same.filter("n > 1"), ["key", "k", "u", "v"], "left"), "suffix-near")
+    near = stored(near.join(stored(same.filter("n > 1"), "suffix-same"), ["key", "k", "u", "v"], "left"), "suffix-near")
     place = F.shiftright("place", 16) - GRAIN * F.col("k")
     whole = near.filter("n IS NOT NULL AND single").select("t", (place - GRAIN + 1).alias("start"), (place + SPAN).alias("stop"))
     # Blocks that repeat as a whole stand for each other: one of them meets the rest.
     rest = near.filter("n IS NULL OR (t = at.t AND place = at.place)").select("key", "k", "t", "place")
     data = rest.join(posted.select(listed), ["key", "t", "place"])
     split = stored(map_rows(data.select("k", *listed), windows, "key bigint, h bigint, g bigint, single boolean, t bigint, start bigint"), "suffix-windows")
-    twice = split.groupBy("key", "h", "g").count().filter("count > 1").drop("count")
+    twice = stored(split.groupBy("key", "h", "g").count().filter("count > 1").drop("count"), "suffix-twice")
     found = split.filter("single").join(twice, ["key", "h", "g"], "left_semi")
     return whole.unionByName(found.select("t", "start", (F.col("start") + SPAN).alias("stop")))
 
