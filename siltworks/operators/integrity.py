@@ -142,7 +142,7 @@ class Link:
 
     def child_value(self) -> Column:
         compared = F.when(F.col(self.column) != "", self.normalise(self.column)) if self.normalise else F.col(self.column)
-        return compared.cast(self.kind).cast("string")
+        return compared.cast(self.kind)
 
     def parent_value(self) -> Column:
         compared = self.normalise(self.key) if self.normalise else F.col(self.key)
@@ -152,9 +152,9 @@ class Link:
 def orphan_counts(links: list[Link]) -> DataFrame:
     """A row per link, numbered as listed: child rows, and those whose value no parent has.
 
-    A child is read once, however many links it has: its values are stacked as (link, value) and counted, on
-    the map side first, so a hot value costs no more than any other. The counts of all children meet the
-    values of all parents, stacked alike, in one join. A parent column that serves several links is read once.
+    A child is read once, however many links it has: its rows are counted by the values of each column alone, a grouping
+    set per link, on the map side first, so a hot value costs no more than any other. The counts of all children, as (link, value),
+    meet the values of all parents, stacked alike, in one join. A parent column that serves several links is read once.
     """
     children: dict[int, list[int]] = {}
     parents: dict[tuple, int] = {}
@@ -166,11 +166,19 @@ def orphan_counts(links: list[Link]) -> DataFrame:
             parents[same] = len(parents)
             wanted.append(link.parent.select(F.lit(parents[same]).alias("parent"), link.parent_value().alias("wanted")).distinct())
         of.append(parents[same])
-    stacked = []
+    counted = []
     for numbers in children.values():
-        cells = [F.struct(F.lit(n).alias("link"), F.lit(of[n]).alias("of"), links[n].child_value().alias("value")) for n in numbers]
-        stacked.append(links[numbers[0]].child.select(F.inline(F.array(*cells))))
-    counts = union_all([rows.groupBy("link", "of", "value").agg(F.count(F.lit(1)).alias("_rows")) for rows in stacked])
+        names = [f"_v{n}" for n in numbers]
+        values = links[numbers[0]].child.select(*[links[n].child_value().alias(name) for n, name in zip(numbers, names)])
+        rows, one = F.count(F.lit(1)).alias("_rows"), len(names) == 1
+        values = values.groupBy(*names).agg(rows) if one else values.groupingSets([[name] for name in names], *names).agg(rows, F.grouping_id().alias("_set"))
+        which, of_which, value = F.lit(numbers[0]), F.lit(of[numbers[0]]), F.col(names[0]).cast("string")
+        for k in range(1, len(names)):
+            mine = F.col("_set") == ((1 << len(names)) - 1) ^ (1 << (len(names) - 1 - k))
+            which, of_which = F.when(mine, numbers[k]).otherwise(which), F.when(mine, of[numbers[k]]).otherwise(of_which)
+            value = F.when(mine, F.col(names[k]).cast("string")).otherwise(value)
+        counted.append(values.select(which.alias("link"), of_which.alias("of"), value.alias("value"), "_rows"))
+    counts = union_all(counted)
     found = union_all(wanted).withColumn("_found", F.lit(True))
     met = counts.join(found, (F.col("of") == F.col("parent")) & (F.col("value") == F.col("wanted")), "left")
     orphan = F.col("value").isNotNull() & F.col("_found").isNull()
