@@ -2,9 +2,9 @@
 
 Both public vocabularies split a text before they merge, and no piece goes on over the start
 of a run of white space. A text is therefore the concatenation of its chunks, each a run of
-white space and the non-space after it, and equal chunks have equal ids. Full stops and commas
-after a Latin letter are pieces of their own, so a chunk that is not known yet is cut there once
-more. The memory has two generations bounded in bytes: what was used lately is carried over, the
+white space and the non-space after it, and equal chunks have equal ids. A run of punctuation
+after a Latin letter is a piece of its own, so a chunk that is not known yet is cut there once
+more, into chunks. The memory has two generations bounded in bytes: what was used lately is carried over, the
 rest goes; chunks of over ``LONG`` bytes are encoded each time and never kept. It lives as long as
 one run of a query: workers that go on to another start anew.
 
@@ -19,12 +19,14 @@ import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 
-#: Bytes of a generation, counted as keys, ids and ``ENTRY``; a worker holds two generations of chunks and two of words.
-ROOM = 64_000_000
+#: Bytes of a generation, counted as keys, ids and ``ENTRY``; a worker holds two generations.
+ROOM = 128_000_000
 #: Bytes that an entry takes besides its key and ids: two objects and a place in the table.
 ENTRY = 170
 #: Bytes of the longest chunk that is kept.
 LONG = 64
+# Punctuation that goes on as one piece; an apostrophe may begin a contraction.
+_STOPS = b".,;:!?&$%#*+=-_/|<>()[]{}\"@^~`\\"
 PIECE = 1_000_000
 
 # White space outside ASCII, as UTF-8. It may stand in one piece with ASCII white space.
@@ -92,16 +94,16 @@ class ChunkEncoder:
 
     def __init__(self, encode_one: Callable[[bytes], bytes], keep_space: bool, room: int = ROOM):
         self.keep_space = keep_space
-        self.words = Memory(encode_one, room)
-        self.chunks = Memory(self._from_words, room)
+        self.encode_one = encode_one
+        self.chunks = Memory(self._from_parts, room)
 
-    def _from_words(self, chunk: bytes) -> bytes:
+    def _from_parts(self, chunk: bytes) -> bytes:
         if chunk[:1] == b"\n" and len(chunk) > 1 and not chunk[1:2].isspace() and not _WIDE_SPACE.match(chunk, 1) and _DOUBTFUL not in chunk:
-            return self.words[b"\n"] + self.chunks[chunk[1:]]  # a line end right before a word is a piece
-        word = chunk.rstrip(b".,")
-        if len(word) < len(chunk) and _ends_in_letter(word.decode()):
-            return self.words[word] + self.words[chunk[len(word) :]]
-        return self.words[chunk]
+            return self.chunks[b"\n"] + self.chunks[chunk[1:]]  # a line end right before a word is a piece
+        word = chunk.rstrip(_STOPS)
+        if len(word) < len(chunk) and b"<|" not in chunk and _ends_in_letter(word.decode()):  # special tokens stay whole
+            return self.chunks[word] + self.chunks[chunk[len(word) :]]
+        return self.encode_one(chunk)
 
     def _cut(self, data: bytes) -> list[bytes]:
         if not self.keep_space:
