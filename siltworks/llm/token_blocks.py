@@ -149,8 +149,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, name: str = "token-block
             return number, before, len(held), size, known.tobytes() + ids.tobytes(), pack_file(held)
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                held.append((doc_id, encoder.encode(text) + end))
+            for doc_id, ids in zip(batch["doc_id"], encoder.encode_all(batch["text"])):
+                held.append((doc_id, ids + end))
                 size += len(held[-1][1]) // 4
                 if size >= FILE_IDS:
                     yield row()

@@ -74,6 +74,20 @@ def test_memory_is_bounded_and_forgets_safely():
         assert len(encoder.chunks) <= 4 and len(encoder.chunks.old) <= 4
 
 
+def test_several_texts_at_once_and_words_in_one_form(strings):
+    """Ids are those of each text by itself, also where a mark is composed with small letters only, or stops stand together."""
+    library, encoder = Tokenizer.from_file(WORD_BPE), library_encoder(WORD_BPE, False, room=40 * chunk_encoder.ENTRY, run="several")
+    odd = ["H\u0331 T\u0308, W\u030a. h\u0331", "a», b!, c.. d,. e, ñ. Ñ, ×, 3. 4, '. . ,", "I'M, DON'T. <|endoftext|>, <|ENDOFTEXT|>", "ÀÉ ÀÉ. àé, ẞ. İ, \u212a.", None, "", " \n", "日本, 語. "]
+    for several in (odd, strings, odd * 3, []):
+        assert [ids_of(ids) for ids in encoder.encode_all(several)] == [library.encode(s or "", add_special_tokens=False).ids for s in several]
+    byte_level = library_encoder(BYTE_BPE, True, run="several")
+    assert byte_level.encode_all(odd) == [byte_level.encode(s) for s in odd]
+    fresh = library_encoder(WORD_BPE, False, run="forms")
+    fresh.encode_all(["word Word WORD, word.", "word, WORD. año AñO, x"])
+    assert set(fresh.chunks) == {c.encode() for c in ("word", "word.", "año", "x", ",", ".")}
+    chunk_encoder.forget()
+
+
 def test_long_chunks_are_not_kept():
     encoder = ChunkEncoder(lambda word: word, keep_space=True)
     for i in range(200):
