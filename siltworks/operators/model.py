@@ -100,6 +100,8 @@ FACT_COLUMNS = [
     "discount",
     "total_amount",
 ]
+# Columns of the fact that the data product is summed from.
+SUMMED = ["date_key", "employee_key", "quantity", "total_amount"]
 
 
 def build_fact(
@@ -215,7 +217,7 @@ def seller_sums(fact: DataFrame, dim_time: DataFrame, sign: int = 1) -> DataFram
     ``sign`` -1 gives what has to be taken off when the rows go. The fact is summed before anything else
     is joined: a seller with a large share of the lines is combined on the map side.
     """
-    measures = fact.select("date_key", "employee_key", "quantity", "total_amount")
+    measures = fact.select(*SUMMED)
     return (
         measures.join(dim_time.select("date_key", "year", "quarter"), "date_key")
         .groupBy("employee_key", "year", "quarter")

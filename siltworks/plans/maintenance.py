@@ -26,7 +26,7 @@ from siltworks.functions import any_of, differs
 from siltworks.operators.appended import GONE
 from siltworks.operators.integrity import union_all
 from siltworks.operators.keys import assign_keys
-from siltworks.operators.model import FACT_COLUMNS, build_fact, link_products, resolve_country, seller_sums
+from siltworks.operators.model import FACT_COLUMNS, SUMMED, build_fact, link_products, resolve_country, seller_sums
 from siltworks.plans.views import categories_view, customers_view, employees_view, in_force, products_view, suppliers_view, with_empty_tables
 from siltworks.sources.tables import stamp
 
@@ -164,13 +164,16 @@ def _fact_changes(
 
     both = packed(new, "new").join(packed(old, "old"), F.col("_new_key") == F.col("_old_key"), "full")
     differing = F.col("new").isNull() | F.col("old").isNull() | differs(told("new"), told("old"))
-    changes = keep("fact_changes", both.filter(differing).select("new", "old"))
-
     gone = F.col("new").isNull()
-    rows = changes.select(F.when(gone, F.col("old")).otherwise(F.col("new")).alias("row"), gone.alias(GONE)).select("row.*", GONE)
+    # Of the row that is replaced, only what the sums lose is stored.
+    was = F.when(F.col("old").isNotNull(), F.struct(*[F.col(f"old.{c}") for c in SUMMED])).alias("was")
+    told_rows = both.filter(differing).select(F.when(gone, F.col("old")).otherwise(F.col("new")).alias("row"), gone.alias(GONE), was)
+    changes = keep("fact_changes", told_rows)
+
+    rows = changes.select("row.*", GONE)
     time = model["dim_time"]
-    sums = seller_sums(changes.filter("new IS NOT NULL").select("new.*"), time)
-    sums = sums.unionByName(seller_sums(changes.filter("old IS NOT NULL").select("old.*"), time, -1))
+    sums = seller_sums(changes.filter(~F.col(GONE)).select("row.*"), time)
+    sums = sums.unionByName(seller_sums(changes.filter("was IS NOT NULL").select("was.*"), time, -1))
     totals = sums.groupBy("employee_key", "year", "quarter").agg(*[F.sum(c).cast(t).alias(c) for c, t in (("revenue", "decimal(28,2)"), ("lines", "bigint"), ("units", "bigint"))])
     moved = totals.filter("revenue <> 0 OR lines <> 0 OR units <> 0")
     return {"fact_table": keep("fact_table", rows), "sales_sums": keep("sales_sums", moved)}

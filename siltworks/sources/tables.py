@@ -93,7 +93,7 @@ class VersionedStore:
         """
         folder = f"{table}/{uuid.uuid4().hex}"
         rows = df.hint("rebalance", *partition_by) if rebalance else df
-        writer = rows.write.mode("errorifexists")
+        writer = rows.write.mode("errorifexists").option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{folder}")
         return Version((folder,), df.schema.json())
 

@@ -287,6 +287,17 @@ def test_every_entity_of_a_batch_is_taken_and_counted(small, spark):
     assert spark.table("enr_dim_employees").count() == 3
 
 
+def test_changes_of_the_fact_are_stored_slim(small, spark, tmp_path):
+    """Beside the row to append, a change holds only what the sums lose by the row that it replaces."""
+    warehouse, apply = small
+    assert apply(SECOND)
+    store = warehouse.store.root
+    changes = spark.read.parquet(f"{store}/fact_changes/*")
+    assert changes.columns == ["row", "_gone", "was"]
+    assert changes.select("was.*").columns == ["date_key", "employee_key", "quantity", "total_amount"]
+    assert all(f.endswith(".zstd.parquet") for f in changes.inputFiles())
+
+
 def test_a_batch_adds_a_folder_and_compaction_makes_one(small):
     warehouse, apply = small
     assert apply(SECOND)
