@@ -290,7 +290,7 @@ def test_every_entity_of_a_batch_is_taken_and_counted(small, spark):
 def test_changes_of_the_fact_are_stored_slim(small, spark, tmp_path):
     """Beside the row to append, a change holds only what the sums lose by the row that it replaces."""
     warehouse, apply = small
-    assert apply(SECOND)
+    assert apply(SECOND) and apply({"order_details": ["10,1,4.00,12,0.1"]}, 3)
     store = warehouse.store.root
     changes = spark.read.parquet(f"{store}/fact_changes/*")
     assert changes.columns == ["row", "_gone", "was"]
